@@ -87,12 +87,13 @@ def rolling_accuracy(outcomes: DataFrame, securities: DataFrame, n_days: int = 2
     keyed = o.select(
         "correct", act.alias("act"),
         F.array(
-            F.struct(F.lit("overall").alias("metric"), F.lit("all").alias("key"), act.alias("use")),
+            F.struct(F.lit("overall").alias("metric"), F.lit("all").cast("string").alias("key"), act.alias("use")),
             F.struct(F.lit("side").alias("metric"), c_("direction").alias("key"),
-                     act & c_("direction").isNotNull()),
-            F.struct(F.lit("band").alias("metric"), band.alias("key"), act & band.isNotNull()),
-            F.struct(F.lit("sector").alias("metric"), c_("sector").alias("key"), act & c_("sector").isNotNull()),
-            F.struct(F.lit("suppressed").alias("metric"), F.lit("all").alias("key"), ~act),
+                     (act & c_("direction").isNotNull()).alias("use")),
+            F.struct(F.lit("band").alias("metric"), band.alias("key"), (act & band.isNotNull()).alias("use")),
+            F.struct(F.lit("sector").alias("metric"), c_("sector").alias("key"),
+                     (act & c_("sector").isNotNull()).alias("use")),
+            F.struct(F.lit("suppressed").alias("metric"), F.lit("all").alias("key"), (~act).alias("use")),
         ).alias("_k"),
     )
     exploded = keyed.select("correct", F.explode("_k").alias("k")).filter(c_("k.use"))

@@ -1,3 +1,4 @@
 """Imports every catalogue module (each registers its keys on import)."""
 
 from barloom.plans import q_features  # noqa: F401
+from barloom.plans import q_signals  # noqa: F401
