@@ -4,3 +4,4 @@ from barloom.plans import q_features  # noqa: F401
 from barloom.plans import q_signals  # noqa: F401
 from barloom.plans import q_models  # noqa: F401
 from barloom.plans import q_sentiment  # noqa: F401
+from barloom.plans import q_relational  # noqa: F401
