@@ -6,3 +6,4 @@ from barloom.plans import q_models  # noqa: F401
 from barloom.plans import q_sentiment  # noqa: F401
 from barloom.plans import q_relational  # noqa: F401
 from barloom.plans import q_profile  # noqa: F401
+from barloom.plans import q_prep  # noqa: F401
