@@ -169,3 +169,69 @@ def top_by(df: DataFrame, n: int, order: list[Column], partition: list[str] | No
         return df.orderBy(*order).limit(n)
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(c_("_rn") <= n).drop("_rn")
+
+
+def _ts_text(col: str = "run_timestamp"):
+    return F.date_format(c_(col), "yyyy-MM-dd HH:mm:ss")
+
+
+def _conf_level():
+    conf = c_("confidence")
+    return F.when(conf > 0.7, F.lit("High")).when(conf > 0.6, F.lit("Medium")).otherwise(F.lit("Low"))
+
+
+def _strength65():
+    conf = c_("confidence")
+    return F.when(conf >= 0.65, F.lit("Strong")).when(conf >= 0.55, F.lit("Moderate")).otherwise(F.lit("Weak"))
+
+
+def format_standard(res: DataFrame) -> DataFrame:
+    """L8 standard CSV rows; the export time is the run's timestamp."""
+    return res.select(_ts_text().alias("export_timestamp"), "trading_date", "ticker", "company", "predicted_signal",
+                      "confidence", _conf_level().alias("confidence_level"), "close_price", "RSI", "high_confidence")
+
+
+def format_enhanced(res: DataFrame) -> DataFrame:
+    """L8 enhanced CSV rows (strength at .65 / .55, price risk at 500 / 100)."""
+    px = c_("close_price")
+    rsi_cat = (F.when(c_("RSI") < 30, F.lit("Oversold")).when(c_("RSI") > 70, F.lit("Overbought"))
+               .otherwise(F.lit("Neutral")))
+    return res.select(_ts_text().alias("export_timestamp"), "trading_date", "ticker", "company", "predicted_signal",
+                      _strength65().alias("signal_strength"), "confidence",
+                      (c_("confidence") * 100).alias("confidence_percentage"), _conf_level().alias("confidence_level"),
+                      "close_price", F.when(px > 500, "High").when(px > 100, "Medium").otherwise("Low")
+                      .alias("price_risk"), "RSI", rsi_cat.alias("rsi_category"),
+                      c_("down_probability").alias("sell_probability"), c_("up_probability").alias("buy_probability"),
+                      "high_confidence")
+
+
+def format_summary(res: DataFrame) -> DataFrame:
+    return res.select(_ts_text().alias("export_timestamp"), "ticker", "company", "predicted_signal",
+                      (c_("confidence") * 100).alias("confidence_pct"), "close_price", "RSI")
+
+
+def format_trading(res: DataFrame) -> DataFrame:
+    """L8 trading rows: action from the signal classifier (accepts Up/Down and
+    Buy/Sell), priority and risk level by confidence."""
+    from barloom.operators.outcomes import classify_signal
+    side = classify_signal("predicted_signal")
+    conf = c_("confidence")
+    return res.select(
+        _ts_text().alias("export_timestamp"), "ticker",
+        F.when(side == "bearish", "SELL").when(side == "bullish", "BUY").otherwise("HOLD").alias("action"),
+        F.when(conf > 0.8, 1).when(conf > 0.7, 2).when(conf > 0.6, 3).otherwise(4).alias("priority"),
+        F.when(conf > 0.8, "Low").when(conf > 0.6, "Medium").otherwise("High").alias("risk_level"),
+        "confidence", "close_price", "RSI", "predicted_signal")
+
+
+def format_technical(res: DataFrame, feats: DataFrame) -> DataFrame:
+    """L8 technical rows: prediction joined to the same day's indicators."""
+    f = feats.select("ticker", "trading_date", "sma_20", "ema_20", "macd", "macd_signal", "price_vs_sma50")
+    j = res.join(f, ["ticker", "trading_date"], "left")
+    return j.select(
+        _ts_text().alias("export_timestamp"), "trading_date", "ticker", "predicted_signal", "confidence",
+        _strength65().alias("signal_strength"), "sma_20", "ema_20", "macd", "macd_signal",
+        F.when(c_("macd") > c_("macd_signal"), "Bullish").otherwise("Bearish").alias("macd_trend"),
+        ((c_("price_vs_sma50") - 1) * 100).alias("price_vs_sma50_pct"),
+        F.when(c_("price_vs_sma50") > 1.02, "Uptrend").when(c_("price_vs_sma50") < 0.98, "Downtrend")
+        .otherwise("Sideways").alias("trend_direction"))

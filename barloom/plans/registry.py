@@ -8,3 +8,4 @@ from barloom.plans import q_relational  # noqa: F401
 from barloom.plans import q_profile  # noqa: F401
 from barloom.plans import q_prep  # noqa: F401
 from barloom.plans import q_ml  # noqa: F401
+from barloom.plans import q_more  # noqa: F401
