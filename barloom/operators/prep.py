@@ -134,6 +134,9 @@ def binned_mutual_information(df: DataFrame, cols: Sequence[str], y: str = "y",
     equal-frequency bin (exact quantile edges) and the label, from contingency
     counts: sum p(b,y) ln(p(b,y) / (p(b) p(y)))."""
     long = stack(df, cols, [y]).filter(c_("value").isNotNull())
+    # snap to 1e-9 so last-bit differences in computed features never move a
+    # tied block of rows across a bin edge
+    long = long.withColumn("value", F.floor(c_("value") * 1e9 + 0.501) / 1e9)
     qs = [i / bins for i in range(1, bins)]
     edges = exact_quantiles(long, "value", qs, ["feature"]).groupBy("feature").agg(
         F.array_sort(F.collect_list("quantile")).alias("edges"))

@@ -151,9 +151,15 @@ _MI_SQL = f"""
 WITH t AS (SELECT * FROM o_prep WHERE split = 'train'),
 l AS (SELECT y, UNNEST([{', '.join(f"{{'feature': '{c}', 'value': CAST({c} AS DOUBLE)}}" for c in MI_COLS)}]) AS s
       FROM t),
-v AS (SELECT y, s.feature AS feature, s.value AS value FROM l WHERE s.value IS NOT NULL),
-e AS (SELECT feature, QUANTILE_CONT(value, [{', '.join(f'{i / 10!r}e0' for i in range(1, 10))}]) AS edges
-      FROM v GROUP BY feature),
+v AS (SELECT y, s.feature AS feature, FLOOR(s.value * 1e9 + 0.501) / 1e9 AS value FROM l WHERE s.value IS NOT NULL),
+r AS (SELECT feature, value, ROW_NUMBER() OVER (PARTITION BY feature ORDER BY value) - 1 AS rk,
+             COUNT(*) OVER (PARTITION BY feature) AS n FROM v),
+h AS (SELECT feature, n, q, q * (n - 1) AS hq FROM (SELECT DISTINCT feature, n FROM r),
+      (SELECT UNNEST([{', '.join(f'{i / 10!r}e0' for i in range(1, 10))}]) AS q) qq),
+e0 AS (SELECT h.feature, h.q, lo.value + (hi.value - lo.value) * (h.hq - FLOOR(h.hq)) AS edge
+       FROM h JOIN r lo ON lo.feature = h.feature AND lo.rk = CAST(FLOOR(h.hq) AS BIGINT)
+              JOIN r hi ON hi.feature = h.feature AND hi.rk = CAST(CEIL(h.hq) AS BIGINT)),
+e AS (SELECT feature, LIST(edge ORDER BY q) AS edges FROM e0 GROUP BY feature),
 b AS (SELECT v.feature, v.y, LEN(LIST_FILTER(e.edges, lambda x: v.value > x)) AS bin FROM v JOIN e USING (feature)),
 c AS (SELECT feature, bin, y, COUNT(*) AS n_by FROM b GROUP BY feature, bin, y),
 d AS (SELECT *, SUM(n_by) OVER (PARTITION BY feature) AS n, SUM(n_by) OVER (PARTITION BY feature, bin) AS n_b,
