@@ -58,9 +58,18 @@ def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
     return df.withColumn("_rk", F.rank().over(w)).filter("_rk = 1").drop("_rk")
 
 
+def by_ticker(df: DataFrame) -> DataFrame:
+    """Hash-partition by ticker once. With
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (``plan_session``)
+    the (ticker, trading_date) joins and every ticker window then run on this
+    partitioning: one shuffle per input, none for the joined frame."""
+    return df.repartition("ticker")
+
+
 def dedup_keep_last(df: DataFrame, keys=("ticker", "trading_date"), seq: str = "load_seq") -> DataFrame:
     """Keep the last loaded row per key (``drop_duplicates(keep='last')``).
-    A grouped ``max_by`` so duplicates combine map-side before the shuffle."""
+    A grouped ``max_by``: on input already partitioned by ticker it needs no
+    further shuffle."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c != seq]
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_last"))
@@ -69,9 +78,9 @@ def dedup_keep_last(df: DataFrame, keys=("ticker", "trading_date"), seq: str = "
 
 def indicator_inputs(fx: Fixtures) -> list[DataFrame]:
     """The indicator views of C4, renamed as the pipeline reads them."""
-    bam = dedup_keep_last(fx.bands_atr_macd_stoch)
-    sma = dedup_keep_last(fx.sma_macd_signals)
-    fsp = dedup_keep_last(fx.fib_sr_patterns)
+    bam = dedup_keep_last(by_ticker(fx.bands_atr_macd_stoch))
+    sma = dedup_keep_last(by_ticker(fx.sma_macd_signals))
+    fsp = dedup_keep_last(by_ticker(fx.fib_sr_patterns))
     return [
         bam.select("ticker", "trading_date",
                    c_("Upper_Band").alias("db_bb_upper"), c_("Lower_Band").alias("db_bb_lower"),
@@ -137,7 +146,7 @@ def base_frame(fx: Fixtures, price_floor: float = 5.0) -> DataFrame:
     bar. Whole-frame statistics are taken from this frame, not from the wider
     one, since the later left joins are on unique keys and keep every row."""
     bars = fx.bars.filter((c_("close_price") >= F.lit(price_floor)) & (c_("volume") > 0))
-    frame = bars_with_rsi(bars.drop("company"), fx.rsi)
+    frame = bars_with_rsi(by_ticker(bars.drop("company")), by_ticker(fx.rsi))
     return join_fundamentals(frame, fx.fundamentals, fx.securities)
 
 
@@ -154,27 +163,28 @@ def enriched_frame(fx: Fixtures, sentiment: DataFrame | None = None, price_floor
 # ------------------------------------------------------------ feature layers
 
 def _any_not_null(df: DataFrame, column: str) -> Column:
-    """Scalar subquery: does the column hold any value (the reference's
-    'use the supplied indicator if present' switch)."""
-    return df.select(F.max(F.col(column).isNotNull().cast("int"))).scalar() == F.lit(1)
+    """EXISTS subquery: does the column hold any value (the reference's 'use
+    the supplied indicator if present' switch). Stops at the first match."""
+    return df.filter(F.col(column).isNotNull()).select(F.lit(1)).exists()
+
+
+def supplied_flags(fx: Fixtures) -> dict[str, Column]:
+    """The switches, tested on the raw indicator views (no dedup shuffle)."""
+    return {"db_bb_upper": _any_not_null(fx.bands_atr_macd_stoch, "Upper_Band"),
+            "db_atr_14": _any_not_null(fx.bands_atr_macd_stoch, "ATR_14"),
+            "db_stoch_k": _any_not_null(fx.bands_atr_macd_stoch, "stoch_14d_k")}
 
 
-def ticker_layers(frame: DataFrame, indicators: list[DataFrame] | None = None) -> DataFrame:
+def ticker_layers(frame: DataFrame, flags: dict[str, Column] | None = None) -> DataFrame:
     """E1-E25 (+E27/E28 helpers) over ``wt()``. Each layer is one select.
 
     The reference prefers supplied Bollinger / ATR / stochastic values when the
-    supplied view holds any; that switch is a scalar subquery over the (small,
-    column-pruned) indicator input rather than over the joined frame."""
+    supplied view holds any; ``flags`` carries those switches (EXISTS
+    subqueries); without them the joined frame is tested."""
     o, h, lo, cl, v = c_("open_price"), c_("high_price"), c_("low_price"), c_("close_price"), c_("volume")
     rng = h - lo
-    flag_src = {c: frame for c in ("db_bb_upper", "db_atr_14", "db_stoch_k")}
-    for ind in indicators or []:
-        for c in flag_src:
-            if c in ind.columns:
-                flag_src[c] = ind
-    has_db_bands = _any_not_null(flag_src["db_bb_upper"], "db_bb_upper")
-    has_db_atr = _any_not_null(flag_src["db_atr_14"], "db_atr_14")
-    has_db_stoch = _any_not_null(flag_src["db_stoch_k"], "db_stoch_k")
+    flags = flags or {c: _any_not_null(frame, c) for c in ("db_bb_upper", "db_atr_14", "db_stoch_k")}
+    has_db_bands, has_db_atr, has_db_stoch = flags["db_bb_upper"], flags["db_atr_14"], flags["db_stoch_k"]
     etf = sector_etf_return("sector")
 
     # layer 0: scalars, lags, rolling aggregates over raw columns
@@ -437,7 +447,7 @@ def feature_frame(fx: Fixtures, sentiment: DataFrame | None = None, price_floor:
     frame = join_market_context(frame, fx.market_context)
     frame = join_calendar(frame, fx.calendar_features)
     frame = join_sentiment(frame, sentiment)
-    feats = ticker_layers(frame, indicators)
+    feats = ticker_layers(frame, supplied_flags(fx))
     feats = market_alpha(feats, join_market_context(base.select("trading_date"), fx.market_context))
     feats = sector_encoding(feats, source=base)
     feats = whole_table_stats(feats, base)
