@@ -4,6 +4,8 @@ best-model operators over a scores table have exact oracles."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -178,7 +180,7 @@ def q_roundtrip(fx):
     """Save the fitted pipeline to the shared folder, load it, score."""
     tr, te = _train_test(fx)
     m = mdl.fit_classifier(tr, ML_FEATURES, mdl.classifier_zoo()["logistic"])
-    loaded = mdl.save_and_load(m, scratch_path(fx.spark, f"model_{abs(hash(fx.sf_dir))}"))
+    loaded = mdl.save_and_load(m, scratch_path(fx.spark, f"model_{uuid.uuid4().hex}"))
     a = mdl.score(m, te, ["ticker", "trading_date"]).withColumnRenamed("p", "p_fit")
     b = mdl.score(loaded, te, ["ticker", "trading_date"]).withColumnRenamed("p", "p_loaded").drop("pred")
     return _round(a.join(b, ["ticker", "trading_date"]).select("ticker", "trading_date", "p_fit", "p_loaded"))

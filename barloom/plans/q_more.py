@@ -4,6 +4,8 @@ threshold document sink and reader (A4, A11)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import r4, r4_sql
@@ -267,7 +269,7 @@ def threshold_doc(fx):
 @register("sink_thresholds")
 def q_sink_thresholds(fx):
     """Write the derived thresholds as one JSON document and read it back."""
-    path = scratch_path(fx.spark, f"thresholds_{abs(hash(fx.sf_dir))}")
+    path = scratch_path(fx.spark, f"thresholds_{uuid.uuid4().hex}")
     io.write_one_row_json(threshold_doc(fx), path)
     return fx.spark.read.schema(io.THRESHOLD_DOC).json(path)
 
@@ -275,7 +277,7 @@ def q_sink_thresholds(fx):
 @register("thresholds_effective")
 def q_thresholds_effective(fx):
     """A4: the written document over the defaults (missing values keep defaults)."""
-    path = scratch_path(fx.spark, f"thresholds_{abs(hash(fx.sf_dir))}")
+    path = scratch_path(fx.spark, f"thresholds_{uuid.uuid4().hex}")
     io.write_one_row_json(threshold_doc(fx), path)
     doc = fx.spark.read.schema(io.THRESHOLD_DOC).json(path)
     defaults = {**thr.FALLBACK, "sector_confidence_overrides": thr.FALLBACK_SECTORS}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -405,7 +407,7 @@ def q_daily_summary(fx):
 
 
 def _written_reports(fx):
-    path = scratch_path(fx.spark, f"reports_{abs(hash(fx.sf_dir))}")
+    path = scratch_path(fx.spark, f"reports_{uuid.uuid4().hex}")
     daily_reports(fx).write.mode("overwrite").partitionBy("year").json(path)
     return io.read_reports(fx.spark, f"{path}/year=*/*.json")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -206,7 +207,7 @@ def q_schema_merge(fx):
 @register("sink_append")
 def q_sink_append(fx):
     """Append outcomes partitioned by date, then read back the row count per date."""
-    path = scratch_path(fx.spark, f"sink_append_{abs(hash(fx.sf_dir))}")
+    path = scratch_path(fx.spark, f"sink_append_{uuid.uuid4().hex}")
     io.append_partitioned(dv.outcomes(fx), path)
     return fx.spark.read.parquet(path).groupBy("trading_date").count()
 
@@ -214,7 +215,7 @@ def q_sink_append(fx):
 @register("sentiment_upsert")
 def q_upsert(fx):
     """Write the sentiment table, then replace two dates; other dates stay."""
-    path = scratch_path(fx.spark, f"sentiment_{abs(hash(fx.sf_dir))}")
+    path = scratch_path(fx.spark, f"sentiment_{uuid.uuid4().hex}")
     t = sector_sentiment(fx)
     io.replace_dates(t, path)
     last2 = t.select("trading_date").distinct().orderBy(c_("trading_date").desc()).limit(2)
@@ -226,7 +227,7 @@ def q_upsert(fx):
 @register("sink_csv")
 def q_sink_csv(fx):
     """CSV export of the prediction rows, read back."""
-    path = scratch_path(fx.spark, f"export_csv_{abs(hash(fx.sf_dir))}")
+    path = scratch_path(fx.spark, f"export_csv_{uuid.uuid4().hex}")
     io.write_csv(sig.export_predictions(dv.signals(fx)).drop("run_timestamp"), path)
     return fx.spark.read.option("header", True).csv(path)
 

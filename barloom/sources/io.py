@@ -58,13 +58,15 @@ def ordered_projection(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def append_partitioned(df: DataFrame, path: str, partition: str = "trading_date") -> None:
-    """Append sink, partitioned by date."""
-    df.write.mode("append").partitionBy(partition).parquet(path)
+    """Append sink, partitioned by date. Rows are clustered by the
+    partition column first, so each date is written by one task (one file per
+    date, not one per task and date); a date holds at most the ticker universe."""
+    df.repartition(partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def replace_dates(df: DataFrame, path: str, partition: str = "trading_date") -> None:
     """Replace-by-date upsert: only the partitions present in ``df`` are rewritten."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(path))
 
 
