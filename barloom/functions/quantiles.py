@@ -61,3 +61,34 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Seque
     frac = c_("_h") - c_("_r_lo")
     res = out.select(*group, "q", (c_("_vlo") + frac * (c_("_vhi") - c_("_vlo"))).alias("quantile"))
     return res.drop("_g") if synthetic else res
+
+
+def ordered_prefix(counts: DataFrame, value: str, measures: Sequence[str], group: Sequence[str] = (),
+                   descending: bool = False, buckets: int = 4096) -> DataFrame:
+    """For a table with one row per distinct ``value`` (per group) and additive
+    ``measures``, add ``<m>_before``: the measure summed over all values that
+    come strictly earlier in the order. Two levels: a prefix over equal-width
+    buckets (a small table) plus an ordered window inside each bucket, so no
+    group's distinct values are ever sorted in one task."""
+    group = list(group)
+    synthetic = not group
+    if synthetic:
+        counts, group = counts.withColumn("_g", F.lit(0)), ["_g"]
+    stats = counts.groupBy(*group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    width = c_("_hi") - c_("_lo")
+    b = F.when(width > 0, F.least(F.floor((c_(value) - c_("_lo")) / width * buckets), F.lit(buckets - 1))) \
+        .otherwise(F.lit(0)).cast("int")
+    if descending:
+        b = F.lit(buckets - 1) - b
+    x = counts.join(stats, group, "inner").withColumn("_b", b).drop("_lo", "_hi")
+    per_b = x.groupBy(*group, "_b").agg(*[F.sum(m).alias(f"_bt_{m}") for m in measures])
+    wb = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_b = per_b.select(*group, "_b", *[F.coalesce(F.sum(f"_bt_{m}").over(wb), F.lit(0)).alias(f"_bo_{m}")
+                                         for m in measures])
+    order = c_(value).desc() if descending else c_(value).asc()
+    wv = Window.partitionBy(*group, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.join(per_b, [*group, "_b"], "inner")
+    out = x.select(*[c for c in counts.columns],
+                   *[(c_(f"_bo_{m}") + F.coalesce(F.sum(m).over(wv), F.lit(0))).alias(f"{m}_before")
+                     for m in measures])
+    return out.drop("_g") if synthetic else out

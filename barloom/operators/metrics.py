@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.quantiles import ordered_prefix
+
 c_ = F.col
 
 
@@ -87,11 +89,11 @@ def regression_metrics(df: DataFrame, group: list[str], y: str = "y_return", pre
 
 def auc(df: DataFrame, group: list[str], y: str = "y", score: str = "p") -> DataFrame:
     """K4: ROC AUC by the average-rank (Mann-Whitney) formula. Ties share the
-    average rank: ranks come from cumulative counts over distinct scores."""
+    average rank; ranks come from counts below each distinct score
+    (``ordered_prefix``: no group is sorted in one task)."""
     per = df.groupBy(*group, score).agg(F.count(F.lit(1)).alias("cnt"), F.sum(c_(y)).alias("pos"))
-    w = Window.partitionBy(*group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_below", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    per = per.withColumn("_avg_rank", c_("_below") + (c_("cnt") + 1) / 2.0)
+    per = ordered_prefix(per, score, ["cnt"], group)
+    per = per.withColumn("_avg_rank", c_("cnt_before") + (c_("cnt") + 1) / 2.0)
     g = per.groupBy(*group).agg(F.sum(c_("_avg_rank") * c_("pos")).alias("rank_pos"),
                                 F.sum("pos").alias("n_pos"), F.sum("cnt").alias("n"))
     n_neg = c_("n") - c_("n_pos")
@@ -103,13 +105,17 @@ def auc(df: DataFrame, group: list[str], y: str = "y", score: str = "p") -> Data
 def roc_points(df: DataFrame, group: list[str], y: str = "y", score: str = "p") -> DataFrame:
     """K5: (fpr, tpr) at each distinct score threshold, highest first."""
     per = df.groupBy(*group, score).agg(F.sum(c_(y)).alias("pos"), F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy(*group).orderBy(c_(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    wa = Window.partitionBy(*group)
-    tp = F.sum("pos").over(w)
-    fp = F.sum(c_("cnt") - c_("pos")).over(w)
-    return per.select(*group, c_(score).alias("threshold"),
-                      (fp / F.sum(c_("cnt") - c_("pos")).over(wa)).alias("fpr"),
-                      (tp / F.sum("pos").over(wa)).alias("tpr"))
+    per = per.withColumn("neg", c_("cnt") - c_("pos"))
+    per = ordered_prefix(per, score, ["pos", "neg"], group, descending=True)
+    if group:
+        tot = per.groupBy(*group).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
+        j, p_tot, n_tot = per.join(tot, group, "inner"), c_("_P"), c_("_N")
+    else:
+        j = per
+        p_tot, n_tot = per.select(F.sum("pos")).scalar(), per.select(F.sum("neg")).scalar()
+    return j.select(*group, c_(score).alias("threshold"),
+                    ((c_("neg_before") + c_("neg")) / n_tot).alias("fpr"),
+                    ((c_("pos_before") + c_("pos")) / p_tot).alias("tpr"))
 
 
 def confusion_matrix(df: DataFrame, group: list[str], y: str = "y", pred: str = "pred") -> DataFrame:

@@ -48,10 +48,13 @@ def title_key(title: Column) -> Column:
 
 
 def dedup_titles(articles: DataFrame, date_col: str = "published", order_col: str = "seq") -> DataFrame:
-    """First article per (date, title key); empty keys dropped."""
+    """First article per (date, title key); empty keys dropped. A ``min_by``
+    aggregate: copies of one title combine map-side, so a title repeated
+    millions of times never lands whole in one task."""
     a = articles.withColumn("title_key", title_key(c_("title"))).filter(c_("title_key") != "")
-    w = Window.partitionBy(date_col, "title_key").orderBy(order_col)
-    return a.withColumn("_rn", F.row_number().over(w)).filter(c_("_rn") == 1).drop("_rn")
+    rest = [c for c in a.columns if c not in (date_col, "title_key")]
+    g = a.groupBy(date_col, "title_key").agg(F.min_by(F.struct(*rest), c_(order_col)).alias("_first"))
+    return g.select(*[c_(f"_first.{c}").alias(c) if c in rest else c_(c) for c in a.columns])
 
 
 def scoring_text(articles: DataFrame) -> DataFrame:
