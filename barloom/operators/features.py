@@ -246,10 +246,8 @@ def ticker_layers(frame: DataFrame, flags: dict[str, Column] | None = None) -> D
     dm_sum = c_("_pdm14") + c_("_ndm14")
     dx = F.when(dm_sum > 0, F.abs(c_("_pdm14") - c_("_ndm14")) / dm_sum * 100).otherwise(F.lit(0.0))
     l2 = l1.select("*", F.avg(dx).over(rows(13)).alias("regime_adx"))
-    l2 = add_ema(l2, [EmaSpec(f"ema_{n}", "close_price", n) for n in (5, 10, 20, 50)]
-                 + [EmaSpec("_ema12", "close_price", 12), EmaSpec("_ema26", "close_price", 26)])
-    l2 = l2.withColumn("macd", c_("_ema12") - c_("_ema26"))
-    l2 = add_ema(l2, [EmaSpec("macd_signal", "macd", 9)])
+    if "macd_signal" not in l2.columns:
+        l2 = ema_layers(l2)
 
     # layer 3: projections
     bb_mid, bb_sd = c_("sma_20"), c_("_sd20")
@@ -337,6 +335,16 @@ def ticker_layers(frame: DataFrame, flags: dict[str, Column] | None = None) -> D
     return out
 
 
+def ema_layers(frame: DataFrame) -> DataFrame:
+    """EMAs of the close and the MACD signal."""
+    out = frame.withColumn("_ema_i", F.row_number().over(wt()) - 1)
+    out = add_ema(out, [EmaSpec(f"ema_{n}", "close_price", n) for n in (5, 10, 20, 50)]
+                  + [EmaSpec("_ema12", "close_price", 12), EmaSpec("_ema26", "close_price", 26)],
+                  index_col="_ema_i")
+    out = out.withColumn("macd", c_("_ema12") - c_("_ema26")).drop("_ema12", "_ema26")
+    return add_ema(out, [EmaSpec("macd_signal", "macd", 9)], index_col="_ema_i").drop("_ema_i")
+
+
 def market_alpha(frame: DataFrame, dates_source: DataFrame | None = None) -> DataFrame:
     """stock return minus the rolling sum of the index return on the
     distinct-date series (one row per date: a single ordered window over a
@@ -443,7 +451,11 @@ def feature_frame(fx: Fixtures, sentiment: DataFrame | None = None, price_floor:
     """Enriched frame with every feature column (before E26 clean-up)."""
     base = base_frame(fx, price_floor)
     indicators = indicator_inputs(fx)
-    frame = join_indicators(base, indicators)
+    # the EMA family needs only the close: computed on a 3-column projection
+    # (its block-window sorts move narrow rows) and joined like an indicator
+    # view, co-partitioned by ticker
+    ema = ema_layers(base.select("ticker", "trading_date", "close_price")).drop("close_price")
+    frame = join_indicators(base, indicators + [ema])
     frame = join_market_context(frame, fx.market_context)
     frame = join_calendar(frame, fx.calendar_features)
     frame = join_sentiment(frame, sentiment)
