@@ -8,7 +8,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import r4, r4_sql
-from barloom.functions.rowindex import exact_row_index
 from barloom.operators import labels as lab
 from barloom.operators import metrics as met
 from barloom.operators import outcomes as out
@@ -465,7 +464,51 @@ def q_cutoff_highest(fx):
     return thr.cutoff_highest(sells, [], 0.50, 200).select(F.lit(0.50).alias("target"), "cutoff")
 
 
-@register("derive_thresholds")
+def _j4_sql(src: str, target: str, min_n: int, cmp: str = ">=", pick: str = "MIN", group: str = "") -> str:
+    g_sel = f"{group}, " if group else ""
+    g_on = f" AND r.{group} = c.{group}" if group else ""
+    return f"""(SELECT {g_sel}CAST({pick}(ck) AS DOUBLE) / 1e4 AS cutoff FROM (
+      SELECT {'c.' + group + ', ' if group else ''}c.ck, COUNT(*) AS n, AVG(CAST(r.correct AS DOUBLE)) AS acc
+      FROM (SELECT DISTINCT {g_sel}CAST(FLOOR(confidence * 1e4 + 0.501) AS BIGINT) AS ck FROM {src}) c
+      JOIN {src} r ON r.confidence {cmp} CAST(c.ck AS DOUBLE) / 1e4{g_on}
+      GROUP BY {'c.' + group + ', ' if group else ''}c.ck) q
+    WHERE n >= {min_n} AND acc >= {target}{' GROUP BY ' + group if group else ''})"""
+
+
+@register("derive_thresholds", f"""
+WITH o AS (
+  SELECT o.confidence, o.correct, s.sector, {dv.CLASSIFY_SQL.format(s='o.predicted_signal')} AS side
+  FROM o_outcomes o LEFT JOIN securities s ON s.ticker = o.ticker
+  WHERE o.correct IS NOT NULL AND o.confidence IS NOT NULL),
+buys AS (SELECT * FROM o WHERE side = 'bullish'),
+sells AS (SELECT * FROM o WHERE side = 'bearish'),
+sbuys AS (SELECT * FROM buys WHERE sector IS NOT NULL),
+tot AS (SELECT COUNT(*) AS n FROM o),
+bh AS {_j4_sql('buys', '53e-2', 200)},
+hh AS {_j4_sql('buys', '58e-2', 200)},
+sh AS {_j4_sql('sells', '5e-1', 200, '<=', 'MAX')},
+g AS (SELECT CASE WHEN (SELECT n FROM tot) >= 200 AND (SELECT MAX(cutoff) FROM bh) IS NOT NULL
+                  THEN (SELECT MAX(cutoff) FROM bh) ELSE 55e-2 END AS gate),
+sec_n AS (SELECT sector, COUNT(*) AS sn FROM sbuys GROUP BY sector),
+sec AS (SELECT x.sector, x.cutoff FROM {_j4_sql('sbuys', '53e-2', 150, group='sector')} x
+        JOIN sec_n USING (sector) WHERE sn >= 150 AND (SELECT n FROM tot) >= 200
+          AND x.cutoff > (SELECT gate FROM g)),
+rows_ AS (
+  SELECT 'buy_min_confidence' AS name, CAST(NULL AS VARCHAR) AS key, (SELECT gate FROM g) AS value
+  UNION ALL SELECT 'high_confidence_threshold', NULL,
+    CASE WHEN (SELECT n FROM tot) >= 200 AND (SELECT MAX(cutoff) FROM hh) IS NOT NULL
+         THEN GREATEST((SELECT MAX(cutoff) FROM hh), (SELECT gate FROM g))
+         WHEN (SELECT n FROM tot) >= 200 THEN GREATEST(58e-2, (SELECT gate FROM g)) ELSE 58e-2 END
+  UNION ALL SELECT 'sell_max_confidence', NULL,
+    CASE WHEN (SELECT n FROM tot) >= 200 AND (SELECT MAX(cutoff) FROM sh) IS NOT NULL
+         THEN (SELECT MAX(cutoff) FROM sh) ELSE 99e-2 END
+  UNION ALL SELECT 'actionable_buy_fraction', NULL,
+    (SELECT AVG(CAST(confidence >= (SELECT gate FROM g) AS DOUBLE)) FROM buys)
+  UNION ALL SELECT 'n_outcomes', NULL, CAST((SELECT n FROM tot) AS DOUBLE)
+  UNION ALL SELECT 'sector_override', sector, cutoff FROM sec
+  UNION ALL SELECT 'sector_override', k, v FROM (VALUES ('Technology', 57e-2), ('Healthcare', 57e-2)) f(k, v)
+    WHERE NOT EXISTS (SELECT 1 FROM sec))
+SELECT name, key, {r4_sql('value')} AS value FROM rows_""", ctes=("o_outcomes", "securities"))
 def q_derive(fx):
     return _round_doubles(thr.derive_thresholds(dv.outcomes(fx), fx.securities))
 

@@ -16,7 +16,7 @@ KEYS = [
     "feat_sector_relative", "feat_interactions", "label_direction", "split_purged", "sample_weights", "cv_folds",
     "reliability_filter", "score_outcomes", "rolling_accuracy", "metrics_classification", "metrics_auc",
     "tune_threshold", "cutoff_highest", "probability_profile", "sector_sentiment", "sentiment_zscore",
-    "quality_issues", "outliers_iqr", "mi_ranking", "feat_ema_recursive", "ensemble_vote",
+    "quality_issues", "outliers_iqr", "mi_ranking", "feat_ema_recursive", "ensemble_vote", "derive_thresholds",
 ]
 
 

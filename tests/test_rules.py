@@ -5,7 +5,6 @@ import random
 
 import numpy as np
 import pandas as pd
-import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
