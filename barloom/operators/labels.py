@@ -116,8 +116,12 @@ def cv_folds(df: DataFrame, n_splits: int = 5, purge: int = 5) -> DataFrame:
         if val_start >= n or val_end <= val_start:
             continue
         folds.append((i, train_end, val_start, val_end))
-    spec = ordered.sparkSession.createDataFrame(folds, "fold int, train_end long, val_start long, val_end long")
-    j = ordered.join(F.broadcast(spec), c_("pos") < c_("val_end"), "inner")
+    specs = F.array(*[F.struct(F.lit(i).alias("fold"), F.lit(te).cast("long").alias("train_end"),
+                               F.lit(vs).cast("long").alias("val_start"), F.lit(ve).cast("long").alias("val_end"))
+                      for i, te, vs, ve in folds])
+    # fold specs as a literal array: each row is repeated once per fold it falls in (<= n_splits)
+    j = ordered.select("*", F.explode(specs).alias("_f")).select("*", "_f.*").drop("_f")
+    j = j.filter(c_("pos") < c_("val_end"))
     role = (F.when(c_("pos") < c_("train_end"), F.lit("train"))
             .when(c_("pos") >= c_("val_start"), F.lit("validation")))
     return j.withColumn("role", role).filter(c_("role").isNotNull()).drop("train_end", "val_start", "val_end")
@@ -143,10 +147,12 @@ def walkforward_folds(df: DataFrame, folds: int = 6, test_window: int = 21, purg
         cal_lo = max(pool_hi - cal_n, 0)
         train_hi = max(pool_hi - (cal_n + purge), 0)
         rows.append((i, 0, train_hi, cal_lo, pool_hi, test_lo, test_hi))
-    spec = df.sparkSession.createDataFrame(
-        rows, "fold int, tr_lo long, tr_hi long, cal_lo long, cal_hi long, te_lo long, te_hi long")
+    names = ("fold", "tr_lo", "tr_hi", "cal_lo", "cal_hi", "te_lo", "te_hi")
+    specs = F.array(*[F.struct(*[F.lit(v).cast("int" if k == "fold" else "long").alias(k)
+                                 for k, v in zip(names, r)]) for r in rows])
     i = c_("date_idx")
-    j = idx.join(F.broadcast(spec), (i >= c_("tr_lo")) & (i < c_("te_hi")), "inner")
+    j = idx.select("*", F.explode(specs).alias("_f")).select("*", "_f.*").drop("_f")
+    j = j.filter((i >= c_("tr_lo")) & (i < c_("te_hi")))
     role = (F.when(i < c_("tr_hi"), F.lit("train"))
             .when((i >= c_("cal_lo")) & (i < c_("cal_hi")), F.lit("calibration"))
             .when(i >= c_("te_lo"), F.lit("test")))
