@@ -33,9 +33,10 @@ BASE_TABLES = (
 class Fixtures:
     """Lazily built fixture DataFrames for one data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, tag: str = ""):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.tag = tag          # separates materialised tables of variants (e.g. truncated inputs)
         self._cache: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
@@ -44,7 +45,7 @@ class Fixtures:
     def get(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
-        store_key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        store_key = (self.spark.sparkContext.applicationId, self.sf_dir + self.tag, name)
         if name in MATERIALISED and store_key in _STORE:
             self._cache[name] = _STORE[store_key]
             return _STORE[store_key]
@@ -67,7 +68,7 @@ class Fixtures:
     def derived(self, name: str, build) -> DataFrame:
         """A table derived from fixtures (e.g. the feature table), built once
         per data directory and materialised like a written table."""
-        store_key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        store_key = (self.spark.sparkContext.applicationId, self.sf_dir + self.tag, name)
         if store_key not in _STORE:
             ensure_checkpoint_dir(self.spark)
             _STORE[store_key] = build(self).checkpoint(eager=True)
