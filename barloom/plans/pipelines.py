@@ -15,3 +15,51 @@ def labelled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = feat.direction_label(feat.feature_frame(fx))
     frame = frame.drop(*[c for c in feat.DROP_AFTER_FEATURES if c in frame.columns])
     return feat.forward_fill_clean(frame, keep=("ticker", "trading_date", "direction_5d"))
+
+
+def weekly_retrain(fx: Fixtures, features: tuple[str, ...] | None = None, trees: int = 50,
+                   boost_iters: int = 50) -> DataFrame:
+    """The weekly training run end to end (survey 3.1): feature table -> E26
+    clean-up -> label -> purged split, dead zone, weights -> weighted forest,
+    boosted trees and logistic regression -> Platt calibration and balanced-
+    accuracy threshold on the calibration split -> test metrics per model."""
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+    from pyspark.sql import functions as F
+
+    from barloom.operators import labels as lab
+    from barloom.operators import models as mdl
+    from barloom.operators.metrics import classification_metrics
+    from barloom.operators.thresholds import tune_threshold
+    from barloom.plans.q_prep import RELATIVE, STOCK
+    feats = tuple(features or (STOCK + RELATIVE))
+
+    def build(f):
+        lf = labelled_features(f.spark, f.sf_dir).withColumn("y", (F.col("direction_5d") == "Up").cast("int"))
+        lf = lab.dead_zone(lab.split_purged(lf))
+        w = lab.sample_weights(lf.filter(F.col("split") == "train")).select("ticker", "trading_date", "sample_weight")
+        out = lf.join(w, ["ticker", "trading_date"], "left").withColumn(
+            "sample_weight", F.coalesce(F.col("sample_weight"), F.lit(1.0)))
+        return out.select("ticker", "trading_date", "split", "y", "sample_weight", *feats)
+    data = fx.derived(f"retrain_frame_{len(feats)}", build)
+    train, cal, test = (data.filter(F.col("split") == s) for s in ("train", "calibration", "test"))
+    models = {
+        "random_forest": RandomForestClassifier(numTrees=trees, maxDepth=10, minInstancesPerNode=5,
+                                                featureSubsetStrategy="sqrt", seed=42, weightCol="sample_weight"),
+        "gradient_boosting": GBTClassifier(maxIter=boost_iters, maxDepth=5, stepSize=0.1, subsamplingRate=0.8,
+                                           seed=42, weightCol="sample_weight"),
+        "logistic": LogisticRegression(maxIter=100, regParam=0.01, weightCol="sample_weight"),
+    }
+    parts = []
+    for name, est in models.items():
+        m = mdl.fit_classifier(train, feats, est)
+        cal_s = mdl.score(m, cal, ["y"])
+        test_s = mdl.platt(cal_s, mdl.score(m, test, ["y"]))
+        thr_row = tune_threshold(mdl.platt(cal_s, cal_s).withColumn("p", F.col("p_calibrated"))).first()
+        t = thr_row["threshold"] if thr_row else 0.5
+        scored = test_s.select("y", (F.col("p_calibrated") >= t).cast("int").alias("pred"))
+        parts.append(classification_metrics(scored, []).select(
+            F.lit(name).alias("model"), F.lit(t).alias("threshold"), "n", "accuracy", "f1_weighted"))
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
