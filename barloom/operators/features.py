@@ -18,6 +18,7 @@ from barloom.functions.codes import (
 )
 from barloom.functions.columns import clip, eq_or_false, pct_change, ratio_or, rows, running, sign_ne, wt
 from barloom.functions.ema import EmaSpec, add_ema
+from barloom.functions.sizing import checked_broadcast
 from barloom.sources.fixtures import Fixtures
 
 c_ = F.col
@@ -107,11 +108,12 @@ def join_indicators(frame: DataFrame, indicators: list[DataFrame]) -> DataFrame:
 
 
 def join_fundamentals(frame: DataFrame, fundamentals: DataFrame, securities: DataFrame) -> DataFrame:
-    """C2 + C3: latest fundamentals snapshot and sector, left-joined on ticker.
-    Both sides have one row per ticker (a bounded dimension) and are broadcast."""
+    """C2 + C3: latest fundamentals snapshot and sector, left-joined on ticker
+    (ties in the latest snapshot keep all rows, as the reference's self-join)."""
     fund = latest_per_key(fundamentals, "ticker", "fetch_date").drop("fetch_date")
-    return (frame.join(F.broadcast(fund), "ticker", "left")
-            .join(F.broadcast(securities.select("ticker", "sector")), "ticker", "left"))
+    dims = fund.join(securities.select("ticker", "sector"), "ticker", "full_outer")
+    # one row per ticker: grows with the universe, so its size is checked
+    return frame.join(checked_broadcast(dims), "ticker", "left")
 
 
 def join_market_context(frame: DataFrame, context: DataFrame) -> DataFrame:
@@ -136,7 +138,7 @@ def join_sentiment(frame: DataFrame, sentiment: DataFrame | None) -> DataFrame:
             *[(F.log1p(c_(k)) if k == "news_count" else c_(k)).cast("double").alias(v)
               for k, v in SENTIMENT_RENAMES.items()],
             c_("market_sentiment_score").cast("double"))
-        frame = frame.join(F.broadcast(s), ["trading_date", "sector"], "left")
+        frame = frame.join(checked_broadcast(s), ["trading_date", "sector"], "left")
         return frame.fillna(0.0, subset=cols)
     return frame.select("*", *[F.lit(0.0).alias(x) for x in cols])
 
