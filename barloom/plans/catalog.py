@@ -86,8 +86,10 @@ def render_oracle(spec: QuerySpec) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from barloom.session import plan_session
+
     def bind(spec: QuerySpec):
-        return lambda spark, sf_dir: spec.build(Fixtures(spark, sf_dir))
+        return lambda spark, sf_dir: spec.build(Fixtures(plan_session(spark), sf_dir))
     return {name: bind(spec) for name, spec in REGISTRY.items()}
 
 
