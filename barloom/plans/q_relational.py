@@ -204,15 +204,21 @@ def q_schema_merge(fx):
     return old.unionByName(new, allowMissingColumns=True)
 
 
-@register("sink_append")
+@register("sink_append", """
+SELECT trading_date, CAST(COUNT(*) AS BIGINT) AS count FROM o_outcomes GROUP BY trading_date""",
+          ctes=("o_outcomes",))
 def q_sink_append(fx):
     """Append outcomes partitioned by date, then read back the row count per date."""
     path = scratch_path(fx.spark, f"sink_append_{uuid.uuid4().hex}")
     io.append_partitioned(dv.outcomes(fx), path)
-    return fx.spark.read.parquet(path).groupBy("trading_date").count()
+    return fx.spark.read.parquet(path).groupBy("trading_date").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
 
 
-@register("sentiment_upsert")
+@register("sentiment_upsert", """
+WITH last2 AS (SELECT DISTINCT trading_date FROM o_sector_sent ORDER BY trading_date DESC LIMIT 2)
+SELECT s.trading_date, CAST(COUNT(*) AS BIGINT) AS n,
+       CASE WHEN s.trading_date IN (SELECT trading_date FROM last2) THEN 'rerun' ELSE MAX(s.sources) END AS max_sources
+FROM o_sector_sent s GROUP BY s.trading_date""", ctes=("o_sector_sent",))
 def q_upsert(fx):
     """Write the sentiment table, then replace two dates; other dates stay."""
     path = scratch_path(fx.spark, f"sentiment_{uuid.uuid4().hex}")
@@ -221,7 +227,7 @@ def q_upsert(fx):
     last2 = t.select("trading_date").distinct().orderBy(c_("trading_date").desc()).limit(2)
     io.replace_dates(t.join(last2, "trading_date", "left_semi").withColumn("sources", F.lit("rerun")), path)
     return fx.spark.read.parquet(path).groupBy("trading_date").agg(
-        F.count(F.lit(1)).alias("n"), F.max("sources").alias("max_sources"))
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.max("sources").alias("max_sources"))
 
 
 @register("sink_csv")
