@@ -412,7 +412,18 @@ def _written_reports(fx):
     return io.read_reports(fx.spark, f"{path}/year=*/*.json")
 
 
-@register("report_history")
+@register("report_history", f"""
+WITH b AS (SELECT trading_date, COUNT(*) AS n FROM bars GROUP BY trading_date),
+st AS (SELECT trading_date, SUM(n) OVER (ORDER BY trading_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              AS total_records FROM b),
+o AS (SELECT trading_date, COUNT(*) AS n, SUM(correct) AS h FROM o_outcomes WHERE is_actionable
+      GROUP BY trading_date),
+a AS (SELECT trading_date, SUM(n) OVER w AS n20, SUM(h) OVER w AS h20 FROM o
+      WINDOW w AS (ORDER BY trading_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+SELECT STRFTIME(st.trading_date, '%Y-%m-%dT18:00:00') AS date, CAST(st.total_records AS BIGINT) AS total_records,
+       'ok' AS status, CAST(NULL AS DOUBLE) AS duration_minutes, {r4_sql('a.h20 / a.n20')} AS accuracy_20d
+FROM st LEFT JOIN a ON a.trading_date = st.trading_date
+ORDER BY date DESC LIMIT 7""", ctes=("bars", "o_outcomes"))
 def q_report_history(fx):
     """Read every written run report back with one schema; status
     and the 20-date accuracy for the last 7 reports."""
@@ -421,16 +432,24 @@ def q_report_history(fx):
     return recent.select("date", c_("data_status.total_records").alias("total_records"),
                          F.when(c_("data_status.connected"), F.lit("ok")).otherwise(F.lit("failed")).alias("status"),
                          c_("retraining.duration_minutes").alias("duration_minutes"),
-                         c_("live_accuracy")["20"]["accuracy"].alias("accuracy_20d"))
+                         r4(c_("live_accuracy")["20"]["accuracy"]).alias("accuracy_20d"))
 
 
-@register("report_alerts")
+@register("report_alerts", """
+WITH d AS (SELECT MAX(trading_date) AS t FROM bars),
+h AS (SELECT t, (EPOCH(TIMESTAMP '2001-11-06 06:00:00') - EPOCH(CAST(t AS TIMESTAMP) + INTERVAL 18 HOUR)) / 3600e0
+             AS hours FROM d)
+SELECT STRFTIME(t, '%Y-%m-%dT18:00:00') AS date,
+       CASE WHEN hours > 30 THEN PRINTF('automation has not run in %.1f hours', hours) END AS alert FROM h""",
+          ctes=("bars",))
 def q_report_alerts(fx, now="2001-11-06T06:00:00"):
     """P20: alerts for the latest report (stale run > 30 h, failed steps, data age > 5)."""
     r = _written_reports(fx)
     latest = r.orderBy(c_("date").desc()).limit(1)
-    hours = (F.unix_timestamp(F.lit(now), "yyyy-MM-dd'T'HH:mm:ss")
-             - F.unix_timestamp(c_("date"), "yyyy-MM-dd'T'HH:mm:ss")) / 3600.0
+    fmt = "\"yyyy-MM-dd'T'HH:mm:ss\""
+    # wall-clock timestamps without time zone: independent of the session zone
+    hours = F.expr(f"timestampdiff(SECOND, to_timestamp_ntz(date, {fmt}), "
+                   f"to_timestamp_ntz('{now}', {fmt}))") / 3600.0
     alerts = F.array_compact(F.array(
         F.when(hours > 30, F.format_string("automation has not run in %.1f hours", hours)),
         F.when(~F.coalesce(c_("data_status.connected"), F.lit(False)), F.lit("database connection failed")),

@@ -126,7 +126,8 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def read_reports(spark: SparkSession, path_glob: str) -> DataFrame:
+def read_reports(spark: SparkSession, path_glob: str, one_document_per_file: bool = False) -> DataFrame:
     """A5: every run report under a glob, with one explicit schema covering the
-    three document shapes (absent sections read as NULL)."""
-    return spark.read.schema(REPORT_SCHEMA).option("multiLine", True).json(path_glob)
+    three document shapes (absent sections read as NULL). Pretty-printed
+    one-document files need ``one_document_per_file``; JSON lines do not."""
+    return spark.read.schema(REPORT_SCHEMA).option("multiLine", one_document_per_file).json(path_glob)
