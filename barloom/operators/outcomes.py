@@ -3,7 +3,6 @@ rolling live accuracy, the retrain trigger and the calendar gate."""
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,8 +131,3 @@ def calendar_gate(dates: DataFrame, calendar: DataFrame, market: str = "NASDAQ")
               .when(F.coalesce(c_("holiday_name"), F.lit("")) != "", F.concat(F.lit("holiday: "), c_("holiday_name")))
               .otherwise(F.lit("market closed")))
     return j.select("check_date", open_.alias("is_open"), reason.alias("reason"), wkday.alias("day_of_week"))
-
-
-def daily_dates(spark, start: str, end: str) -> DataFrame:
-    s, e = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    return spark.range(1).select(F.explode(F.sequence(F.lit(s), F.lit(e))).alias("check_date"))

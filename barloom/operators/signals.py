@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 c_ = F.col
@@ -163,14 +163,6 @@ def export_segments(df: DataFrame, threshold: float = 0.58) -> DataFrame:
     return df.withColumn("segment", seg)
 
 
-def top_by(df: DataFrame, n: int, order: list[Column], partition: list[str] | None = None) -> DataFrame:
-    """Top-n rows (per partition when given) — the top-k report operator."""
-    if not partition:
-        return df.orderBy(*order).limit(n)
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(c_("_rn") <= n).drop("_rn")
-
-
 def _ts_text(col: str = "run_timestamp"):
     return F.date_format(c_(col), "yyyy-MM-dd HH:mm:ss")
 

@@ -34,12 +34,6 @@ EXPECTED_FEATURES = (
 )
 
 
-def _long(df: DataFrame, key_cols: list[str], pairs: dict[str, object], name="stat", value="value") -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(k).alias(name), F.col(v).cast("double").alias(value) if isinstance(v, str)
-                             else v.cast("double").alias(value)) for k, v in pairs.items()])
-    return df.select(*key_cols, F.explode(arr).alias("_x")).select(*key_cols, f"_x.{name}", f"_x.{value}")
-
-
 @register("table_summary", """
 SELECT CAST(COUNT(*) AS BIGINT) AS total_records, MIN(trading_date) AS earliest_date, MAX(trading_date) AS latest_date,
        CAST(COUNT(DISTINCT ticker) AS BIGINT) AS unique_tickers, CAST(COUNT(DISTINCT trading_date) AS BIGINT)
