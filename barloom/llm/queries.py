@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from barloom.llm import decontamination, jaccard_join
+from barloom.llm import decontamination, jaccard_join, language_kernel, packing, pii
 
 QUERIES = {
+    "op2_language_kernel": language_kernel.query,
+    "op3_bin_slack_packing": packing.query,
     "op4_decontamination": decontamination.query,
+    "op8_pii_disclosure": pii.query,
     "op10_jaccard_join": jaccard_join.query,
 }
 ORACLES = {
