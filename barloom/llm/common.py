@@ -55,6 +55,8 @@ def _byte_values() -> np.ndarray:
 SPACES = np.array([9, 10, 11, 12, 13, 32])
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[SPACES] = True
+#: Everything in ASCII that is neither a letter nor a digit.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _VALUE = _byte_values()
 _POWERS = np.ones(1, np.uint64)
 
@@ -68,14 +70,16 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hashes of the white-space separated words of UTF-8 ``text``, in order.
+def word_hashes(text: bytes, separator: np.ndarray = _IS_SPACE, prefixes: tuple[int, ...] = ()) -> np.ndarray:
+    """64-bit hashes of the words of UTF-8 ``text``, in order; A-Z count as a-z.
 
-    A-Z count as a-z. The hash of a word is a polynomial of its bytes, summed
-    for all words at once with ``reduceat``.
+    ``separator`` marks the bytes between words (ASCII white space if not
+    given). The hash of a word is a polynomial of its bytes, summed for all
+    words at once with ``reduceat``. With ``prefixes``, the hashes of the first
+    so many bytes of each longer word follow, marked by their size.
     """
     data = np.frombuffer(text, np.uint8)
-    solid = ~_IS_SPACE[data]
+    solid = ~separator[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     starts = np.flatnonzero(first)
@@ -85,9 +89,16 @@ def word_hashes(text: bytes) -> np.ndarray:
     ends = np.append(starts[1:], len(data))
     place = np.arange(lead, len(data)) - np.repeat(starts, ends - starts)
     if lead:
-        data, starts = data[lead:], starts - lead
+        data, starts, solid = data[lead:], starts - lead, solid[lead:]
     part = _VALUE[data] * _powers(int(place.max()) + 1)[place]
-    return mix64(np.add.reduceat(part, starts))
+    if separator is not _IS_SPACE:
+        part *= solid
+    out = [mix64(np.add.reduceat(part, starts))]
+    for size in prefixes:
+        inside = solid & (place < size)
+        long = np.add.reduceat(solid, starts, dtype=np.int64) > size
+        out.append(mix64(np.add.reduceat(part * inside, starts)[long] + np.uint64(size)))
+    return np.concatenate(out) if prefixes else out[0]
 
 
 def shingle_hashes(text: bytes, width: int = 5) -> np.ndarray:
@@ -97,7 +108,7 @@ def shingle_hashes(text: bytes, width: int = 5) -> np.ndarray:
         return words
     width = min(width, len(words))
     n = len(words) - width + 1
-    total = np.full(n, width, np.uint64)
-    for k in range(width):
-        total = mix64(total * _ODD + words[k:k + n])
-    return total
+    total = words[:n] + np.uint64(width)
+    for k in range(1, width):
+        total = total * _ODD + words[k:k + n]
+    return mix64(total)

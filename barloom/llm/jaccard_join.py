@@ -45,7 +45,7 @@ MAX_COMMON = 2_000_000
 #: Up to so many document ids (8 bytes each) are broadcast to pick documents; beyond, the join shuffles.
 MAX_BROADCAST_IDS = 2_000_000
 #: Regions are split again while the open pairs exceed this multiple of the open rows and new pivots halve them.
-OPEN_FACTOR = 16
+OPEN_FACTOR = 64
 
 
 def _sets(texts, width: int) -> Iterator[np.ndarray]:
@@ -65,34 +65,40 @@ def _longs(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _common_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    def some(batches):
+    def sets(batches):
         for batch in batches:
-            points, sets = [], []
-            for s in _sets(batch.column("text").to_pylist(), width):
-                if len(s) and (p := _point(s)) % ORDER_SHARE == 0:
-                    points.append(p)
-                    sets.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(points, pa.int64()), _longs(sets)], ["point", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h"), _longs(list(_sets(batch.column("text").to_pylist(), width)))], ["h", "shingles"])
 
-    sample = docs.select("text").mapInArrow(some, "point long, shingles array<long>")
-    counts = (sample.groupBy("point").agg(F.first("shingles").alias("shingles"))
+    some = docs.select(F.xxhash64("text").alias("h"), "text").where(f"pmod(h, {ORDER_SHARE}) = 0")
+    counts = (some.mapInArrow(sets, "h long, shingles array<long>").groupBy("h").agg(F.first("shingles").alias("shingles"))
               .select(F.explode("shingles").alias("s")).groupBy("s").count().where(F.col("count") >= COMMON_FROM))
     top = counts.orderBy(F.desc("count"), "s").limit(MAX_COMMON).select("s").toArrow()
     return np.sort(top.column("s").combine_chunks().to_numpy(zero_copy_only=False).view(np.uint64))
 
 
+def _parities(shingles: np.ndarray) -> np.ndarray:
+    """Odd sketch: bit i says whether an odd number of shingles falls on i, with at
+    least two bits a shingle. Two sketches of one size differ in at most as many
+    bits as the sets differ in shingles; a sketch is halved by xor of its halves."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    ones = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(ones.astype(np.uint8)).view(np.uint64)
+
+
 def shingle_points(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """(doc_id, point, n, early): the point id, the set size, and the shingles
-    before the prefix bound, in global order."""
+    """(doc_id, point, n, early, sketch): the point id, the set size, the shingles
+    before the prefix bound in global order, and the odd sketch."""
     common = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs, width))
 
     def points(batches):
         late = common.value
         for batch in batches:
-            ids, n, early = [], [], []
+            ids, n, early, sketches = [], [], [], []
             for s in _sets(batch.column("text").to_pylist(), width):
                 ids.append(_point(s))
                 n.append(len(s))
+                sketches.append(_parities(s))
                 if len(late) and len(s):
                     at = np.minimum(np.searchsorted(late, s), len(late) - 1)
                     is_late = late[at] == s
@@ -100,11 +106,11 @@ def shingle_points(docs: DataFrame, percent: int, width: int) -> DataFrame:
                 keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 early.append(s[:keep])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(n, pa.int32()), _longs(early)],
-                ["doc_id", "point", "n", "early"])
+                [batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(n, pa.int32()), _longs(early), _longs(sketches)],
+                ["doc_id", "point", "n", "early", "sketch"])
 
     out = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        points, "doc_id long, point long, n int, early array<long>")
+        points, "doc_id long, point long, n int, early array<long>, sketch array<long>")
     return written(out, "points")
 
 
@@ -114,13 +120,25 @@ def _far(a: str, b: str, percent: int) -> str:
     return f"({100 + percent} * ({a}.n - {a}.pos) < {need} OR {100 + percent} * ({b}.n - {b}.pos) < {need})"
 
 
-def _measure(pairs: DataFrame, docs: DataFrame, points: DataFrame, width: int, percent: int) -> DataFrame:
-    """Exact distances of ``pairs`` (a, b): (a, b, d, linked). Texts are read again
-    for the points named, so full sets are kept for those alone."""
-    pairs = written(pairs, "pairs")
-    named = pairs.select(F.col("a").alias("point")).union(pairs.select(F.col("b").alias("point"))).distinct()
-    ids = written(points.where("n > 0").join(named, "point", "left_semi").groupBy("point")
-                  .agg(F.min("doc_id").alias("doc_id")).where("doc_id IS NOT NULL"), "named")
+def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, percent: int) -> DataFrame:
+    """Bounds on the distances of ``pairs`` (a, b): (a, b, low, up, linked).
+
+    Sketches give an exact lower bound; where it leaves a link possible, the
+    texts of the two points are read again and the distance is exact."""
+    side = [index.select(F.col("point").alias(p), F.col("n").alias(f"n{p}"), F.col("sketch").alias(f"k{p}"),
+                         F.col("doc_id").alias(f"id{p}")) for p in "ab"]
+    fold = ("if(size({0}) > size({1}), zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, "
+            "size({0}) div 2), (x, y) -> x ^ y), {0})")
+    differ = (f"aggregate(zip_with({fold.format('ka', 'kb')}, {fold.format('kb', 'ka')}, (x, y) -> bit_count(x ^ y)), 0, "
+              "(s, v) -> s + v)")
+    # sizes alone may part a pair; else the sketches are of one size or the double
+    apart = F.expr(f"if(100 * least(na, nb) < {percent} * greatest(na, nb), abs(na - nb), {differ})")
+    pairs = pairs.join(side[0], "a").join(side[1], "b").withColumn("apart", apart)
+    pairs = written(pairs.select("a", "b", "ida", "idb", F.expr("2 * apart / (na + nb + apart)").alias("low"),
+                                 F.expr(f"100 * (na + nb - apart) >= {percent} * (na + nb + apart)").alias("maybe")), "pairs")
+    maybe = pairs.where("maybe")
+    ids = written(maybe.select(F.col("ida").alias("doc_id")).union(maybe.select(F.col("idb").alias("doc_id")))
+                  .where("doc_id IS NOT NULL").distinct(), "named")
 
     def build(batches):
         for batch in batches:
@@ -128,17 +146,18 @@ def _measure(pairs: DataFrame, docs: DataFrame, points: DataFrame, width: int, p
             yield pa.RecordBatch.from_arrays([pa.array([_point(s) for s in sets], pa.int64()), _longs(sets)],
                                              ["point", "shingles"])
 
-    wanted = ids.select("doc_id")
-    small = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_IDS else wanted
-    sets = written(docs.select("doc_id", "text").join(small, "doc_id", "left_semi")
+    wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+    sets = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
                    .mapInArrow(build, "point long, shingles array<long>").dropDuplicates(["point"]), "sets")
     a = sets.select(F.col("point").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("point").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - F.col("both")
-    return written(pairs.join(a, "a").join(b, "b").select("a", "b", both.alias("both"), "sa", "sb")
-                   .select("a", "b", (1 - F.col("both") / union).alias("d"),
-                           (100 * F.col("both") >= percent * union).alias("linked")), "distances")
+    both, union = F.col("both"), F.size("sa") + F.size("sb") - F.col("both")
+    exact = (maybe.select("a", "b").join(a, "a").join(b, "b")
+             .withColumn("both", F.size(F.array_intersect("sa", "sb")))
+             .select("a", "b", (1 - both / union).alias("low"), (1 - both / union).alias("up"),
+                     (100 * both >= percent * union).alias("linked")))
+    rest = pairs.where("NOT maybe").select("a", "b", "low", F.lit(1.0).alias("up"), F.lit(False).alias("linked"))
+    return written(exact.unionByName(rest), "distances")
 
 
 def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
@@ -151,14 +170,16 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
     reachable. Rows with NULL, empty or blank text have no shingles and are
     linked with nothing: their component is their own doc_id. Repeated rows and
     equal texts share a component. A NULL doc_id keeps its row and gets the
-    least known id of its component, or NULL. Radius and windows follow from
-    ``percent``; nothing is capped. An empty table gives an empty result.
+    least known id of its text, or NULL; a text that has no id at all is compared with
+    equal texts only. Radius and windows follow from ``percent``; nothing is capped. An empty table gives an empty result.
     """
     radius = 1 - percent / 100
     points = shingle_points(docs, percent, width)
-    sets = points.where("n > 0").groupBy("point").agg(F.first("n").alias("n"), F.first("early").alias("early"))
+    index = written(points.where("n > 0").groupBy("point").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("early").alias("early"),
+        F.first("sketch").alias("sketch")), "index")
     by_shingle = Window.partitionBy("s")
-    rows = sets.select("point", "n", F.posexplode("early").alias("pos", "s"))
+    rows = index.select("point", "n", F.posexplode("early").alias("pos", "s"))
     rows = rows.withColumn("size", F.count("*").over(by_shingle)).withColumn(
         "pivot", F.min(F.struct("pos", "point", "n")).over(by_shingle)).where("size > 1")
     rows = written(rows, "neighbourhoods")
@@ -174,7 +195,7 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
         else:
             either = known.select("a", "b").union(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
             star = star.select("a", "b").distinct().join(either, ["a", "b"], "left_anti")
-        found = _measure(star, docs, points, width, percent)
+        found = _measure(star, docs, index, width, percent)
         known = found if known is None else known.union(found)
         links = known.where("linked").select("a", "b")
         labels = written(components(links), "labels")
@@ -182,17 +203,17 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
         # windows: a point of the region leaves when no foreign point is within the radius of its own distance
         name = labels.select(F.col("node").alias("point"), "label")
         of_pivot = labels.select(F.col("node").alias("pp"), F.col("label").alias("pivot_label"))
-        to_pivot = known.select(F.col("a").alias("point"), F.col("b").alias("pp"), "d")
+        to_pivot = known.select(F.col("a").alias("point"), F.col("b").alias("pp"), "low", "up")
         left = (rows.where("size > 2 AND point <> pivot.point").withColumn("pp", F.col("pivot.point"))
                 .join(name, "point", "left").join(of_pivot, "pp", "left").join(to_pivot, ["point", "pp"], "left")
                 .withColumn("label", F.coalesce("label", "point"))
                 .withColumn("own", F.col("label") == F.coalesce("pivot_label", "pp")))
-        nearest = F.min(F.when(~F.col("own"), F.coalesce("d", F.lit(0.0)))).over(by_shingle)
-        left = left.withColumn("nearest", nearest).where(
-            f"NOT own OR (nearest IS NOT NULL AND coalesce(d, 1.0) + {radius} + 1e-9 >= nearest)")
+        left = left.withColumn("low", F.coalesce("low", F.lit(0.0))).withColumn("up", F.coalesce("up", F.lit(1.0)))
+        left = left.withColumn("nearest", F.min(F.when(~F.col("own"), F.col("low"))).over(by_shingle)).where(
+            f"NOT own OR (nearest IS NOT NULL AND up + {radius} + 1e-9 >= nearest)")
         left = left.withColumn("size", F.count("*").over(by_shingle)).withColumn(
             "same", F.count("*").over(Window.partitionBy("s", "label"))).where("same < size")
-        left = written(left.select("s", "point", "n", "pos", "size", "same", "label", "own", "d", "pp"), "open")
+        left = written(left.select("s", "point", "n", "pos", "size", "same", "label", "own", "low", "up"), "open")
         total = left.agg(F.count("*").alias("rows"), F.sum(F.col("size") - F.col("same")).alias("pairs")).first()
         if not total["rows"]:
             break
@@ -204,21 +225,21 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
                            "neighbourhoods")
             continue
         x, y = left.alias("x"), left.alias("y")
-        near = f"(x.d IS NULL OR y.d IS NULL OR abs(x.d - y.d) <= {radius} + 1e-9)"
+        near = f"y.low <= x.up + {radius} + 1e-9 AND x.low <= y.up + {radius} + 1e-9"
         rest = x.join(y, F.col("x.s") == F.col("y.s")).where(
             f"x.point < y.point AND x.label <> y.label AND {near} AND NOT {_far('x', 'y', percent)}")
         rest = rest.select(F.col("x.point").alias("a"), F.col("y.point").alias("b")).distinct()
-        found = _measure(rest, docs, points, width, percent)
+        found = _measure(rest, docs, index, width, percent)
         labels = written(components(links.union(found.where("linked").select("a", "b"))), "labels")
         break
 
-    least = points.groupBy("point").agg(F.min("doc_id").alias("doc_id"))
+    least = index.select("point", "doc_id")
     joined = least.join(labels.select(F.col("node").alias("point"), "label"), "point")
     by_label = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     linked = joined.join(by_label, "label").select("point", "component_id")
     names = least.join(linked, "point", "left").select(
         "point", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return points.select("doc_id", "n", "point").join(names, "point").select(
+    return points.select("doc_id", "n", "point").join(names, "point", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "point")
 
@@ -244,7 +265,7 @@ WITH RECURSIVE w AS (
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS MATERIALIZED (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS g FROM w),
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM w),
 n AS MATERIALIZED (SELECT doc_id, len(g) AS n FROM g),
 e AS MATERIALIZED (SELECT doc_id, unnest(g) AS s FROM g),
 links AS MATERIALIZED (

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from barloom.llm import decontamination, jaccard_join, language_kernel, packing, pii
+from barloom.llm import (decontamination, jaccard_join, language_kernel, merkle_audit, packing, pii, quality_cnn,
+                         scaled_sketch, toxicity_fm)
 
 QUERIES = {
+    "op1_toxicity_fm": toxicity_fm.query,
     "op2_language_kernel": language_kernel.query,
     "op3_bin_slack_packing": packing.query,
     "op4_decontamination": decontamination.query,
+    "op5_quality_cnn": quality_cnn.query,
+    "op7_scaled_sketch": scaled_sketch.query,
     "op8_pii_disclosure": pii.query,
+    "op9_merkle_audit": merkle_audit.query,
     "op10_jaccard_join": jaccard_join.query,
 }
 ORACLES = {
     "op4_decontamination": decontamination.ORACLE_SQL,
+    "op9_merkle_audit": merkle_audit.ORACLE_SQL,
     "op10_jaccard_join": jaccard_join.ORACLE_SQL,
 }
