@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from barloom.llm import (decontamination, jaccard_join, language_kernel, merkle_audit, packing, pii, quality_cnn,
-                         scaled_sketch, toxicity_fm)
+                         scaled_sketch, tool_linking, toxicity_fm)
 
 QUERIES = {
     "op1_toxicity_fm": toxicity_fm.query,
@@ -11,10 +12,12 @@ QUERIES = {
     "op3_bin_slack_packing": packing.query,
     "op4_decontamination": decontamination.query,
     "op5_quality_cnn": quality_cnn.query,
+    "op6_tool_linking": tool_linking.query,
     "op7_scaled_sketch": scaled_sketch.query,
     "op8_pii_disclosure": pii.query,
     "op9_merkle_audit": merkle_audit.query,
     "op10_jaccard_join": jaccard_join.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op4_decontamination": decontamination.ORACLE_SQL,
