@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.sizing import checked_broadcast
 from barloom.functions.columns import wt
 
 c_ = F.col
@@ -70,7 +71,7 @@ def recent_outcomes(outcomes: DataFrame, securities: DataFrame, n_days: int) ->
     """Outcomes on the last ``n_days`` trading dates, with sector."""
     recent = last_n_dates(outcomes, n_days)
     o = outcomes.join(F.broadcast(recent), "trading_date", "left_semi")
-    return o.join(F.broadcast(securities.select("ticker", "sector")), "ticker", "left")
+    return o.join(checked_broadcast(securities.select("ticker", "sector")), "ticker", "left")
 
 
 def rolling_accuracy(outcomes: DataFrame, securities: DataFrame, n_days: int = 20,

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from barloom.functions.columns import wt
 from barloom.functions.quantiles import exact_quantiles
+from barloom.functions.sizing import checked_broadcast
+from barloom.session import stored
 
 c_ = F.col
-MAX_CATEGORIES = 10_000
 
 
 def column_median(df: DataFrame, col: str) -> Column:
@@ -52,11 +53,9 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str) -> DataFrame:
 
 
 def categories(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct categories (a bounded set, checked)."""
-    rows = df.select(col).distinct().orderBy(col).limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{col} has too many categories to one-hot encode")
-    return [r[0] for r in rows]
+    """Sorted distinct categories; the wide form has a column for each, so their
+    number is bounded by the width a caller wants."""
+    return [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
 
 
 def one_hot(df: DataFrame, col: str, drop_first: bool = True) -> DataFrame:
@@ -73,7 +72,7 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     s = F.coalesce(c_(col).cast("string"), F.lit("None"))
     codes = df.select(s.alias("_v")).distinct().select(
         "_v", (F.dense_rank().over(Window.orderBy("_v")) - 1).alias("_code"))
-    j = df.withColumn("_v", s).join(F.broadcast(codes), "_v", "left")
+    j = df.withColumn("_v", s).join(checked_broadcast(codes), "_v", "left")
     return j.withColumn(out, c_("_code").cast("int")).drop("_v", "_code")
 
 
@@ -117,9 +116,9 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], method: str = "iqr", thr
             out = out.filter(F.abs((c_(c) - m["m"]) / m["s"]) <= threshold)
         else:
             raise ValueError(method)
-        # each step's bounds depend on the previous filter: cut the lineage so
-        # later scalar subqueries do not re-run every earlier step
-        out = out.checkpoint(eager=True)
+        # each step's bounds depend on the previous filter: a written table keeps
+        # later scalar subqueries from running every earlier step again
+        out = stored(out, f"kept-{c}")
     return out
 
 

@@ -12,6 +12,7 @@ from barloom.functions.codes import (
 )
 from barloom.functions.ema import ema_sql
 from barloom.operators.features import CALENDAR_COLUMNS, CONTEXT_COLUMNS, PATTERN_FLAGS, SENTIMENT_RENAMES
+from barloom.plans import q_sentiment  # noqa: F401  (registers o_sector_sent)
 from barloom.plans.catalog import oracle_cte
 
 W = "PARTITION BY ticker ORDER BY trading_date"
@@ -69,7 +70,9 @@ SELECT br.*, fl.* EXCLUDE (ticker), s.sector,
        fs.* EXCLUDE (ticker, trading_date),
        {", ".join(f"mc.{c}" for c in CONTEXT_COLUMNS)},
        {", ".join(f"cal.{c}" for c in CALENDAR_COLUMNS)},
-       {", ".join(f"0e0 AS {c}" for c in list(SENTIMENT_RENAMES.values()) + ["market_sentiment_score"])}
+       {", ".join(f"COALESCE({'LN(1 + ss.news_count)' if k == 'news_count' else f'ss.{k}'}, 0e0) AS {v}"
+                  for k, v in SENTIMENT_RENAMES.items())},
+       COALESCE(ss.market_sentiment_score, 0e0) AS market_sentiment_score
 FROM br
 LEFT JOIN fl ON fl.ticker = br.ticker
 LEFT JOIN securities s ON s.ticker = br.ticker
@@ -78,10 +81,11 @@ LEFT JOIN sm ON sm.ticker = br.ticker AND sm.trading_date = br.trading_date
 LEFT JOIN fs ON fs.ticker = br.ticker AND fs.trading_date = br.trading_date
 LEFT JOIN market_context mc ON mc.trading_date = br.trading_date
 LEFT JOIN cal ON cal.calendar_date = br.trading_date
+LEFT JOIN o_sector_sent ss ON ss.trading_date = br.trading_date AND ss.sector = s.sector
 """
 
 oracle_cte("o_enriched", ("bars", "rsi", "fundamentals", "securities", "bands_atr_macd_stoch",
-                          "sma_macd_signals", "fib_sr_patterns", "market_context", "calendar_features"),
+                          "sma_macd_signals", "fib_sr_patterns", "market_context", "calendar_features", "o_sector_sent"),
            ENRICHED_SQL)
 
 _ANY = "(SELECT MAX(CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END) FROM o_enriched) = 1"

@@ -2,19 +2,53 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.operators import features as feat
+from barloom.operators import models as mdl
+from barloom.operators import signals as sig
+from barloom.plans.q_features import features
 from barloom.sources.fixtures import Fixtures
 
 
 def labelled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly training input: feature table with the G1 label and the E26
     clean-up (per-ticker forward fill, then 0)."""
-    fx = Fixtures(spark, sf_dir)
-    frame = feat.direction_label(feat.feature_frame(fx))
+    return cleaned(feat.direction_label(features(Fixtures(spark, sf_dir))), ("ticker", "trading_date", "direction_5d"))
+
+
+def cleaned(frame: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """E26 clean-up of the feature table."""
     frame = frame.drop(*[c for c in feat.DROP_AFTER_FEATURES if c in frame.columns])
-    return feat.forward_fill_clean(frame, keep=("ticker", "trading_date", "direction_5d"))
+    return feat.forward_fill_clean(frame, keep=keep)
+
+
+def newest_bars(fx: Fixtures) -> DataFrame:
+    """Scoring input: each ticker's newest bar with cleaned features, labelled or not, and the
+    values that the rules read."""
+    frame = features(fx)
+    raw = frame.select("ticker", "trading_date", F.col("close_price").alias("_close"), F.col("RSI").alias("_rsi"),
+                       F.col("sector").alias("_sector"))
+    full = cleaned(frame, ("ticker", "trading_date")).join(raw, ["ticker", "trading_date"])
+    rest = [c for c in full.columns if c != "ticker"]
+    newest = full.groupBy("ticker").agg(F.max_by(F.struct(*rest), "trading_date").alias("r"))
+    return newest.select("ticker", "r.*")
+
+
+def daily_scoring(fx: Fixtures, model_path: str, thresholds: dict) -> DataFrame:
+    """The daily run: load a saved model, score each ticker's newest bar, decide and apply the
+    reliability rules under a threshold document (A4)."""
+    model = PipelineModel.load(model_path)
+    scored = mdl.p_up(model.transform(newest_bars(fx))).select(
+        "ticker", "trading_date", F.col("p").alias("up_probability"), F.col("_close").alias("close_price"),
+        F.col("_rsi").alias("RSI"), F.col("_sector").alias("sector"))
+    cfg = sig.SignalConfig(
+        min_stock_price=thresholds.get("min_stock_price", sig.SignalConfig.min_stock_price),
+        buy_min_confidence=thresholds["buy_min_confidence"], high_confidence=thresholds["high_confidence_threshold"],
+        sell_max_confidence=thresholds["sell_max_confidence"], sector_overrides=thresholds["sector_confidence_overrides"])
+    return sig.reliability_filter(sig.decide_direction(scored, cfg), cfg)
 
 
 def weekly_retrain(fx: Fixtures, features: tuple[str, ...] | None = None, trees: int = 50,
@@ -24,10 +58,8 @@ def weekly_retrain(fx: Fixtures, features: tuple[str, ...] | None = None, trees:
     boosted trees and logistic regression -> Platt calibration and balanced-
     accuracy threshold on the calibration split -> test metrics per model."""
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-    from pyspark.sql import functions as F
 
     from barloom.operators import labels as lab
-    from barloom.operators import models as mdl
     from barloom.operators.metrics import classification_metrics
     from barloom.operators.thresholds import tune_threshold
     from barloom.plans.q_prep import RELATIVE, STOCK

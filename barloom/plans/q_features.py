@@ -8,6 +8,7 @@ from barloom.functions.columns import r4, r4_sql
 from barloom.operators import features as feat
 from barloom.plans import feature_oracle  # noqa: F401  (registers o_enriched / o_feat)
 from barloom.plans.catalog import register
+from barloom.plans.q_sentiment import sector_sentiment
 
 KEY = ("ticker", "trading_date")
 
@@ -15,7 +16,7 @@ KEY = ("ticker", "trading_date")
 def features(fx):
     """The feature table, built once per data directory (survey 3.1: one plan,
     written once, read by every later stage)."""
-    return fx.derived("features", feat.feature_frame)
+    return fx.derived("features", lambda f: feat.feature_frame(f, sector_sentiment(f)))
 
 
 def _slice(name: str, doubles: tuple[str, ...], ints: tuple[str, ...] = (),

@@ -6,18 +6,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import r4, r4_sql
-from barloom.operators import features as feat
 from barloom.operators import labels as lab
 from barloom.operators import metrics as met
 from barloom.operators import models as mdl
-from barloom.operators import signals as sig
 from barloom.plans import derived as dv
 from barloom.plans.catalog import register
-from barloom.plans.pipelines import labelled_features
+from barloom.plans.pipelines import daily_scoring, labelled_features
+from barloom.plans.q_more import q_thresholds_effective
 from barloom.plans.q_prep import RELATIVE, STOCK
 from barloom.session import scratch_path
 
@@ -108,17 +106,13 @@ def q_select_importance(fx):
 
 @register("predict_batch")
 def q_predict_batch(fx):
-    """Fit, then score the latest row per ticker -> probability ->
-    direction / confidence -> reliability rules."""
+    """Fit and save, then the daily run: load, score each ticker's newest bar, apply the
+    rules under the derived threshold document over the defaults."""
     tr, _ = _train_test(fx)
-    m = mdl.fit_classifier(tr, ML_FEATURES, mdl.classifier_zoo()["logistic"])
-    lf = ml_frame(fx)
-    w = Window.partitionBy("ticker").orderBy(c_("trading_date").desc())
-    latest = lf.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    base = feat.base_frame(fx).select("ticker", "trading_date", "close_price", "RSI", "sector")
-    s = mdl.p_up(m.transform(latest)).select("ticker", "trading_date", c_("p").alias("up_probability"))
-    s = s.join(base, ["ticker", "trading_date"], "left")
-    d = sig.reliability_filter(sig.decide_direction(s, dv.TEST_CFG), dv.TEST_CFG)
+    path = scratch_path(fx.spark, f"model_{uuid.uuid4().hex}")
+    mdl.fit_classifier(tr, ML_FEATURES, mdl.classifier_zoo()["logistic"]).write().overwrite().save(path)
+    doc = q_thresholds_effective(fx).first().asDict()       # one row
+    d = daily_scoring(fx, path, {**doc, "min_stock_price": dv.TEST_CFG.min_stock_price})
     return _round(d.select("ticker", "trading_date", "up_probability", "predicted_signal", "confidence",
                            "is_actionable", "suppression_reason"))
 
@@ -205,11 +199,16 @@ def q_ens_mean(fx):
 
 
 @register("best_model", """
-WITH g AS (SELECT model, COUNT_IF(y = pred) * 1e0 / COUNT(*) AS accuracy FROM o_scored WHERE split = 'test'
-           GROUP BY model)
-SELECT ARG_MAX(model, accuracy) AS best_model FROM g""", ctes=("o_scored",))
+WITH f AS (SELECT model, CASE WHEN SUM(pred) + SUM(c) > 0 THEN 2e0 * SUM(c * pred) / (SUM(pred) + SUM(c)) ELSE 0e0 END AS f1_up,
+             CASE WHEN SUM(1 - pred) + SUM(1 - c) > 0
+                  THEN 2e0 * SUM((1 - c) * (1 - pred)) / (SUM(1 - pred) + SUM(1 - c)) ELSE 0e0 END AS f1_down,
+             SUM(c) AS n_up, COUNT(*) AS n FROM (SELECT model, y AS c, pred FROM o_scored WHERE split = 'test') q
+      GROUP BY model)
+SELECT model AS best_model FROM f
+ORDER BY FLOOR((f1_up * n_up + f1_down * (n - n_up)) / n * 1e9 + 0.5) DESC, model LIMIT 1""", ctes=("o_scored",))
 def q_best(fx):
-    """The model with the best test metric (``max_by``)."""
-    g = dv.scored(fx).filter(c_("split") == "test").groupBy("model").agg(
-        F.avg((c_("y") == c_("pred")).cast("double")).alias("accuracy"))
-    return g.agg(F.max_by("model", "accuracy").alias("best_model"))
+    """The model with the best weighted F1 on the test rows; equal ones by name."""
+    m = met.classification_metrics(dv.scored(fx).filter(c_("split") == "test"), ["model"])
+    score = F.floor(c_("f1_weighted") * 1e9 + 0.5)
+    best = m.orderBy(score.desc(), "model").limit(1)
+    return best.select(c_("model").alias("best_model"))

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.sizing import checked_broadcast
 from barloom.functions.columns import r4, r4_sql
 from barloom.functions.quantiles import exact_quantiles
 from barloom.operators import outcomes as out
@@ -238,7 +239,7 @@ FROM o_export e LEFT JOIN securities s ON s.ticker = e.ticker WHERE e.{_LAST7} G
 def q_diag_sector(fx):
     """Sector x day (sector joined from the securities table)."""
     e = _last_days(sig.export_predictions(dv.signals(fx)))
-    j = e.join(F.broadcast(fx.securities.select("ticker", "sector")), "ticker", "left")
+    j = e.join(checked_broadcast(fx.securities.select("ticker", "sector")), "ticker", "left")
     return j.groupBy("trading_date", "sector").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"), F.count_if(c_("predicted_signal") == "Buy").cast("bigint")
         .alias("buys"), r4(F.avg("confidence")).alias("avg_confidence"))
@@ -458,7 +459,7 @@ def q_report_alerts(fx, now="2001-11-06T06:00:00"):
 def q_eda(fx):
     """Shape, date range, tickers and a missing-value map in one row."""
     f = features(fx)
-    cols = [c for c in f.columns if c not in ("ticker", "trading_date")][:40]
+    cols = [c for c in f.columns if c not in ("ticker", "trading_date")]
     return f.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(f.columns)).alias("n_cols"),
                  F.min("trading_date").alias("first_date"), F.max("trading_date").alias("last_date"),
                  F.countDistinct("ticker").alias("n_tickers"),

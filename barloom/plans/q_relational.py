@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from barloom.functions.sizing import checked_broadcast
 from barloom.functions.columns import r4, r4_sql
 from barloom.operators import features as feat
 from barloom.operators import outcomes as out
@@ -24,7 +25,7 @@ ASOF = "2001-11-04"
 
 # raw bars with text prices and bad values (FIXTURES 1, A1 test)
 _BAD = ("CASE WHEN volume % 97 = 0 THEN 'N/A' WHEN volume % 89 = 0 THEN '' WHEN volume % 83 = 0 THEN NULL "
-        "ELSE CAST(close_price AS VARCHAR) END")
+        "WHEN volume % 79 = 0 THEN 'NaN' WHEN volume % 73 = 0 THEN 'Infinity' ELSE CAST(close_price AS VARCHAR) END")
 oracle_cte("o_raw_bars", ("bars",), f"""
 SELECT ticker, trading_date, CAST(open_price AS VARCHAR) AS open_price, CAST(high_price AS VARCHAR) AS high_price,
        CAST(low_price AS VARCHAR) AS low_price, {_BAD} AS close_price, CAST(volume AS VARCHAR) AS volume
@@ -34,6 +35,7 @@ FROM bars""")
 def raw_bars(fx):
     v = c_("volume")
     bad = (F.when(v % 97 == 0, F.lit("N/A")).when(v % 89 == 0, F.lit("")).when(v % 83 == 0, F.lit(None))
+           .when(v % 79 == 0, F.lit("NaN")).when(v % 73 == 0, F.lit("Infinity"))
            .otherwise(c_("close_price").cast("string")))
     return fx.bars.select("ticker", "trading_date", *[c_(p).cast("string").alias(p) for p in
                                                       ("open_price", "high_price", "low_price")],
@@ -41,8 +43,8 @@ def raw_bars(fx):
 
 
 @register("bars_scan", f"""
-SELECT ticker, trading_date, {r4_sql('TRY_CAST(close_price AS DOUBLE)')} AS close_price,
-       TRY_CAST(volume AS BIGINT) AS volume FROM o_raw_bars""", ctes=("o_raw_bars",))
+SELECT ticker, trading_date, {r4_sql('CASE WHEN ISFINITE(TRY_CAST(close_price AS DOUBLE)) THEN TRY_CAST(close_price AS DOUBLE) END')}
+       AS close_price, TRY_CAST(volume AS BIGINT) AS volume FROM o_raw_bars""", ctes=("o_raw_bars",))
 def q_bars_scan(fx):
     t = io.typed_bars(raw_bars(fx))
     return t.select("ticker", "trading_date", r4("close_price").alias("close_price"), "volume")
@@ -50,7 +52,7 @@ def q_bars_scan(fx):
 
 @register("filter_valid_bars", """
 SELECT ticker, trading_date FROM o_raw_bars
-WHERE TRY_CAST(close_price AS DOUBLE) IS NOT NULL AND TRY_CAST(close_price AS DOUBLE) >= 5e3
+WHERE ISFINITE(TRY_CAST(close_price AS DOUBLE)) AND TRY_CAST(close_price AS DOUBLE) >= 5e3
   AND TRY_CAST(volume AS BIGINT) > 0""", ctes=("o_raw_bars",))
 def q_valid(fx):
     return io.valid_bars(io.typed_bars(raw_bars(fx)), 5000.0).select("ticker", "trading_date")
@@ -291,23 +293,11 @@ def q_join_cal(fx):
 
 
 @register("join_sentiment", f"""
-WITH s AS (SELECT trading_date, sector, sentiment_score, LN(1 + news_count) AS news FROM o_sector_sent),
-a AS (SELECT CAST(UNNEST(generate_series(MIN(published), MAX(published), INTERVAL 1 DAY)) AS DATE) AS trading_date
-      FROM articles),
-u AS (SELECT o.ticker, a.trading_date, o.sector FROM (SELECT DISTINCT ticker, sector FROM o_enriched) o, a)
-SELECT u.ticker, u.trading_date, u.sector, {r4_sql('COALESCE(s.sentiment_score, 0e0)')} AS sector_sentiment_score,
-       {r4_sql('COALESCE(s.news, 0e0)')} AS sector_news_volume
-FROM u LEFT JOIN s ON s.trading_date = u.trading_date AND s.sector = u.sector""",
-          ctes=("o_enriched", "o_sector_sent", "articles"))
+SELECT e.ticker, e.trading_date, e.sector, {r4_sql('e.sector_sentiment_score')} AS sector_sentiment_score,
+       {r4_sql('e.sector_news_volume')} AS sector_news_volume FROM o_enriched e""", ctes=("o_enriched",))
 def q_join_sent(fx):
-    """C7 on the sentiment table's own dates (the article dates do not overlap
-    the bar dates): every ticker on every day of the sentiment period. Days
-    come from a generator over the period bounds (scalar subqueries), not a join."""
-    tick = feat.base_frame(fx).select("ticker", "sector").distinct()
-    a = fx.articles
-    lo, hi = a.select(F.min("published")).scalar(), a.select(F.max("published")).scalar()
-    frame = tick.select("ticker", "sector", F.explode(F.sequence(lo, hi)).alias("trading_date"))
-    j = feat.join_sentiment(frame, sector_sentiment(fx))
+    """C7 on the bars' own keys."""
+    j = feat.join_sentiment(feat.base_frame(fx).select("ticker", "trading_date", "sector"), sector_sentiment(fx))
     return j.select("ticker", "trading_date", "sector", r4("sector_sentiment_score").alias("sector_sentiment_score"),
                     r4("sector_news_volume").alias("sector_news_volume"))
 
@@ -318,7 +308,7 @@ WHERE b.ticker IN (SELECT ticker FROM securities WHERE sector IN ('Technology',
           ctes=("bars", "securities"))
 def q_semi(fx):
     keep = fx.securities.filter(c_("sector").isin("Technology", "Energy")).select("ticker")
-    return fx.bars.join(F.broadcast(keep), "ticker", "left_semi").select("ticker", "trading_date")
+    return fx.bars.join(checked_broadcast(keep), "ticker", "left_semi").select("ticker", "trading_date")
 
 
 @register("export_technical", f"""
@@ -352,7 +342,7 @@ def q_top_buy(fx):
     latest = s.select(F.max("trading_date")).scalar()
     top = (s.filter((c_("trading_date") == latest) & (c_("predicted_signal") == "Up"))
            .orderBy(c_("up_probability").desc(), c_("ticker")).limit(20))
-    return top.join(F.broadcast(fx.securities.select("ticker", c_("sector").alias("sec"))), "ticker", "left") \
+    return top.join(checked_broadcast(fx.securities.select("ticker", c_("sector").alias("sec"))), "ticker", "left") \
         .select("ticker", c_("sec").alias("sector"), r4("up_probability").alias("up_probability"))
 
 

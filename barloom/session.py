@@ -8,9 +8,12 @@ session is used as is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
@@ -49,10 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (HDFS/S3/...) folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    as is; without it nothing can be stored there and an error says so. Only a
+    local master, whose tasks share the driver's disk, gets a scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="barloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -63,3 +69,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back, so that
+    later plans scan only the columns and row groups they need, and a lost
+    executor takes nothing with it. A column without a type is kept as text."""
+    spark = df.sparkSession
+    df = df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if f.dataType.typeName() == "void"
+                     else F.col(f"`{f.name}`") for f in df.schema.fields])
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

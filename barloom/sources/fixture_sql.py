@@ -157,8 +157,9 @@ FROM b
 """
 
 ARTICLES_SQL = """
-SELECT doc_id AS seq, SUBSTRING(text, 1, 60) AS title, CASE WHEN doc_id % 9 = 0 THEN '' ELSE SUBSTRING(text, 61, 240) END AS summary,
-       DATE '2024-01-01' + CAST(doc_id % 30 AS INT) AS published, source,
+SELECT doc_id AS seq, SPLIT_PART(text, CHR(10), 1) AS title,
+       CASE WHEN doc_id % 9 = 0 THEN '' ELSE SUBSTRING(text, LENGTH(SPLIT_PART(text, CHR(10), 1)) + 2) END AS summary,
+       DATE '2001-10-01' + CAST(doc_id % 30 AS INT) AS published, source,
        CASE WHEN doc_id % 16 = 0 THEN 'Energy' WHEN doc_id % 16 = 4 THEN 'Technology' WHEN doc_id % 16 = 8 THEN 'Utilities' END AS sector_hint,
        doc_id % 13 = 0 AS is_market
 FROM {documents}

@@ -1,8 +1,9 @@
 """Fixture tables derived from the driver's test tables.
 
 ``Fixtures(spark, sf_dir)`` binds the fixture SQL of ``fixture_sql`` to
-DataFrames read from ``sf_dir``. Every fixture is an ordinary lazy DataFrame,
-so Catalyst prunes columns and pushes filters through it into the Parquet scan.
+DataFrames read from ``sf_dir``. Tables that are costly to derive are written
+once as Parquet in the shared folder and scanned from there, so filters and
+column lists of a query reach the files.
 """
 
 from __future__ import annotations
@@ -13,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.rowindex import exact_row_index
-from barloom.session import ensure_checkpoint_dir
+from barloom.session import stored
 from barloom.sources.fixture_sql import FIXTURE_DEPS, FIXTURE_SQL
 
 # Fixtures that are costly to derive (window passes over lineitem) are
-# materialised once per data directory with a reliable checkpoint in the shared
-# checkpoint folder, standing in for the stored tables they model.
+# written once per data directory as Parquet in the shared folder, standing in
+# for the stored tables they model.
 MATERIALISED = ("bars", "rsi", "predictions", "securities", "fundamentals", "market_context",
                 "calendar_features", "market_calendar", "bands_atr_macd_stoch", "sma_macd_signals",
                 "fib_sr_patterns", "articles")
@@ -59,8 +60,7 @@ class Fixtures:
         else:
             raise KeyError(name)
         if name in MATERIALISED:
-            ensure_checkpoint_dir(self.spark)
-            df = df.checkpoint(eager=True)
+            df = stored(df, f"fixture-{name}")
             _STORE[store_key] = df
         self._cache[name] = df
         return df
@@ -70,8 +70,7 @@ class Fixtures:
         per data directory and materialised like a written table."""
         store_key = (self.spark.sparkContext.applicationId, self.sf_dir + self.tag, name)
         if store_key not in _STORE:
-            ensure_checkpoint_dir(self.spark)
-            _STORE[store_key] = build(self).checkpoint(eager=True)
+            _STORE[store_key] = stored(build(self), f"derived-{name}")
         return _STORE[store_key]
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -11,17 +11,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.functions.columns import nan_to_null
+
 c_ = F.col
 PRICE_COLUMNS = ("open_price", "high_price", "low_price", "close_price")
 
 
 def typed_bars(raw: DataFrame) -> DataFrame:
     """A1: prices stored as text become doubles (``try_cast``: bad text gives
-    NULL instead of failing under ANSI), volume becomes bigint."""
+    NULL instead of failing under ANSI; NaN and infinities are NULL too), volume
+    becomes bigint."""
     cols = []
     for f in raw.columns:
         if f in PRICE_COLUMNS:
-            cols.append(F.expr(f"try_cast({f} AS DOUBLE)").alias(f))
+            cols.append(nan_to_null(F.expr(f"try_cast({f} AS DOUBLE)")).alias(f))
         elif f == "volume":
             cols.append(F.expr("try_cast(volume AS BIGINT)").alias("volume"))
         else:
@@ -30,8 +33,8 @@ def typed_bars(raw: DataFrame) -> DataFrame:
 
 
 def valid_bars(bars: DataFrame, price_floor: float = 5.0) -> DataFrame:
-    """B2: numeric close at or above the floor, positive volume."""
-    return bars.filter(c_("close_price").isNotNull() & (c_("close_price") >= price_floor) & (c_("volume") > 0))
+    """B2: finite close at or above the floor, positive volume."""
+    return bars.filter((nan_to_null("close_price") >= price_floor) & (c_("volume") > 0))
 
 
 def date_window(df: DataFrame, asof: str, days_back: int, col: str = "trading_date") -> DataFrame:

@@ -9,6 +9,7 @@ anti-join give effectively-once output without a transactional sink).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,9 +20,13 @@ OUTCOME_ID = T.StructType([T.StructField("prediction_id", T.LongType())])
 
 
 def _existing_ids(spark: SparkSession, outcomes_path: str) -> DataFrame:
+    """Ids scored so far; none while the folder does not exist. Any other failure is raised, since
+    taking it for an empty folder would score and append everything again."""
     try:
         return spark.read.parquet(outcomes_path).select("prediction_id")
-    except Exception:  # noqa: BLE001  (no outcomes written yet)
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], OUTCOME_ID)
 
 
