@@ -31,6 +31,10 @@ REGISTRY: dict[str, QuerySpec] = {}
 ORACLE_CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
+#: Costly oracle inputs that DuckDB shall compute once, however often a query reads them.
+MATERIALISED_CTES = {"o_sector_sent", "o_enriched", "o_feat", "o_prep"}
+
+
 def oracle_cte(name: str, deps: tuple[str, ...], sql: str) -> None:
     ORACLE_CTES[name] = (sql, tuple(deps))
 
@@ -79,7 +83,7 @@ def render_oracle(spec: QuerySpec) -> str:
     order = _order(spec.ctes)
     if not order:
         return body
-    ctes = ",\n".join(f"{n} AS (\n{_cte_body(n)}\n)" for n in order)
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' * (n in MATERIALISED_CTES)}(\n{_cte_body(n)}\n)" for n in order)
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

@@ -11,6 +11,8 @@ from barloom.plans.catalog import register
 from barloom.plans.q_sentiment import sector_sentiment
 
 KEY = ("ticker", "trading_date")
+#: Every numeric feature that a key of this module returns.
+NUMERIC: list[str] = []
 
 
 def features(fx):
@@ -22,6 +24,8 @@ def features(fx):
 def _slice(name: str, doubles: tuple[str, ...], ints: tuple[str, ...] = (),
            sql_alias: dict[str, str] | None = None):
     sql_alias = sql_alias or {}
+    if not sql_alias:
+        NUMERIC.extend(c for c in doubles if c not in NUMERIC)
 
     def build(fx):
         df = features(fx)

@@ -9,24 +9,27 @@ from barloom.operators import labels as lab
 from barloom.operators import prep
 from barloom.plans import derived as dv
 from barloom.plans.catalog import oracle_cte, register
-from barloom.plans.q_features import features
+from barloom.operators.features import CALENDAR_COLUMNS, CONTEXT_COLUMNS, DROP_AFTER_FEATURES
+from barloom.plans.q_features import NUMERIC, features
 
 c_ = F.col
 IMPUTE_COLS = ("RSI", "return_10d")
 SCALE_COLS = ("daily_return", "volume_sma_ratio")
 OUTLIER_COLS = ("daily_return", "volume_sma_ratio", "gap_pct")
 
-# FIXED VALUES: the reference's feature categories and caps for capped selection
-MARKET_CONTEXT = ("vix_close", "sp500_return_1d", "nasdaq_comp_return_1d", "dxy_return_1d", "us_10y_yield_close",
-                  "sector_etf_return_1d")
-RELATIVE = ("alpha_vs_nasdaq_5d", "alpha_vs_nasdaq_20d", "alpha_vs_sector_5d", "rs_rank_52wk", "beta_adjusted_alpha",
-            "rsi_vs_sector_avg", "volume_anomaly")
+# Candidates are the numeric columns of the feature table (B11) that are neither keys, labels nor
+# values of later days; their category follows from where they come from.
+MARKET_CONTEXT = tuple(c for c in CONTEXT_COLUMNS if c not in DROP_AFTER_FEATURES) + CALENDAR_COLUMNS + ("sector_etf_return_1d",)
+# FIXED VALUES: columns of the relative and interaction layers, and the most that selection keeps of a category
+RELATIVE = ("alpha_vs_nasdaq_5d", "alpha_vs_nasdaq_20d", "alpha_vs_sector_5d", "rs_rank_52wk", "fundamental_quality_score",
+            "pe_vs_sector_median", "beta_adjusted_alpha", "rsi_vs_sector_avg", "rsi_strength", "volume_anomaly")
 INTERACTION = ("outperformance_in_fear", "sector_leader_conviction", "defensive_risk_score", "contrarian_strength",
-               "quality_in_volatility", "sector_momentum_confirmed")
+               "quality_in_volatility", "sector_momentum_confirmed", "sentiment_price_divergence")
+CAPS = {"market": 4, "relative": 8, "interaction": 4, "stock": 10}
 STOCK = ("daily_return", "return_5d", "price_position", "RSI", "atr_ratio", "volume_sma_ratio", "macd_normalized",
          "bollinger_bandwidth", "stochastic_k", "regime_adx", "regime_vol_ratio", "trend_strength_10")
-CAPS = {"market": 4, "relative": 8, "interaction": 4, "stock": 10}
-MI_COLS = MARKET_CONTEXT + RELATIVE + INTERACTION + STOCK
+MI_COLS = tuple(dict.fromkeys(c for c in (*MARKET_CONTEXT, *RELATIVE, *INTERACTION, *NUMERIC, *STOCK)
+                              if not c.startswith("next_")))
 CATEGORY_OF = {**{f: "market" for f in MARKET_CONTEXT}, **{f: "relative" for f in RELATIVE},
                **{f: "interaction" for f in INTERACTION}}
 
@@ -41,9 +44,9 @@ def prep_frame(fx):
     return features(fx).join(s, ["ticker", "trading_date"], "inner")
 
 
-def _imputed(strategy, fill_sql):
+def _imputed(strategy, fill_sql, first=""):
     cols_sql = ", ".join(f"{r4_sql(f'COALESCE({c}, {fill_sql.format(c=c)})')} AS {c}" for c in IMPUTE_COLS)
-    sql = f"SELECT ticker, trading_date, {cols_sql} FROM o_feat"
+    sql = f"{first}SELECT ticker, trading_date, {cols_sql} FROM o_feat"
 
     def build(fx):
         f = features(fx).select("ticker", "trading_date", *IMPUTE_COLS)
@@ -52,7 +55,8 @@ def _imputed(strategy, fill_sql):
     register(f"impute_{strategy if strategy != 'forward_fill' else 'ffill'}", sql, ctes=("o_feat",))(build)
 
 
-_imputed("mean", "(SELECT AVG({c}) FROM o_feat)")
+_imputed("mean", "(SELECT {c} FROM s)", "WITH s AS MATERIALIZED (SELECT "
+         + ", ".join(f"AVG({c}) AS {c}" for c in IMPUTE_COLS) + " FROM o_feat) ")
 _imputed("median", "(SELECT MEDIAN({c}) FROM o_feat)")
 _imputed("mode", "(SELECT {c} FROM o_feat WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1)")
 _imputed("forward_fill", "LAST_VALUE({c} IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY trading_date "
@@ -93,18 +97,12 @@ def q_label(fx):
 
 
 def _scale_sql(kind):
-    parts = []
-    for c in SCALE_COLS:
-        if kind == "standard":
-            e = (f"CASE WHEN (SELECT STDDEV_POP({c}) FROM o_prep WHERE split = 'train') > 0 THEN ({c} - "
-                 f"(SELECT AVG({c}) FROM o_prep WHERE split = 'train')) / (SELECT STDDEV_POP({c}) FROM o_prep "
-                 f"WHERE split = 'train') ELSE 0e0 END")
-        else:
-            lo = f"(SELECT MIN({c}) FROM o_prep WHERE split = 'train')"
-            hi = f"(SELECT MAX({c}) FROM o_prep WHERE split = 'train')"
-            e = f"CASE WHEN {hi} > {lo} THEN ({c} - {lo}) / ({hi} - {lo}) ELSE 0e0 END"
-        parts.append(f"{r4_sql(e)} AS {c}")
-    return f"SELECT ticker, trading_date, {', '.join(parts)} FROM o_prep"
+    pair = ("AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" if kind == "standard"
+            else "MIN({c}) AS m_{c}, MAX({c}) - MIN({c}) AS s_{c}")
+    stats = ", ".join(pair.format(c=c) for c in SCALE_COLS)
+    scaled = ", ".join(f"{r4_sql(f'CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE 0e0 END')} AS {c}" for c in SCALE_COLS)
+    return (f"WITH st AS MATERIALIZED (SELECT {stats} FROM o_prep WHERE split = 'train') "
+            f"SELECT ticker, trading_date, {scaled} FROM o_prep, st")
 
 
 @register("scale_standard", _scale_sql("standard"), ctes=("o_prep",))
@@ -177,15 +175,20 @@ def q_mi(fx):
     return prep.binned_mutual_information(train, MI_COLS).withColumn("mi", r4("mi"))
 
 
-@register("select_capped", f"""
-WITH m AS (SELECT feature, {r4_sql('mi')} AS mi FROM ({_MI_SQL}) q),
-k AS (SELECT feature, mi, {_CAT_SQL} AS category FROM m),
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY mi DESC, feature) AS rank FROM k)
-SELECT feature, category, CAST(rank AS INT) AS rank FROM r WHERE rank <= {_CAP_SQL}""", ctes=("o_prep",))
-def q_capped(fx):
-    """H6 on MI rounded to 4 places (so near-equal MI ties break by name in
-    both engines)."""
+SELECTED_SQL = f"""
+SELECT feature, category, CAST(rank AS INT) AS rank FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY mi DESC, feature) AS rank
+  FROM (SELECT feature, mi, {_CAT_SQL} AS category FROM (SELECT feature, {r4_sql('mi')} AS mi FROM ({_MI_SQL}) q) m) k) r
+WHERE rank <= {_CAP_SQL}"""
+
+
+def selected_features(fx):
+    """H6 on MI rounded to 4 places (so near-equal MI ties break by name in both engines)."""
     train = prep_frame(fx).filter(c_("split") == "train")
     mi = prep.binned_mutual_information(train, MI_COLS).withColumn("mi", r4("mi"))
-    sel = prep.capped_selection(mi, CATEGORY_OF, CAPS)
-    return sel.select("feature", "category", "rank")
+    return prep.capped_selection(mi, CATEGORY_OF, CAPS).select("feature", "category", "rank")
+
+
+@register("select_capped", SELECTED_SQL, ctes=("o_prep",))
+def q_capped(fx):
+    return selected_features(fx)

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -156,3 +157,24 @@ def test_tune_threshold_matches_brute_force(spark):
             best, best_thr = bal, t
     got = thr.tune_threshold(df).collect()[0]
     assert got.threshold == best_thr and math.isclose(got.balanced_accuracy, best, rel_tol=1e-12)
+
+
+def test_quantiles_and_prefixes_with_a_far_outlier(spark):
+    import numpy as np
+    from barloom.functions.quantiles import exact_quantiles, ordered_prefix
+    draw = np.random.default_rng(1)
+    values = [float(x) for x in draw.normal(0, 1, 3000)] + [1e12, -1e9, 0.5, 0.5, 0.5]
+    df = spark.createDataFrame([(g, v) for g in ("a", "b") for v in values[: 3005 if g == "a" else 7]] + [("c", None)],
+                               "g string, v double")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {(r["g"], r["q"]): r["quantile"] for r in exact_quantiles(df, "v", qs, ["g"]).collect()}
+    assert set(got) == {(g, q) for g in "ab" for q in qs}
+    for (g, q), x in got.items():
+        assert x == pytest.approx(np.quantile(values[: 3005 if g == "a" else 7], q), rel=1e-12)
+    whole = {r["q"]: r["quantile"] for r in exact_quantiles(df.where("g = 'a'"), "v", qs).collect()}
+    assert whole[0.5] == pytest.approx(np.quantile(values, 0.5), rel=1e-12)
+    counts = df.where("v IS NOT NULL").groupBy("g", "v").agg(F.count("*").alias("n"))
+    for descending in (False, True):
+        rows = ordered_prefix(counts, "v", ["n"], ["g"], descending).where("g = 'a'").collect()
+        for r in rows[::97] + [x for x in rows if abs(x["v"]) > 1e8]:
+            assert r["n_before"] == sum(x > r["v"] if descending else x < r["v"] for x in values)
