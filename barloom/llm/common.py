@@ -21,18 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared scratch folder and read it back.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``, so a
-    lost executor never takes an intermediate result with it.
+    lost executor never takes an intermediate result with it. ``parts`` is the
+    largest number of files, for tables known to be small.
     """
     spark = df.sparkSession
+    if parts:
+        df = df.coalesce(parts)
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(docs: DataFrame, name: str = "row") -> Column:
+    """All columns of ``docs`` as one struct, so that no name among them can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name)
+
+
 def remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

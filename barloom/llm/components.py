@@ -24,18 +24,23 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, parts: int | None = None, rounds: int | None = None) -> DataFrame:
     """(node, label) for every node of ``edges`` (columns a, b); the label is the
     least node id of the component. Alternates large-star and small-star steps
-    (Kiveris et al. 2014) until the edge list no longer changes."""
+    (Kiveris et al. 2014) until the edge list no longer changes, or for so many
+    ``rounds``: then nodes with one label are connected, but a component may
+    still have several. ``parts`` is the largest number of files to write."""
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                  .distinct(), "edges")
+                  .distinct(), "edges", parts)
     seen = None
     while True:
-        now = written(_stars(_stars(now, True), False), "edges")
+        now = written(_stars(_stars(now, True), False), "edges", parts)
+        if rounds is not None and (rounds := rounds - 1) == 0:
+            break
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             break
         seen = mark
+    # a node may still have several edges when the rounds were limited: it takes the least
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
-        now.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()
+        now.select(F.col("b").alias("node"), F.col("b").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))

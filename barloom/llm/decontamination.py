@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import table, written
+from barloom.llm.common import table, whole_row, written
 
 WIDTH = 13
 #: A document is contaminated when its hit words are at least one in so many of its words.
@@ -120,18 +120,18 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, width: int = WID
              .agg(F.collect_set(F.struct("pos", "size")).alias("spans"), F.first("n").alias("n")))
     n_hit = F.expr("size(array_distinct(flatten(transform(spans, v -> sequence(v.pos, v.pos + v.size - 1)))))")
     spans = spans.withColumn("drop", ONE_IN * n_hit >= F.col("n"))
-    text = F.col("d.text").cast("string")
-    d = docs.withColumn("_content", F.xxhash64(F.col("text").cast("string"))).alias("d")
-    joined = d.join(spans.alias("s"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("s.doc_id"))
-                    & (F.col("d._content") == F.col("s.content")), "left").where("drop IS NULL OR NOT drop")
-    piece = rf"regexp_extract_all(d.text, '([\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+)', 1)"
-    cut = F.expr(f"concat(array_join(transform({piece}, (p, i) -> if(exists(spans, v -> i >= v.pos AND i < v.pos + "
-                 r"v.size), '', p)), ''), regexp_extract(d.text, '([\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*)$', 1))")
-    new = F.when(F.col("spans").isNull(), text).otherwise(cut)
-    cols = [new.alias(c) if c == "text" else
-            F.when(F.col("spans").isNull(), F.col("d.n_chars")).otherwise(F.length(new)).alias(c) if c == "n_chars" else
-            F.col(f"d.{c}") for c in docs.columns]
-    return joined.select(*cols)
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("content"),
+                       whole_row(docs)).alias("d")
+    joined = rows.join(spans.alias("s"), F.col("d.id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.content") == F.col("s.content")),
+                       "left").where("drop IS NULL OR NOT drop").select("row", "spans", F.col("row.text").cast("string").alias("text"))
+    outside, inside = r"[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]", r"[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
+    cut = F.expr(f"concat(array_join(transform(regexp_extract_all(text, '({outside}*{inside}+)', 1), (p, i) -> "
+                 "if(exists(spans, v -> i >= v.pos AND i < v.pos + v.size), '', p)), ''), "
+                 f"regexp_extract(text, '({outside}*)$', 1))")
+    clean = F.col("spans").isNull()
+    new = {"text": F.when(clean, F.col("row.text")).otherwise(cut),
+           "n_chars": F.when(clean, F.col("row.n_chars") if "n_chars" in docs.columns else None).otherwise(F.length(cut))}
+    return joined.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import shingle_hashes, table, written
+from barloom.llm.common import shingle_hashes, table, whole_row, written
 from barloom.llm.components import components
 
 #: One point in so many shows which shingles are common. This only orders shingles; links do not depend on it.
@@ -44,6 +44,8 @@ COMMON_FROM = 3
 MAX_COMMON = 2_000_000
 #: Up to so many document ids (8 bytes each) are broadcast to pick documents; beyond, the join shuffles.
 MAX_BROADCAST_IDS = 2_000_000
+#: Rows of the neighbourhoods that later, smaller tables get one file for.
+ROWS_PER_FILE = 20_000
 #: Regions are split again while the open pairs exceed this multiple of the open rows and new pivots halve them.
 OPEN_FACTOR = 64
 
@@ -87,8 +89,8 @@ def _parities(shingles: np.ndarray) -> np.ndarray:
 
 
 def shingle_points(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """(doc_id, point, n, early, sketch): the point id, the set size, the shingles
-    before the prefix bound in global order, and the odd sketch."""
+    """(doc_id, content, point, n, early, sketch): a hash of the text, the point id, the
+    set size, the shingles before the prefix bound in global order, and the odd sketch."""
     common = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs, width))
 
     def points(batches):
@@ -106,11 +108,12 @@ def shingle_points(docs: DataFrame, percent: int, width: int) -> DataFrame:
                 keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
                 early.append(s[:keep])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.int64()), pa.array(n, pa.int32()), _longs(early), _longs(sketches)],
-                ["doc_id", "point", "n", "early", "sketch"])
+                [batch.column("doc_id"), batch.column("content"), pa.array(ids, pa.int64()), pa.array(n, pa.int32()),
+                 _longs(early), _longs(sketches)], ["doc_id", "content", "point", "n", "early", "sketch"])
 
-    out = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        points, "doc_id long, point long, n int, early array<long>, sketch array<long>")
+    text = F.col("text").cast("string")
+    out = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("content"), text.alias("text")).mapInArrow(
+        points, "doc_id long, content long, point long, n int, early array<long>, sketch array<long>")
     return written(out, "points")
 
 
@@ -120,7 +123,7 @@ def _far(a: str, b: str, percent: int) -> str:
     return f"({100 + percent} * ({a}.n - {a}.pos) < {need} OR {100 + percent} * ({b}.n - {b}.pos) < {need})"
 
 
-def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, percent: int) -> DataFrame:
+def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, percent: int, parts: int) -> DataFrame:
     """Bounds on the distances of ``pairs`` (a, b): (a, b, low, up, linked).
 
     Sketches give an exact lower bound; where it leaves a link possible, the
@@ -135,10 +138,10 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
     apart = F.expr(f"if(100 * least(na, nb) < {percent} * greatest(na, nb), abs(na - nb), {differ})")
     pairs = pairs.join(side[0], "a").join(side[1], "b").withColumn("apart", apart)
     pairs = written(pairs.select("a", "b", "ida", "idb", F.expr("2 * apart / (na + nb + apart)").alias("low"),
-                                 F.expr(f"100 * (na + nb - apart) >= {percent} * (na + nb + apart)").alias("maybe")), "pairs")
+                                 F.expr(f"100 * (na + nb - apart) >= {percent} * (na + nb + apart)").alias("maybe")), "pairs", parts)
     maybe = pairs.where("maybe")
     ids = written(maybe.select(F.col("ida").alias("doc_id")).union(maybe.select(F.col("idb").alias("doc_id")))
-                  .where("doc_id IS NOT NULL").distinct(), "named")
+                  .where("doc_id IS NOT NULL").distinct(), "named", parts)
 
     def build(batches):
         for batch in batches:
@@ -148,7 +151,7 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
 
     wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
     sets = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-                   .mapInArrow(build, "point long, shingles array<long>").dropDuplicates(["point"]), "sets")
+                   .mapInArrow(build, "point long, shingles array<long>").dropDuplicates(["point"]), "sets", parts)
     a = sets.select(F.col("point").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("point").alias("b"), F.col("shingles").alias("sb"))
     both, union = F.col("both"), F.size("sa") + F.size("sb") - F.col("both")
@@ -157,11 +160,12 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
              .select("a", "b", (1 - both / union).alias("low"), (1 - both / union).alias("up"),
                      (100 * both >= percent * union).alias("linked")))
     rest = pairs.where("NOT maybe").select("a", "b", "low", F.lit(1.0).alias("up"), F.lit(False).alias("linked"))
-    return written(exact.unionByName(rest), "distances")
+    return written(exact.unionByName(rest), "distances", parts)
 
 
 def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, point.
+    """One row per input row: doc_id, n_shingles, component_id, label (names
+    the component among points; NULL without shingles), content (hash of the text).
 
     ``docs`` needs doc_id and text; other columns are ignored. Two rows are
     linked when ``100 * intersection >= percent * union`` of their distinct
@@ -174,6 +178,7 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
     equal texts only. Radius and windows follow from ``percent``; nothing is capped. An empty table gives an empty result.
     """
     radius = 1 - percent / 100
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     points = shingle_points(docs, percent, width)
     index = written(points.where("n > 0").groupBy("point").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("early").alias("early"),
@@ -183,6 +188,8 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
     rows = rows.withColumn("size", F.count("*").over(by_shingle)).withColumn(
         "pivot", F.min(F.struct("pos", "point", "n")).over(by_shingle)).where("size > 1")
     rows = written(rows, "neighbourhoods")
+    # what follows is smaller than the neighbourhoods, and is written to as many files at most
+    parts = max(8, rows.count() // ROWS_PER_FILE)
 
     known = links = labels = None
     before = None
@@ -195,10 +202,10 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
         else:
             either = known.select("a", "b").union(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
             star = star.select("a", "b").distinct().join(either, ["a", "b"], "left_anti")
-        found = _measure(star, docs, index, width, percent)
+        found = _measure(star, docs, index, width, percent, parts)
         known = found if known is None else known.union(found)
         links = known.where("linked").select("a", "b")
-        labels = written(components(links), "labels")
+        labels = written(components(links, parts, rounds=2), "labels", parts)
 
         # windows: a point of the region leaves when no foreign point is within the radius of its own distance
         name = labels.select(F.col("node").alias("point"), "label")
@@ -213,7 +220,7 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
             f"NOT own OR (nearest IS NOT NULL AND up + {radius} + 1e-9 >= nearest)")
         left = left.withColumn("size", F.count("*").over(by_shingle)).withColumn(
             "same", F.count("*").over(Window.partitionBy("s", "label"))).where("same < size")
-        left = written(left.select("s", "point", "n", "pos", "size", "same", "label", "own", "low", "up"), "open")
+        left = written(left.select("s", "point", "n", "pos", "size", "same", "label", "own", "low", "up"), "open", parts)
         total = left.agg(F.count("*").alias("rows"), F.sum(F.col("size") - F.col("same")).alias("pairs")).first()
         if not total["rows"]:
             break
@@ -222,37 +229,42 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
             first = F.coalesce(F.min(F.when(~F.col("own"), F.struct("pos", "point", "n"))).over(by_shingle),
                                F.min(F.struct("pos", "point", "n")).over(by_shingle))
             rows = written(left.withColumn("pivot", first).select("point", "n", "pos", "s", "size", "pivot"),
-                           "neighbourhoods")
+                           "neighbourhoods", parts)
             continue
         x, y = left.alias("x"), left.alias("y")
         near = f"y.low <= x.up + {radius} + 1e-9 AND x.low <= y.up + {radius} + 1e-9"
         rest = x.join(y, F.col("x.s") == F.col("y.s")).where(
             f"x.point < y.point AND x.label <> y.label AND {near} AND NOT {_far('x', 'y', percent)}")
         rest = rest.select(F.col("x.point").alias("a"), F.col("y.point").alias("b")).distinct()
-        found = _measure(rest, docs, index, width, percent)
-        labels = written(components(links.union(found.where("linked").select("a", "b"))), "labels")
+        found = _measure(rest, docs, index, width, percent, parts)
+        links = links.union(found.where("linked").select("a", "b"))
         break
+    labels = written(components(links, parts), "labels", parts)
 
     least = index.select("point", "doc_id")
     joined = least.join(labels.select(F.col("node").alias("point"), "label"), "point")
     by_label = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    linked = joined.join(by_label, "label").select("point", "component_id")
+    linked = joined.join(by_label, "label").select("point", "label", "component_id")
     names = least.join(linked, "point", "left").select(
-        "point", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return points.select("doc_id", "n", "point").join(names, "point", "left").select(
+        "point", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("label", "point").alias("label"))
+    return points.select("doc_id", "content", "n", "point").join(names, "point", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "point")
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label", "content")
 
 
 def keep_one_per_component(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """Rows of ``docs`` with one document of each component kept: the one with the
-    least doc_id. Rows without shingles are all kept, save that a repeated
-    doc_id is kept once; rows without a doc_id cannot be told apart and stay.
-    All columns are returned."""
-    kept = (similarity_components(docs, percent, width).where("doc_id = component_id")
-            .groupBy(F.col("doc_id").alias("_kept")).agg(F.min("point").alias("_point")))
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
-    return rows.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    least doc_id (of equal ids, the least hash of the text; rows without an id
+    come after all others). Of rows without shingles one per doc_id stays, and
+    of equal rows one. All columns are returned."""
+    rows = similarity_components(docs, percent, width)
+    group = F.struct("label", F.when(F.col("label").isNull(), F.col("doc_id")).alias("id"))
+    kept = rows.groupBy(group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")).alias("k"))
+    key = F.concat_ws(":", "doc_id", "content").alias("key")
+    kept = kept.select("k.doc_id", "k.content").select(key)
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("content"),
+                        whole_row(docs)).select(key, "row")
+    return keyed.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

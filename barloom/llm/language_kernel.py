@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from barloom.llm.common import remainder, table
+from barloom.llm.common import remainder, table, whole_row
 
 #: Labelled documents per language that the model is fitted on (chosen by hash of the id), at most.
 PER_LANGUAGE = 500
@@ -138,8 +139,8 @@ def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(lang), pa.array(best, pa.float64()), b.column(1)], ["lang_pred", "score", "row"])
 
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("row"))
-    schema = f"lang_pred string, score double, row {rows.schema['row'].dataType.simpleString()}"
+    rows = docs.select(F.col("text").cast("string").alias("text"), whole_row(docs))
+    schema = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()), rows.schema["row"]])
     return rows.mapInArrow(score, schema)
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import table, written
+from barloom.llm.common import table, whole_row, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Same matches as the plain patterns; runs are entered only at their start, which keeps long runs linear.
@@ -162,16 +162,18 @@ def _ordered(spans: DataFrame) -> DataFrame:
 
 
 def _beside(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` rows, each with its spans (``all``, NULL if none)."""
-    keyed = docs.withColumn("_content", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    by_doc = _ordered(spans).select(F.col("doc_id").alias("_id"), F.col("content").alias("_c"), "all")
-    return keyed.join(by_doc, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                      & (F.col("_content") == F.col("_c")), "left").drop("_id", "_c", "_content")
+    """Every row of ``docs`` as ``row``, with its text (NULL is empty) and its spans (``all``, NULL if none)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("content"), text.alias("text"),
+                       whole_row(docs)).alias("d")
+    by_doc = _ordered(spans).alias("s")
+    return rows.join(by_doc, F.col("d.id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.content") == F.col("s.content")),
+                     "left").select("row", "id", "text", "all")
 
 
 def report(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """One row per row of ``docs``: counts by kind, the digest of the base spans, and all spans."""
-    rows = _beside(docs.select("doc_id", "text"), spans)
+    rows = _beside(docs.select("doc_id", "text"), spans).withColumnRenamed("id", "doc_id")
     text = "transform({}, s -> concat(s.kind, ':', s.start, ':', s.end))"
     named = "coalesce(all, CAST(array() AS array<struct<start:bigint,rank:bigint,end:bigint,kind:string>>))"
     counts = [F.expr(f"CAST(size(filter(all, s -> s.kind = '{k}')) AS long)").alias(f"n_{k}") for k in KINDS]
@@ -195,13 +197,77 @@ def sanitise(docs: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     new = F.expr(
         "concat(array_join(transform(_m, (s, i) -> concat(substring(text, if(i = 0, 0, _m[i - 1].end) + 1, "
         "s.start - if(i = 0, 0, _m[i - 1].end)), '[', upper(s.kind), ']')), ''), substring(text, element_at(_m, -1).end + 1))")
-    text = F.when(F.expr("all IS NULL"), F.col("text")).otherwise(new)
-    return rows.withColumn("_new", text).select(*[
-        F.col("_new").alias(c) if c == "text" else
-        F.when(F.expr("all IS NULL"), F.col(c)).otherwise(F.length("_new")).alias(c) if c == "n_chars" else F.col(c)
-        for c in docs.columns])
+    clean = F.col("all").isNull()
+    fields = {"text": F.when(clean, F.col("row.text")).otherwise(new),
+              "n_chars": F.when(clean, F.col("row.n_chars") if "n_chars" in docs.columns else None).otherwise(F.length(new))}
+    return rows.select(*[fields.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return report(docs, find_personal_data(docs))
+
+
+_PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+ORACLE_SQL = r"""
+WITH t AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+f AS (""" + " UNION ALL ".join(
+    f"SELECT doc_id, text, '{k}' AS kind, {i} AS rank, regexp_extract_all(text, '{p}') AS found, "
+    f"regexp_split_to_array(text, '{p}') AS gaps FROM t WHERE regexp_matches(text, '{p}')"
+    for i, (k, p) in enumerate(_PLAIN.items())) + r"""),
+m AS (SELECT *, generate_subscripts(found, 1) AS i, unnest(found) AS v FROM f),
+e AS (SELECT *, SUM(length(gaps[i]) + length(v)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop,
+  regexp_replace(v, '[^0-9]', '', 'g') AS digits FROM m),
+base AS MATERIALIZED (
+  SELECT doc_id, text, kind, rank, CAST(stop - length(v) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop,
+    CASE kind WHEN 'email' THEN lower(v) WHEN 'ip' THEN v ELSE digits END AS entity,
+    CASE WHEN length(gaps[i]) > 120 THEN regexp_replace("right"(gaps[i], 120), '^[\p{L}\p{N}]+', '') ELSE gaps[i] END || ' ' ||
+    CASE WHEN length(gaps[i + 1]) > 120 THEN regexp_replace("left"(gaps[i + 1], 120), '[\p{L}\p{N}]+$', '') ELSE gaps[i + 1] END AS near
+  FROM e
+  WHERE CASE kind WHEN 'email' THEN true
+    WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda p: CAST(p AS HUGEINT) > 255)) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda j:
+      CASE WHEN j % 2 = 1 THEN CAST(digits[-j] AS INT) ELSE CAST(digits[-j] AS INT) * 2
+           - CASE WHEN CAST(digits[-j] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0
+    ELSE length(digits) BETWEEN 9 AND 15 END),
+texts AS MATERIALIZED (SELECT DISTINCT text FROM t),
+n_e AS (SELECT kind, entity, COUNT(DISTINCT text) AS n_e FROM base GROUP BY ALL),
+near AS (
+  SELECT DISTINCT text, kind, entity, term
+  FROM (SELECT text, kind, entity, unnest(regexp_split_to_array(lower(near), '[^\p{L}\p{N}]+')) AS term FROM base)
+  WHERE regexp_matches(term, '^\p{L}')),
+pairs AS MATERIALIZED (
+  SELECT term, kind, entity, COUNT(*) AS n_te FROM near GROUP BY ALL HAVING COUNT(*) >= 3),
+n_t AS (
+  SELECT term, COUNT(*) AS n_t
+  FROM (SELECT unnest(list_distinct(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'))) AS term FROM texts)
+  WHERE term IN (SELECT term FROM pairs) GROUP BY term),
+terms AS (
+  SELECT DISTINCT term FROM pairs JOIN n_e USING (kind, entity) JOIN n_t USING (term),
+    (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM texts) c
+  WHERE n_e < n AND log2(n * n_te / (n_t * n_e)) / log2(n / n_e) >= 0.85),
+words AS (SELECT doc_id, generate_subscripts(p, 1) AS i, unnest(p) AS piece
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\p{L}\p{N}]*[\p{L}\p{N}]+') AS p FROM t)),
+ends AS (SELECT doc_id, regexp_replace(piece, '^[^\p{L}\p{N}]+', '') AS word,
+  SUM(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM words),
+found AS (SELECT doc_id, CAST(stop - length(word) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM ends
+  WHERE lower(word) IN (SELECT term FROM terms)),
+spans AS (
+  SELECT doc_id, kind, rank, start, stop FROM base
+  UNION ALL SELECT doc_id, 'term', 4, start, stop FROM found x
+    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND x.start < b.stop AND b.start < x.stop)),
+told AS (
+  SELECT doc_id, COUNT_IF(kind = 'email') AS n_email, COUNT_IF(kind = 'ip') AS n_ip, COUNT_IF(kind = 'card') AS n_card,
+    COUNT_IF(kind = 'phone') AS n_phone,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE kind <> 'term') AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans FROM spans GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_ip, 0) AS BIGINT) AS n_ip,
+  CAST(coalesce(n_card, 0) AS BIGINT) AS n_card, CAST(coalesce(n_phone, 0) AS BIGINT) AS n_phone,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN told ON told.doc_id = t.doc_id
+"""

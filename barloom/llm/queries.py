@@ -20,6 +20,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
+    "op8_pii_disclosure": pii.ORACLE_SQL,
     "op4_decontamination": decontamination.ORACLE_SQL,
     "op9_merkle_audit": merkle_audit.ORACLE_SQL,
     "op10_jaccard_join": jaccard_join.ORACLE_SQL,
