@@ -10,6 +10,7 @@ from barloom.operators import features as feat
 from barloom.operators import models as mdl
 from barloom.operators import signals as sig
 from barloom.plans.q_features import features
+from barloom.session import stored
 from barloom.sources.fixtures import Fixtures
 
 
@@ -51,39 +52,33 @@ def daily_scoring(fx: Fixtures, model_path: str, thresholds: dict) -> DataFrame:
     return sig.reliability_filter(sig.decide_direction(scored, cfg), cfg)
 
 
-def weekly_retrain(fx: Fixtures, features: tuple[str, ...] | None = None, trees: int = 50,
-                   boost_iters: int = 50) -> DataFrame:
+def weekly_retrain(fx: Fixtures, feature_cols: tuple[str, ...] | None = None,
+                   sizes: mdl.ModelSizes = mdl.ModelSizes()) -> DataFrame:
     """The weekly training run end to end (survey 3.1): feature table -> E26
-    clean-up -> label -> purged split, dead zone, weights -> weighted forest,
-    boosted trees and logistic regression -> Platt calibration and balanced-
-    accuracy threshold on the calibration split -> test metrics per model."""
-    from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-
+    clean-up -> label -> feature selection on the train slice (H5, H6; unless
+    ``feature_cols`` names them) -> purged split, dead zone, weights -> weighted
+    forest, boosted trees and logistic regression -> Platt calibration and
+    balanced-accuracy threshold on the calibration split -> test metrics per model."""
     from barloom.operators import labels as lab
     from barloom.operators.metrics import classification_metrics
     from barloom.operators.thresholds import tune_threshold
-    from barloom.plans.q_prep import RELATIVE, STOCK
-    feats = tuple(features or (STOCK + RELATIVE))
+    from barloom.plans.q_prep import selected_features
+    # at most the sum of the category caps
+    feats = tuple(feature_cols or sorted(r["feature"] for r in selected_features(fx).collect()))
 
     def build(f):
         lf = labelled_features(f.spark, f.sf_dir).withColumn("y", (F.col("direction_5d") == "Up").cast("int"))
-        lf = lab.dead_zone(lab.split_purged(lf))
+        lf = stored(lab.dead_zone(lab.split_purged(lf)).select(
+            "ticker", "trading_date", "split", "y", "direction_5d", *feats), "retrain-rows")
         w = lab.sample_weights(lf.filter(F.col("split") == "train")).select("ticker", "trading_date", "sample_weight")
-        out = lf.join(w, ["ticker", "trading_date"], "left").withColumn(
-            "sample_weight", F.coalesce(F.col("sample_weight"), F.lit(1.0)))
-        return out.select("ticker", "trading_date", "split", "y", "sample_weight", *feats)
-    data = fx.derived(f"retrain_frame_{len(feats)}", build)
+        return lf.join(w, ["ticker", "trading_date"], "left").withColumn(
+            "sample_weight", F.coalesce(F.col("sample_weight"), F.lit(1.0))).drop("direction_5d")
+    data = fx.derived("retrain_frame_" + "_".join(feats), build)
     train, cal, test = (data.filter(F.col("split") == s) for s in ("train", "calibration", "test"))
-    models = {
-        "random_forest": RandomForestClassifier(numTrees=trees, maxDepth=10, minInstancesPerNode=5,
-                                                featureSubsetStrategy="sqrt", seed=42, weightCol="sample_weight"),
-        "gradient_boosting": GBTClassifier(maxIter=boost_iters, maxDepth=5, stepSize=0.1, subsamplingRate=0.8,
-                                           seed=42, weightCol="sample_weight"),
-        "logistic": LogisticRegression(maxIter=100, regParam=0.01, weightCol="sample_weight"),
-    }
+    zoo = mdl.classifier_zoo(sizes=sizes)
     parts = []
-    for name, est in models.items():
-        m = mdl.fit_classifier(train, feats, est)
+    for name in ("random_forest", "gradient_boosting", "logistic"):
+        m = mdl.fit_classifier(train, feats, zoo[name])
         cal_s = mdl.score(m, cal, ["y"])
         test_s = mdl.platt(cal_s, mdl.score(m, test, ["y"]))
         thr_row = tune_threshold(mdl.platt(cal_s, cal_s).withColumn("p", F.col("p_calibrated"))).first()

@@ -16,27 +16,38 @@ from barloom.plans import derived as dv
 from barloom.plans.catalog import register
 from barloom.plans.pipelines import daily_scoring, labelled_features
 from barloom.plans.q_more import q_thresholds_effective
-from barloom.plans.q_prep import RELATIVE, STOCK
-from barloom.session import scratch_path
+from barloom.plans.q_features import features
+from barloom.plans.q_prep import MI_COLS, RELATIVE, STOCK, prep_frame
+from barloom.session import scratch_path, stored
 
 c_ = F.col
 ML_FEATURES = STOCK + RELATIVE
 
 
-def ml_frame(fx):
-    """Cleaned, labelled features with purged split, dead zone (train and
-    calibration only), clipped target and G6 weights on the train slice."""
+# The keys fit at these sizes so that a comparison run stays short; the operators' own defaults are the
+# production sizes, and ``weekly_retrain`` uses those.
+KEY_SIZES = mdl.ModelSizes(trees=20, depth=8, rounds=20, round_depth=5)
+SELECTION_SAMPLE = 20_000
+
+
+def ml_base(fx):
+    """Cleaned, labelled features: every labelled row, no split."""
     def build(f):
         lf = labelled_features(f.spark, f.sf_dir)
-        lf = lf.withColumn("y", (c_("direction_5d") == "Up").cast("int"))
-        lf = lab.label_clip(lab.dead_zone(lab.split_purged(lf))).withColumnRenamed(
+        return lf.select("ticker", "trading_date", (c_("direction_5d") == "Up").cast("int").alias("y"), "direction_5d",
+                         "next_5d_return", *ML_FEATURES)
+    return fx.derived("ml_base", build)
+
+
+def ml_frame(fx):
+    """``ml_base`` with purged split, dead zone (train and calibration only), clipped target and G6
+    weights on the train slice."""
+    def build(f):
+        lf = lab.label_clip(lab.dead_zone(lab.split_purged(ml_base(f)))).withColumnRenamed(
             "next_5d_return_clipped", "y_return_clipped")
-        train = lab.sample_weights(lf.filter(c_("split") == "train")).select(
-            "ticker", "trading_date", "sample_weight")
-        out = lf.join(train, ["ticker", "trading_date"], "left").withColumn(
+        train = lab.sample_weights(lf.filter(c_("split") == "train")).select("ticker", "trading_date", "sample_weight")
+        return lf.join(train, ["ticker", "trading_date"], "left").withColumn(
             "sample_weight", F.coalesce(c_("sample_weight"), F.lit(1.0)))
-        return out.select("ticker", "trading_date", "split", "y", "direction_5d", "next_5d_return",
-                          "y_return_clipped", "sample_weight", *ML_FEATURES)
     return fx.derived("ml_frame", build)
 
 
@@ -53,55 +64,56 @@ def _round(df):
 @register("train_classifiers")
 def q_train_classifiers(fx):
     tr, te = _train_test(fx)
-    return _round(mdl.train_classifiers(tr, te, ML_FEATURES))
+    return _round(mdl.train_classifiers(tr, te, ML_FEATURES, sizes=KEY_SIZES))
 
 
 @register("train_gbt")
 def q_train_gbt(fx):
     tr, te = _train_test(fx)
-    return _round(mdl.train_gbt_early_stopping(tr, te, ML_FEATURES))
+    return _round(mdl.train_gbt_early_stopping(tr, te, ML_FEATURES, sizes=KEY_SIZES))
 
 
 @register("train_zoo")
 def q_train_zoo(fx):
     tr, te = _train_test(fx)
-    return _round(mdl.train_zoo(tr, te, ML_FEATURES))
+    return _round(mdl.train_zoo(tr, te, ML_FEATURES, sizes=KEY_SIZES))
 
 
 @register("tune_random")
 def q_tune_random(fx):
     tr, _ = _train_test(fx)
-    folds = lab.cv_folds(tr, n_splits=2)
-    return _round(mdl.tune_random(tr, folds, ML_FEATURES, draws=2))
+    folds = lab.cv_folds(tr, n_splits=3)
+    return _round(mdl.tune_random(tr, folds, ML_FEATURES, draws=2, rounds=10))
 
 
 @register("tune_grid")
 def q_tune_grid(fx):
     tr, _ = _train_test(fx)
-    return _round(mdl.tune_grid(tr, ML_FEATURES, folds=2))
+    return _round(mdl.tune_grid(tr, ML_FEATURES))
 
 
 @register("train_regressors")
 def q_train_regressors(fx):
     tr, te = _train_test(fx)
-    return _round(mdl.train_regressors(tr, te, ML_FEATURES))
+    return _round(mdl.train_regressors(tr, te, ML_FEATURES, sizes=KEY_SIZES))
 
 
 @register("feature_importance")
 def q_importance(fx):
     tr, _ = _train_test(fx)
-    m = mdl.fit_classifier(tr, ML_FEATURES, mdl.classifier_zoo()["random_forest"])
+    m = mdl.fit_classifier(tr, ML_FEATURES, mdl.classifier_zoo(sizes=KEY_SIZES)["random_forest"])
     return _round(mdl.feature_importance(m, ML_FEATURES))
 
 
 @register("select_importance")
-def q_select_importance(fx):
-    """H7: top-20 features by forest importance, fitted on a seeded sample
-    (sampling is the operator here)."""
-    tr, _ = _train_test(fx)
-    sample = tr.sample(fraction=min(1.0, 20000 / max(tr.count(), 1)), seed=42)
-    m = mdl.fit_classifier(sample, ML_FEATURES, mdl.classifier_zoo(weight=None)["random_forest"])
-    return _round(mdl.feature_importance(m, ML_FEATURES).limit(20))
+def q_select_importance(fx, sample_rows: int = SELECTION_SAMPLE, keep: int = 20):
+    """H7: the ``keep`` most important features of all candidates, by a forest fitted on a seeded
+    sample (sampling is the operator here, its size a parameter)."""
+    train = prep_frame(fx).filter(c_("split") == "train").select("y", *MI_COLS)
+    sample = train.sample(fraction=min(1.0, sample_rows / max(train.count(), 1)), seed=42)
+    filled = sample.select("y", *[F.coalesce(c_(c).cast("double"), F.lit(0.0)).alias(c) for c in MI_COLS])
+    m = mdl.fit_classifier(filled, MI_COLS, mdl.classifier_zoo(weight=None, sizes=KEY_SIZES)["random_forest"])
+    return _round(mdl.feature_importance(m, MI_COLS).limit(keep))
 
 
 @register("predict_batch")
@@ -117,42 +129,90 @@ def q_predict_batch(fx):
                            "is_actionable", "suppression_reason"))
 
 
+COMPARED = ((1, 0.0), (3, 0.0), (5, 0.0), (1, 1.0), (3, 1.0), (5, 1.0))
+
+
 @register("compare_feature_sets")
 def q_compare(fx):
-    """Baseline (price/volume only) vs enhanced (+ relative) feature set
-    on the same split; improvement percent per metric."""
-    tr, te = _train_test(fx)
-    base_cols = ("daily_return", "return_5d", "price_position", "RSI", "volume_sma_ratio")
+    """Baseline (price / volume only) against the enhanced set (+ relative) on one split, for the
+    return 1, 3 and 5 days ahead (R2, linear regression) and six classes (up, and up by more than
+    1 %, each 1, 3 and 5 days ahead; weighted F1, logistic regression), with the improvement."""
+    sets = {"baseline": ("daily_return", "return_5d", "price_position", "RSI", "volume_sma_ratio"), "enhanced": ML_FEATURES}
+    ahead = features(fx).select("ticker", "trading_date", *[
+        ((c_(f"next_{d}d_close") / c_("close_price") - 1) * 100).alias(f"ret_{d}") for d in (1, 3, 5)])
+    data = ml_frame(fx).join(ahead, ["ticker", "trading_date"]).select(
+        "split", "sample_weight", *ML_FEATURES, *[F.greatest(F.least(c_(f"ret_{d}"), F.lit(10.0)), F.lit(-10.0)).alias(f"ret_{d}")
+                                                  for d in (1, 3, 5)],
+        *[(c_(f"ret_{d}") > t).cast("int").alias(f"up_{d}_{t:.0f}") for d, t in COMPARED])
+    data = stored(data, "compare")
+    tr, te = data.filter("split = 'train'"), data.filter("split = 'test'")
+    rows = []
+    for name, cols in sets.items():
+        for d in (1, 3, 5):
+            t = tr.filter(c_(f"ret_{d}").isNotNull())
+            m = mdl.Pipeline(stages=[mdl.assembler(cols), mdl.scaler(), mdl.LinearRegression(
+                labelCol=f"ret_{d}", weightCol="sample_weight", regParam=0.01)]).fit(t)
+            scored = m.transform(te.filter(c_(f"ret_{d}").isNotNull())).select(
+                c_(f"ret_{d}").alias("y_return"), c_("prediction").alias("pred_return"))
+            rows.append(met.regression_metrics(scored, []).select(F.lit(f"return_{d}d").alias("target"), F.lit(name).alias("feature_set"),
+                                                                  c_("r2").alias("value")))
+        for d, t in COMPARED:
+            y = f"up_{d}_{t:.0f}"
+            m = mdl.fit_classifier(tr.filter(c_(y).isNotNull()), cols, mdl.classifier_zoo(sizes=KEY_SIZES)["logistic"], label=y)
+            scored = mdl.score(m, te.filter(c_(y).isNotNull()), [y])
+            rows.append(met.classification_metrics(scored, [], y=y).select(
+                F.lit(y).alias("target"), F.lit(name).alias("feature_set"), c_("f1_weighted").alias("value")))
+    both = rows[0]
+    for r in rows[1:]:
+        both = both.unionByName(r)
+    pv = both.groupBy("target").pivot("feature_set", list(sets)).agg(F.first("value"))
+    return _round(pv.withColumn("improvement_pct", F.try_divide(c_("enhanced") - c_("baseline"), F.abs("baseline")) * 100))
+
+
+WALK_BANDS = ((0.0, 0.55, "<55%"), (0.55, 0.60, "55-60%"), (0.60, 0.67, "60-67%"), (0.67, 1.01, ">=67%"))
+
+
+def walk_forward(frame, feature_cols, estimator, folds: int = 6, test_window: int = 21, dead_zone_pct: float = 1.0,
+                 least: int = 10):
+    """Per walk-forward fold, on its own rows: dead zone off train and calibration, G6 weights on
+    train, fit, Platt calibration, then the test dates: accuracy, accuracy outside the dead zone,
+    weighted F1, accuracy by confidence band and by called side (cells of at least ``least`` rows).
+    Long rows (fold, metric, key, n, value). ``frame`` holds every labelled row."""
+    plan = lab.walkforward_folds(frame, folds=folds, test_window=test_window)
     out = []
-    for name, cols in (("baseline", base_cols), ("enhanced", ML_FEATURES)):
-        m = mdl.fit_classifier(tr, cols, mdl.classifier_zoo()["logistic"])
-        out.append(met.classification_metrics(mdl.score(m, te, ["y"]), []).withColumn("feature_set", F.lit(name)))
-    both = out[0].unionByName(out[1])
-    pv = both.groupBy().pivot("feature_set", ["baseline", "enhanced"]).agg(F.first("f1_weighted"))
-    return _round(pv.withColumn("improvement_pct", (c_("enhanced") - c_("baseline")) / c_("baseline") * 100))
+    for (fid,) in plan.select("fold").distinct().orderBy("fold").collect():
+        dates = plan.filter(c_("fold") == fid).select("trading_date", "role")
+        part = frame.join(F.broadcast(dates), "trading_date")        # one row per date
+        moves = F.abs("next_5d_return") >= dead_zone_pct
+        train = stored(lab.sample_weights(part.filter((c_("role") == "train") & moves)), "fold")
+        cal, test = part.filter((c_("role") == "calibration") & moves), part.filter(c_("role") == "test")
+        m = mdl.fit_classifier(train, feature_cols, estimator)
+        scored = mdl.platt(mdl.score(m, cal, ["y"]), mdl.score(m, test, ["y", "next_5d_return"])).select(
+            "y", moves.alias("moves"), c_("p_calibrated").alias("p"), (c_("p_calibrated") >= 0.5).cast("int").alias("pred"))
+        scored = stored(scored, "walk")
+        right = (c_("y") == c_("pred")).cast("double")
+        conf = F.greatest("p", 1 - c_("p"))
+        band = F.coalesce(*[F.when((conf >= lo) & (conf < hi), F.lit(k)) for lo, hi, k in WALK_BANDS])
+        cells = scored.select(right.alias("right"), F.explode(F.array(
+            F.struct(F.lit("accuracy").alias("metric"), F.lit("all").alias("key")),
+            F.struct(F.when(c_("moves"), F.lit("accuracy_ex_dead_zone")).alias("metric"), F.lit("all").alias("key")),
+            F.struct(F.lit("by_confidence").alias("metric"), band.alias("key")),
+            F.struct(F.lit("by_side").alias("metric"), F.when(c_("pred") == 1, "buy").otherwise("sell").alias("key")))).alias("c"))
+        cells = cells.filter("c.metric IS NOT NULL").groupBy("c.metric", "c.key").agg(
+            F.count("*").alias("n"), F.avg("right").alias("value")).filter(
+            F.col("metric").startswith("accuracy") | (c_("n") >= least))
+        f1 = met.classification_metrics(scored, []).select(
+            F.lit("f1_weighted").alias("metric"), F.lit("all").alias("key"), "n", c_("f1_weighted").alias("value"))
+        out.append(cells.unionByName(f1).withColumn("fold", F.lit(fid)))
+    res = out[0]
+    for r in out[1:]:
+        res = res.unionByName(r)
+    return res.select("fold", "metric", "key", "n", "value")
 
 
 @register("walkforward_eval")
 def q_walkforward_eval(fx):
-    """Per walk-forward fold: fit on train dates, Platt-calibrate on the
-    calibration dates, accuracy on the test dates."""
-    lf = ml_frame(fx)
-    folds = lab.walkforward_folds(lf, folds=2, test_window=15)
-    rows = []
-    for (fid,) in folds.select("fold").distinct().orderBy("fold").collect():
-        f = folds.filter(c_("fold") == fid)
-        part = lf.join(F.broadcast(f.select("trading_date", "role")), "trading_date", "inner")
-        tr, ca, te = (part.filter(c_("role") == r) for r in ("train", "calibration", "test"))
-        m = mdl.fit_classifier(tr, ML_FEATURES, mdl.classifier_zoo()["logistic"])
-        cal_scores = mdl.score(m, ca, ["y"])
-        test_scores = mdl.platt(cal_scores, mdl.score(m, te, ["y"]))
-        acc = test_scores.agg(F.avg(((c_("p_calibrated") >= 0.5).cast("int") == c_("y")).cast("double"))
-                              .alias("accuracy"), F.count(F.lit(1)).alias("n"))
-        rows.append(acc.withColumn("fold", F.lit(fid)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return _round(out)
+    return _round(walk_forward(ml_base(fx), ML_FEATURES, mdl.classifier_zoo(sizes=KEY_SIZES)["logistic"]))
 
 
 @register("calibrate_platt")

@@ -362,26 +362,54 @@ def q_membership(fx):
 
 
 # ---------------------------------------------------------- run reports
+WINDOWS = (20, 60)
+SECTOR_MIN = 10
+
+
+def live_accuracy(outcomes: DataFrame, securities: DataFrame) -> DataFrame:
+    """Live accuracy as known on each realisation date: actionable outcomes realised on the last 20 and
+    60 such dates up to it, overall, by confidence band and by sector (at least 10 outcomes). Long rows
+    (realized_date, window, metric, key, n, accuracy). Outcomes are counted per date first; every daily
+    count then joins the windows that it lies in."""
+    o = outcomes.filter("is_actionable").join(checked_broadcast(securities.select("ticker", "sector")), "ticker", "left")
+    band = F.coalesce(*[F.when((c_("confidence") >= lo) & (c_("confidence") < hi), F.lit(k))
+                        for lo, hi, k in out.CONFIDENCE_BANDS])
+    cells = F.explode(F.array(F.struct(F.lit("overall").alias("metric"), F.lit("all").alias("key")),
+                              F.struct(F.lit("by_confidence").alias("metric"), band.alias("key")),
+                              F.struct(F.lit("by_sector").alias("metric"), c_("sector").alias("key"))))
+    daily = o.select("realized_date", "correct", cells.alias("c")).filter("c.key IS NOT NULL").groupBy(
+        "realized_date", "c.metric", "c.key").agg(F.count(F.lit(1)).alias("n"), F.sum("correct").alias("hits"))
+    index = o.select("realized_date").distinct().withColumn("i", F.row_number().over(Window.orderBy("realized_date")))
+    spans = F.explode(F.array(*[F.struct(F.lit(w).alias("window"), F.lit(w - 1).alias("back")) for w in WINDOWS]))
+    spread = daily.join(F.broadcast(index), "realized_date").select("*", spans.alias("w")).select(
+        "metric", "key", "n", "hits", "w.window", F.explode(F.expr("sequence(i, i + w.back)")).alias("i"))
+    sums = spread.groupBy("i", "window", "metric", "key").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    return sums.join(F.broadcast(index), "i").filter(f"metric <> 'by_sector' OR n >= {SECTOR_MIN}").select(
+        "realized_date", "window", "metric", "key", "n", (c_("hits") / c_("n")).alias("accuracy"))
+
+
 def daily_reports(fx) -> DataFrame:
-    """One run document per trading date (data status from the bars,
-    live accuracy over the outcomes up to that date: 20-date window)."""
+    """One run document per trading date: data status from the bars so far, and the live accuracy
+    last known on that date (the newest realisation date up to it)."""
     b = fx.bars.groupBy("trading_date").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("trading_date").rowsBetween(Window.unboundedPreceding, 0)
-    status = b.select("trading_date", F.sum("n").over(w).cast("bigint").alias("total_records"))
-    o = dv.outcomes(fx).filter("is_actionable")
-    daily = o.groupBy("trading_date").agg(F.count(F.lit(1)).alias("n"), F.sum("correct").alias("hits"))
-    w20 = Window.orderBy("trading_date").rowsBetween(-19, 0)
-    acc = daily.select("trading_date", F.sum("n").over(w20).alias("n20"), F.sum("hits").over(w20).alias("h20"))
-    j = status.join(acc, "trading_date", "left")
-    live = F.create_map(F.lit("20"), F.struct(
-        F.lit(20).alias("window_trading_days"), c_("n20").cast("bigint").alias("n_predictions"),
-        (c_("h20") / c_("n20")).alias("accuracy"),
-        F.lit(None).cast("map<string,struct<n:bigint,accuracy:double>>").alias("by_confidence"),
-        F.lit(None).cast("map<string,struct<n:bigint,accuracy:double>>").alias("by_sector")))
-    return j.select(
+    sofar = Window.orderBy("trading_date").rowsBetween(Window.unboundedPreceding, 0)     # a row per calendar date
+    status = b.select("trading_date", F.sum("n").over(sofar).cast("bigint").alias("total_records"))
+    live = live_accuracy(dv.outcomes(fx), fx.securities)
+    cell = F.struct(c_("n").cast("bigint").alias("n"), "accuracy")
+    entries = lambda m: F.map_from_entries(F.collect_list(F.when(c_("metric") == m, F.struct("key", cell.alias("v")))))
+    per_window = live.groupBy("realized_date", "window").agg(
+        F.max(F.when(c_("metric") == "overall", c_("n"))).cast("bigint").alias("n_predictions"),
+        F.max(F.when(c_("metric") == "overall", c_("accuracy"))).alias("accuracy"),
+        entries("by_confidence").alias("by_confidence"), entries("by_sector").alias("by_sector"))
+    doc = F.struct(c_("window").alias("window_trading_days"), "n_predictions", "accuracy", "by_confidence", "by_sector")
+    docs = per_window.groupBy("realized_date").agg(
+        F.map_from_entries(F.collect_list(F.struct(c_("window").cast("string").alias("k"), doc.alias("v")))).alias("live"))
+    known = status.join(docs.withColumnRenamed("realized_date", "trading_date"), "trading_date", "full")
+    known = known.withColumn("live", F.last("live", ignorenulls=True).over(sofar)).filter("total_records IS NOT NULL")
+    return known.select(
         F.date_format("trading_date", "yyyy-MM-dd'T'18:00:00").alias("date"),
         F.concat(F.lit("daily_"), F.date_format("trading_date", "yyyyMMdd"), F.lit(".log")).alias("log_file"),
-        F.struct(F.lit(True).alias("connected"), F.lit(0).alias("age_days"),
+        F.struct((c_("total_records") > 0).alias("connected"), F.lit(0).alias("age_days"),
                  F.date_format("trading_date", "yyyy-MM-dd").alias("latest_date"),
                  c_("total_records").alias("total_records")).alias("data_status"),
         F.struct(F.lit(False).alias("performed"), F.lit(None).cast("boolean").alias("success"),
@@ -391,13 +419,42 @@ def daily_reports(fx) -> DataFrame:
         .alias("csv_exports"),
         F.struct(F.lit(True).alias("success"), F.lit(None).cast("bigint").alias("records_inserted"))
         .alias("database_export"),
-        F.when(c_("n20").isNotNull(), live).alias("live_accuracy"),
-        F.year("trading_date").alias("year"))
-
-
-@register("daily_summary")
+        c_("live").alias("live_accuracy"), F.year("trading_date").alias("year"))
+
+
+_LIVE_SQL = """
+o AS (SELECT o.realized_date, o.correct, s.sector, CASE WHEN o.confidence < 55e-2 THEN '<55%' WHEN o.confidence < 60e-2
+             THEN '55-60%' WHEN o.confidence < 67e-2 THEN '60-67%' WHEN o.confidence < 101e-2 THEN '>=67%' END AS band
+      FROM o_outcomes o LEFT JOIN securities s ON s.ticker = o.ticker WHERE o.is_actionable),
+ix AS (SELECT realized_date, ROW_NUMBER() OVER (ORDER BY realized_date) AS i FROM (SELECT DISTINCT realized_date FROM o) q),
+cells AS (SELECT realized_date, correct, 'overall' AS metric, 'all' AS key FROM o
+          UNION ALL SELECT realized_date, correct, 'by_confidence', band FROM o WHERE band IS NOT NULL
+          UNION ALL SELECT realized_date, correct, 'by_sector', sector FROM o WHERE sector IS NOT NULL),
+daily AS (SELECT i, metric, key, COUNT(*) AS n, SUM(correct) AS h FROM cells JOIN ix USING (realized_date) GROUP BY ALL),
+live AS (SELECT ix.realized_date, w.w AS win, d.metric, d.key, SUM(d.n) AS n, SUM(d.h) AS h
+         FROM ix, (SELECT UNNEST([20, 60]) AS w) w JOIN daily d ON d.i BETWEEN ix.i - w.w + 1 AND ix.i GROUP BY ALL
+         HAVING d.metric <> 'by_sector' OR SUM(d.n) >= 10),
+b AS (SELECT trading_date, SUM(COUNT(*)) OVER (ORDER BY trading_date) AS total_records FROM bars GROUP BY trading_date),
+st AS (SELECT b.*, (SELECT MAX(realized_date) FROM ix WHERE realized_date <= b.trading_date) AS known FROM b)"""
+
+
+@register("daily_summary", f"""
+WITH {_LIVE_SQL}
+SELECT STRFTIME(st.trading_date, '%Y-%m-%dT18:00:00') AS date, CAST(st.total_records AS BIGINT) AS total_records,
+       live.win AS window_trading_days, live.metric, live.key, CAST(live.n AS BIGINT) AS n,
+       {r4_sql('live.h * 1e0 / live.n')} AS accuracy
+FROM st JOIN live ON live.realized_date = st.known""", ctes=("bars", "o_outcomes", "securities"))
 def q_daily_summary(fx):
-    return daily_reports(fx).drop("year")
+    """P23, flattened: one row per report, window, metric and cell of its live accuracy."""
+    r = daily_reports(fx).select("date", "data_status.total_records", F.explode("live_accuracy").alias("w", "d"))
+    overall = r.select("date", "total_records", "d.window_trading_days", F.lit("overall").alias("metric"),
+                       F.lit("all").alias("key"), c_("d.n_predictions").alias("n"), c_("d.accuracy").alias("accuracy"))
+    parts = [r.select("date", "total_records", "d.window_trading_days", F.lit(m).alias("metric"),
+                      F.explode(f"d.{m}").alias("key", "v")).select(
+        "date", "total_records", "window_trading_days", "metric", "key", "v.n", "v.accuracy")
+        for m in ("by_confidence", "by_sector")]
+    rows = overall.unionByName(parts[0]).unionByName(parts[1])
+    return rows.withColumn("accuracy", r4("accuracy"))
 
 
 def _written_reports(fx):
@@ -407,39 +464,30 @@ def _written_reports(fx):
 
 
 @register("report_history", f"""
-WITH b AS (SELECT trading_date, COUNT(*) AS n FROM bars GROUP BY trading_date),
-st AS (SELECT trading_date, SUM(n) OVER (ORDER BY trading_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-              AS total_records FROM b),
-o AS (SELECT trading_date, COUNT(*) AS n, SUM(correct) AS h FROM o_outcomes WHERE is_actionable
-      GROUP BY trading_date),
-a AS (SELECT trading_date, SUM(n) OVER w AS n20, SUM(h) OVER w AS h20 FROM o
-      WINDOW w AS (ORDER BY trading_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+WITH {_LIVE_SQL}
 SELECT STRFTIME(st.trading_date, '%Y-%m-%dT18:00:00') AS date, CAST(st.total_records AS BIGINT) AS total_records,
-       'ok' AS status, CAST(NULL AS DOUBLE) AS duration_minutes, {r4_sql('a.h20 / a.n20')} AS accuracy_20d
-FROM st LEFT JOIN a ON a.trading_date = st.trading_date
-ORDER BY date DESC LIMIT 7""", ctes=("bars", "o_outcomes"))
+       'ok' AS status, CAST(NULL AS DOUBLE) AS duration_minutes, {r4_sql('a.h * 1e0 / a.n')} AS accuracy_20d,
+       {r4_sql('c.h * 1e0 / c.n')} AS accuracy_60d
+FROM st LEFT JOIN live a ON a.realized_date = st.known AND a.win = 20 AND a.metric = 'overall'
+        LEFT JOIN live c ON c.realized_date = st.known AND c.win = 60 AND c.metric = 'overall'
+ORDER BY date DESC LIMIT 7""", ctes=("bars", "o_outcomes", "securities"))
 def q_report_history(fx):
-    """Read every written run report back with one schema; status
-    and the 20-date accuracy for the last 7 reports."""
+    """Read every written run report back with one schema; status and the live accuracy over 20
+    and 60 dates for the last 7 reports."""
     r = _written_reports(fx)
     recent = r.orderBy(c_("date").desc()).limit(7)
     return recent.select("date", c_("data_status.total_records").alias("total_records"),
                          F.when(c_("data_status.connected"), F.lit("ok")).otherwise(F.lit("failed")).alias("status"),
                          c_("retraining.duration_minutes").alias("duration_minutes"),
-                         r4(c_("live_accuracy")["20"]["accuracy"]).alias("accuracy_20d"))
+                         r4(c_("live_accuracy")["20"]["accuracy"]).alias("accuracy_20d"),
+                         r4(c_("live_accuracy")["60"]["accuracy"]).alias("accuracy_60d"))
 
 
-@register("report_alerts", """
-WITH d AS (SELECT MAX(trading_date) AS t FROM bars),
-h AS (SELECT t, (EPOCH(TIMESTAMP '2001-11-06 06:00:00') - EPOCH(CAST(t AS TIMESTAMP) + INTERVAL 18 HOUR)) / 3600e0
-             AS hours FROM d)
-SELECT STRFTIME(t, '%Y-%m-%dT18:00:00') AS date,
-       CASE WHEN hours > 30 THEN PRINTF('automation has not run in %.1f hours', hours) END AS alert FROM h""",
-          ctes=("bars",))
-def q_report_alerts(fx, now="2001-11-06T06:00:00"):
-    """P20: alerts for the latest report (stale run > 30 h, failed steps, data age > 5)."""
-    r = _written_reports(fx)
-    latest = r.orderBy(c_("date").desc()).limit(1)
+def report_alerts(reports: DataFrame, now: str) -> DataFrame:
+    """P20: alerts for the latest of ``reports`` at the time ``now``, one row each (one row with NULL if
+    there are none): no run for over 30 h, no connection, failed retraining, failed export, data older
+    than 5 days. Without any report the alert says so."""
+    latest = reports.orderBy(c_("date").desc()).limit(1)
     fmt = "\"yyyy-MM-dd'T'HH:mm:ss\""
     # wall-clock timestamps without time zone: independent of the session zone
     hours = F.expr(f"timestampdiff(SECOND, to_timestamp_ntz(date, {fmt}), "
@@ -451,7 +499,21 @@ def q_report_alerts(fx, now="2001-11-06T06:00:00"):
                F.lit("model retraining failed")),
         F.when(~F.coalesce(c_("csv_exports.success"), F.lit(False)), F.lit("csv export failed")),
         F.when(c_("data_status.age_days") > 5, F.format_string("data is %d days old", c_("data_status.age_days")))))
-    return latest.select("date", F.explode_outer(alerts).alias("alert"))
+    found = latest.select("date", F.explode_outer(alerts).alias("alert"))
+    none = reports.agg(F.count("date").alias("n")).where("n = 0").select(
+        F.lit(None).cast("string").alias("date"), F.lit("no automation reports found").alias("alert"))
+    return found.unionByName(none)
+
+
+@register("report_alerts", """
+WITH d AS (SELECT MAX(trading_date) AS t FROM bars),
+h AS (SELECT t, (EPOCH(TIMESTAMP '2001-11-06 06:00:00') - EPOCH(CAST(t AS TIMESTAMP) + INTERVAL 18 HOUR)) / 3600e0
+             AS hours FROM d)
+SELECT STRFTIME(t, '%Y-%m-%dT18:00:00') AS date,
+       CASE WHEN hours > 30 THEN PRINTF('automation has not run in %.1f hours', hours) END AS alert FROM h""",
+          ctes=("bars",))
+def q_report_alerts(fx, now="2001-11-06T06:00:00"):
+    return report_alerts(_written_reports(fx), now)
 
 
 @register("eda_summary")

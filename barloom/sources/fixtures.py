@@ -70,7 +70,7 @@ class Fixtures:
         per data directory and materialised like a written table."""
         store_key = (self.spark.sparkContext.applicationId, self.sf_dir + self.tag, name)
         if store_key not in _STORE:
-            _STORE[store_key] = stored(build(self), f"derived-{name}")
+            _STORE[store_key] = stored(build(self), f"derived-{name[:60]}")
         return _STORE[store_key]
 
     def __getattr__(self, name: str) -> DataFrame:

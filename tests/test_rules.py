@@ -178,3 +178,33 @@ def test_quantiles_and_prefixes_with_a_far_outlier(spark):
         rows = ordered_prefix(counts, "v", ["n"], ["g"], descending).where("g = 'a'").collect()
         for r in rows[::97] + [x for x in rows if abs(x["v"]) > 1e8]:
             assert r["n_before"] == sum(x > r["v"] if descending else x < r["v"] for x in values)
+
+
+def test_each_report_alert(spark):
+    import json
+    from barloom.plans.q_profile import report_alerts
+    from barloom.sources.io import REPORT_SCHEMA
+    good = {"date": "2001-05-05T18:00:00", "data_status": {"connected": True, "age_days": 0}, "retraining": {"performed": True, "success": True},
+            "csv_exports": {"success": True}}
+    cases = {
+        None: {}, "database connection failed": {"data_status": {"connected": False}},
+        "model retraining failed": {"retraining": {"performed": True, "success": False}},
+        "csv export failed": {"csv_exports": {"success": False}}, "data is 6 days old": {"data_status": {"connected": True, "age_days": 6}},
+        "automation has not run in 31.0 hours": {"date": "2001-05-04T18:00:00"},
+    }
+    for want, change in cases.items():
+        lines = [json.dumps({**good, **change}), json.dumps({"date": "2001-05-01T18:00:00"})]
+        rows = spark.createDataFrame([(x,) for x in lines], "v string").select(F.from_json("v", REPORT_SCHEMA).alias("r")).select("r.*")
+        assert [r["alert"] for r in report_alerts(rows, "2001-05-06T01:00:00").collect()] == [want]
+    none = report_alerts(rows.where("false"), "2001-05-06T01:00:00").collect()
+    assert [r["alert"] for r in none] == ["no automation reports found"]
+
+
+def test_scored_bars_are_the_newest(spark):
+    from barloom.plans.pipelines import newest_bars
+    from barloom.sources.fixtures import Fixtures
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    newest = {r["ticker"]: r["d"] for r in fx.bars.where("close_price >= 5 AND volume > 0").groupBy("ticker").agg(
+        F.max("trading_date").alias("d")).collect()}
+    got = {r["ticker"]: r["trading_date"] for r in newest_bars(fx).collect()}
+    assert got and all(got[t] == newest[t] for t in got)
