@@ -68,7 +68,14 @@ def q_param(fx):
     return df.withColumn("close_price", r4("close_price"))
 
 
-@register("table_schema")
+_BAR_COLUMNS = (("ticker", "string"), ("company", "string"), ("trading_date", "date"), ("open_price", "double"),
+                ("high_price", "double"), ("low_price", "double"), ("close_price", "double"), ("volume", "bigint"))
+
+
+@register("table_schema", " UNION ALL ".join(
+    f"SELECT 'bars' AS table_name, CAST({i} AS INT) AS ordinal, '{c}' AS column_name, '{t}' AS data_type, "
+    f"CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT({c}) AS BIGINT) AS n_values FROM bars"
+    for i, (c, t) in enumerate(_BAR_COLUMNS)), ctes=("bars",))
 def q_schema(fx):
     return io.table_schema(fx.bars, "bars")
 

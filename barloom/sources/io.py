@@ -49,10 +49,13 @@ def param_query(spark: SparkSession, sql: str, args: dict, **tables: DataFrame)
 
 
 def table_schema(df: DataFrame, name: str) -> DataFrame:
-    """A3: a table's column schema as rows."""
-    rows = [(name, i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "table_name string, ordinal int, column_name string, data_type string, nullable boolean")
+    """A3: a table's columns as rows, with the table's rows and the column's values, counted in one pass."""
+    rows = F.array(*[F.struct(F.lit(name).alias("table_name"), F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"),
+                              F.lit(f.dataType.simpleString()).alias("data_type"), c_("n").alias("n_rows"),
+                              c_(f"c{i}").alias("n_values")) for i, f in enumerate(df.schema.fields)])
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}")
+                                                    for i, f in enumerate(df.schema.fields)])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def ordered_projection(df: DataFrame, order: list[str]) -> DataFrame:
