@@ -1,10 +1,12 @@
 """Feature table: enrichment joins (2.3) and feature layers (2.4, 2.5).
 
-One shuffle by ticker carries every per-ticker layer (all use ``wt()`` or
-a window partitioned by ticker plus a finer key), one shuffle by trading date
-carries the cross-sectional layer (the ``(date, sector)`` windows reuse the
-date partitioning). Dimension tables bounded by domain (sectors, the date
-series, latest fundamentals per ticker) are broadcast.
+Each input is shuffled by ticker once and every per-ticker layer runs on that
+partitioning (all use ``wt()`` or a window partitioned by ticker plus a finer
+key); the cross-sectional layer shuffles by trading date, and the ``(date,
+sector)`` windows reuse that. Written tables in between (the base frame) are
+shuffled again when read. One ticker's whole history is one task's work: some
+250 rows a year. Dimension tables bounded by domain (sectors, the date series)
+are broadcast, those that grow with the universe only behind a size check.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from barloom.functions.codes import (
 from barloom.functions.columns import clip, eq_or_false, pct_change, ratio_or, rows, running, sign_ne, wt
 from barloom.functions.ema import EmaSpec, add_ema
 from barloom.functions.sizing import checked_broadcast
+from barloom.session import stored
 from barloom.sources.fixtures import Fixtures
 
 c_ = F.col
@@ -450,8 +453,9 @@ def interactions(frame: DataFrame) -> DataFrame:
 
 
 def feature_frame(fx: Fixtures, sentiment: DataFrame | None = None, price_floor: float = 5.0) -> DataFrame:
-    """Enriched frame with every feature column (before E26 clean-up)."""
-    base = base_frame(fx, price_floor)
+    """Enriched frame with every feature column (before E26 clean-up). The base frame is written
+    once: the EMA branch, the date and sector lists and the whole-table statistics read it again."""
+    base = stored(base_frame(fx, price_floor), "base")
     indicators = indicator_inputs(fx)
     # the EMA family needs only the close: computed on a 3-column projection
     # (its block-window sorts move narrow rows) and joined like an indicator
