@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,14 @@ def whole_row(docs: DataFrame, name: str = "row") -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in pieces, so that a task holds Python objects and results of few rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

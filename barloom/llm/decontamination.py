@@ -18,7 +18,7 @@ from barloom.llm.common import table, whole_row, written
 WIDTH = 13
 #: A document is contaminated when its hit words are at least one in so many of its words.
 ONE_IN = 20
-#: Windows and their hashes are broadcast up to this number (about 200 bytes each).
+#: Windows and their hashes (about 200 bytes each), or places hit (8 bytes), are broadcast up to this number.
 MAX_WINDOWS = 500_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -115,11 +115,13 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, width: int = WID
     benchmark windows are cut from the text (with the separators before them)
     and n_chars is set anew. Clean rows come back unchanged."""
     windows = written(benchmark_windows(benchmark, width), "windows")
-    places = find_hits(docs, windows).where("pos >= 0 OR n > 0")
-    spans = (places.where("pos >= 0").groupBy("doc_id", "content")
+    places = find_hits(docs, windows).where("pos >= 0")
+    spans = (places.groupBy("doc_id", "content")
              .agg(F.collect_set(F.struct("pos", "size")).alias("spans"), F.first("n").alias("n")))
     n_hit = F.expr("size(array_distinct(flatten(transform(spans, v -> sequence(v.pos, v.pos + v.size - 1)))))")
     spans = spans.withColumn("drop", ONE_IN * n_hit >= F.col("n"))
+    if places.count() <= MAX_WINDOWS:
+        spans = F.broadcast(spans)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("content"),
                        whole_row(docs)).alias("d")
     joined = rows.join(spans.alias("s"), F.col("d.id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.content") == F.col("s.content")),

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import shingle_hashes, table, whole_row, written
+from barloom.llm.common import shingle_hashes, slices, table, whole_row, written
 from barloom.llm.components import components
 
 #: One point in so many shows which shingles are common. This only orders shingles; links do not depend on it.
@@ -68,7 +68,7 @@ def _longs(arrays: list[np.ndarray]) -> pa.Array:
 
 def _common_shingles(docs: DataFrame, width: int) -> np.ndarray:
     def sets(batches):
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("h"), _longs(list(_sets(batch.column("text").to_pylist(), width)))], ["h", "shingles"])
 
@@ -95,7 +95,7 @@ def shingle_points(docs: DataFrame, percent: int, width: int) -> DataFrame:
 
     def points(batches):
         late = common.value
-        for batch in batches:
+        for batch in slices(batches):
             ids, n, early, sketches = [], [], [], []
             for s in _sets(batch.column("text").to_pylist(), width):
                 ids.append(_point(s))
@@ -144,7 +144,7 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
                   .where("doc_id IS NOT NULL").distinct(), "named", parts)
 
     def build(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = list(_sets(batch.column("text").to_pylist(), width))
             yield pa.RecordBatch.from_arrays([pa.array([_point(s) for s in sets], pa.int64()), _longs(sets)],
                                              ["point", "shingles"])
@@ -261,10 +261,16 @@ def keep_one_per_component(docs: DataFrame, percent: int = 80, width: int = 5) -
     group = F.struct("label", F.when(F.col("label").isNull(), F.col("doc_id")).alias("id"))
     kept = rows.groupBy(group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")).alias("k"))
     key = F.concat_ws(":", "doc_id", "content").alias("key")
-    kept = kept.select("k.doc_id", "k.content").select(key)
+    kept = kept.select("k.doc_id", "k.content").select(key, F.lit(True).alias("stays"))
+    # rows that go, and kept ones that are repeated; all others pass without a shuffle of their texts
+    special = written(rows.groupBy(key).agg(F.count("*").alias("copies")).join(kept, "key", "left")
+                      .where("stays IS NULL OR copies > 1").select("key", "stays"), "special")
+    if special.count() <= MAX_BROADCAST_IDS // 4:       # about 40 bytes each
+        special = F.broadcast(special)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("content"),
                         whole_row(docs)).select(key, "row")
-    return keyed.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+    once = keyed.join(special.where("stays"), "key").select("key", "row").dropDuplicates(["key"])
+    return keyed.join(special, "key", "left_anti").unionByName(once).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from barloom.llm.common import remainder, table, whole_row
+from barloom.llm.common import remainder, slices, table, whole_row
 
 #: Labelled documents per language that the model is fitted on (chosen by hash of the id), at most.
 PER_LANGUAGE = 500
@@ -98,7 +98,7 @@ def training_set(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[lis
     wanted = [F.when((F.col("lang") == c) & (draw < min(1.0, 2 * per_language / n) * 1_000_000), True) for c, n in counts.items()]
 
     def spectra(batches):
-        for b in batches:
+        for b in slices(batches):
             found = [spectrum(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("lang"), pa.array([s.tobytes() for s in found], pa.binary())],
@@ -127,7 +127,7 @@ def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
 
     def score(batches):
         model = shared.value
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(0).to_pylist()
             lang, best = ["und"] * len(texts), [0.0] * len(texts)
             rows = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barloom.llm.common import table
+from barloom.llm.common import slices, table
 
 CAPACITY = 1024
 SEPARATOR = 0
@@ -191,7 +191,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: tuple[str, str]
     """
     def run(batches):
         packer = _Packer(capacity, TaskContext.get().partitionId() << 36)
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 packer.add(doc_id, token_ids(text.as_py(), vocabulary))
                 if packer.size >= POOL:

@@ -34,7 +34,7 @@ REACH = 120
 SUPPORT = 3
 #: Share of the entity's information that a term may not reach.
 DISCLOSURE = 0.85
-#: Terms or texts up to this number (about 50 bytes each) are broadcast; beyond, joins shuffle.
+#: Terms, texts or spans up to this number (about 50 bytes each) are broadcast; beyond, joins shuffle.
 MAX_BROADCAST = 500_000
 WORD_GAP = r"[^\p{L}\p{N}]+"
 PIECE = r"[^\p{L}\p{N}]*[\p{L}\p{N}]+"
@@ -166,7 +166,8 @@ def _beside(docs: DataFrame, spans: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("content"), text.alias("text"),
                        whole_row(docs)).alias("d")
-    by_doc = _ordered(spans).alias("s")
+    by_doc = _ordered(spans)
+    by_doc = (F.broadcast(by_doc) if spans.count() <= MAX_BROADCAST else by_doc).alias("s")
     return rows.join(by_doc, F.col("d.id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.content") == F.col("s.content")),
                      "left").select("row", "id", "text", "all")
 

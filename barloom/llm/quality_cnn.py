@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import remainder, table
+from barloom.llm.common import remainder, slices, table
 
 HELD_OUT = (4, 2)
 ACCEPT = 0.7
@@ -162,7 +162,7 @@ def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL)
         marks.where("quality = 0").orderBy(draw).limit(per_label))
 
     def build(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = b.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("quality"), pa.array([len((t or "").encode("utf-8", "replace")) for t in texts], pa.int64()),
@@ -186,7 +186,7 @@ def score_quality(docs: DataFrame, model: ByteCNN) -> DataFrame:
 
     def score(batches):
         model = shared.value
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([model.probability(t) for t in b.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
 

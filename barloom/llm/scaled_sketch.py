@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import mix64, table
+from barloom.llm.common import mix64, slices, table
 
 WIDTH = 16
 #: One shingle in so many is kept.
@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, sketch array<long>) of the whole text of every row. NULL and empty
     texts have empty sketches; repeated rows and NULL ids are kept."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             found = [sketch(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
                                              ["doc_id", "sketch"])
@@ -149,7 +149,7 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         held = None
-        for b in batches:
+        for b in slices(batches):
             out = []
             for bucket, last, doc_id, text in zip(*(b.column(i).to_pylist() for i in range(4))):
                 now = sketch(text)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import table, written
+from barloom.llm.common import slices, table, written
 
 #: Tools by name: fields with their type, whether required, and the bounds of the value (length for strings).
 SCHEMAS = {
@@ -79,7 +79,7 @@ def validated(calls: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     extra = "errors array<string>, canonical_arguments string, refers array<string>"
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             errors, texts, refers = [], [], []
             for name, raw in zip(b.column("name").to_pylist(), b.column("arguments").to_pylist()):
                 try:
@@ -154,7 +154,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataF
     rows = placed.unionByName(rows.where("level IS NULL").withColumn("position", F.lit(None).cast("long")))
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             lines = []
             for r in b.select(["call_id", "name", "canonical_arguments", "content", "status"]).to_pylist():
                 message = {"call_id": r["call_id"], "status": r["status"]}

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import PUNCTUATION, remainder, table, word_hashes
+from barloom.llm.common import PUNCTUATION, remainder, slices, table, word_hashes
 
 HELD_OUT = (5, 0)
 #: Labelled documents per label that the model is fitted on (chosen by hash of the id), at most.
@@ -108,7 +108,7 @@ def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL)
         marks.where("toxic = 0").orderBy(draw).limit(per_label))
 
     def build(batches):
-        for b in batches:
+        for b in slices(batches):
             sets = [terms(t).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(sets, pa.binary())],
                                              ["doc_id", "toxic", "terms"])
@@ -129,7 +129,7 @@ def score_toxicity(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
 
     def score(batches):
         model = shared.value
-        for b in batches:
+        for b in slices(batches):
             m = np.array([model.margin(terms(t)) for t in b.column(1).to_pylist()], float)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-np.clip(m, -30, 30))))], ["doc_id", "score"])
 
