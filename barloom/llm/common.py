@@ -3,6 +3,7 @@ and 64-bit text hashing on numpy arrays."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterable, Iterator
@@ -44,11 +45,16 @@ def whole_row(docs: DataFrame, name: str = "row") -> Column:
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Arrow batches in pieces, so that a task holds Python objects and results of few rows at a time."""
+    """Arrow batches in pieces, so that a task holds Python objects and results of few rows at a time.
+    After each batch, freed memory goes back to the system: workers outlive their tasks."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        del batch
         pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
 
 
 def remainder(doc_id: Column, parts: int) -> Column:
