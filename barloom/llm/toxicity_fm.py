@@ -27,6 +27,10 @@ PREFIXES = (4, 5, 6, 8)
 #: positive ones is so many standard deviations away from the count that chance would give.
 LEAST_TEXTS = 6
 LEAST_Z = 4.0
+#: So is a term of any pair whose positive texts differ by so many texts, and standard deviations, from what
+#: the terms learned alone explain. All pairs are looked at, also those of terms that are neutral alone.
+PAIR_TEXTS = 3.0
+PAIR_Z = 12.0
 FACTORS = 8
 
 
@@ -52,15 +56,10 @@ class FactorisationMachine:
         return float(self.bias + self.w[rows].sum() + 0.5 * ((v.sum(axis=0) ** 2).sum() - (v ** 2).sum()))
 
 
-def fit(sets: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = 12, rate: float = 0.3,
-        l2: float = 1e-4, batch: int = 64) -> FactorisationMachine:
-    """Adagrad on the logistic loss. With labels of one kind (or none) the model is its prior."""
+def descend(sets: list[np.ndarray], labels: np.ndarray, learned: np.ndarray, factors: int, epochs: int, rate: float, l2: float,
+            batch: int) -> FactorisationMachine:
+    """Adagrad on the logistic loss over the buckets ``learned``."""
     share = (labels.sum() + 0.5) / (len(labels) + 1)
-    flat = np.concatenate([*sets, np.zeros(0, np.int32)]).astype(np.int64)
-    texts = np.bincount(flat, minlength=1 << BITS)
-    positive = np.bincount(flat, np.repeat(labels, [len(s) for s in sets]), minlength=1 << BITS)
-    z = (positive - share * texts) / np.sqrt(np.maximum(texts, 1) * share * (1 - share))
-    learned = np.flatnonzero((texts >= LEAST_TEXTS) & (np.abs(z) >= LEAST_Z))
     slots = np.full(1 << BITS, -1, np.int32)
     slots[learned] = np.arange(len(learned))
     draw = np.random.default_rng(7)
@@ -73,16 +72,17 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epoc
     for _ in range(epochs):
         order = draw.permutation(len(rows))
         for part in (order[i:i + batch] for i in range(0, len(order), batch)):
-            part = part[[len(rows[i]) > 0 for i in part]]
-            if not len(part):
-                continue
             flat = np.concatenate([rows[i] for i in part])
             sizes = np.array([len(rows[i]) for i in part])
-            cuts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            some = sizes > 0                                # texts without a learned term still move the bias
+            cuts = (np.cumsum(sizes) - sizes)[some]
             of = np.repeat(np.arange(len(part)), sizes)
             vf = v[flat]
-            total = np.add.reduceat(vf, cuts, axis=0)
-            m = bias + np.add.reduceat(w[flat], cuts) + 0.5 * ((total ** 2).sum(1) - np.add.reduceat(vf ** 2, cuts, axis=0).sum(1))
+            m, total = np.full(len(part), bias), np.zeros((len(part), factors), np.float32)
+            if len(flat):
+                total[some] = np.add.reduceat(vf, cuts, axis=0)
+                m[some] += np.add.reduceat(w[flat], cuts) + 0.5 * (
+                    (total[some] ** 2).sum(1) - np.add.reduceat(vf ** 2, cuts, axis=0).sum(1))
             g = (1 / (1 + np.exp(-np.clip(m, -30, 30))) - labels[part]).astype(np.float32) / len(part)
             used, back = np.unique(flat, return_inverse=True)
             gw = np.bincount(back, g[of], len(used)).astype(np.float32) + l2 * w[used]
@@ -98,6 +98,59 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epoc
     return FactorisationMachine(slots, bias, w, v)
 
 
+def telling_pairs(sets: list[np.ndarray], rest: np.ndarray, spread: np.ndarray, least: float = PAIR_TEXTS,
+                  z: float = PAIR_Z) -> np.ndarray:
+    """Terms of all pairs whose common texts' residuals ``rest`` sum to at least ``least`` and ``z`` standard
+    deviations (``spread`` are the variances). A pair's sum is no larger than that of the absolute residuals
+    of either term, so terms below ``least`` are passed over without a loss."""
+    flat, sizes = np.concatenate([*sets, np.zeros(0, np.int32)]), [len(s) for s in sets]
+    reach = np.bincount(flat, np.repeat(np.abs(rest), sizes), minlength=1 << BITS)
+    open_ = np.flatnonzero((reach >= least) & (np.bincount(flat, minlength=1 << BITS) >= LEAST_TEXTS))
+    open_ = open_[np.argsort(reach[open_], kind="stable")]
+    slots = np.full(1 << BITS, -1, np.int32)
+    slots[open_] = np.arange(len(open_))      # a term meets those of larger reach only
+    rows = [np.sort(r[r >= 0]) for r in (slots[s] for s in sets)]
+    sizes = np.array([len(r) for r in rows], int)
+    flat, ends = np.concatenate([*rows, np.zeros(0, np.int32)]), np.cumsum(sizes)
+    of, stop = np.repeat(np.arange(len(rows)), sizes), np.repeat(ends, sizes)
+    at = np.argsort(flat, kind="stable")
+    found = np.zeros(len(open_), bool)
+    for a, places in enumerate(np.split(at, np.cumsum(np.bincount(flat, minlength=len(open_)))[:-1]) if len(open_) else []):
+        texts = of[places]
+        mates = np.concatenate([flat[i + 1:stop[i]] for i in places])
+        if not len(mates):
+            continue
+        counts = stop[places] - places - 1
+        mates = mates - a
+        total = np.bincount(mates, np.repeat(rest[texts], counts))
+        some = np.flatnonzero(np.abs(total) >= least)
+        if len(some):
+            near = np.isin(mates, some)
+            var = np.bincount(mates[near], np.repeat(spread[texts], counts)[near], minlength=len(total))[some]
+            some = some[np.abs(total[some]) >= z * np.sqrt(var)]
+            found[a + some] = True
+            found[a] |= len(some) > 0
+    return open_[found]
+
+
+def fit(sets: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = 12, rate: float = 0.3,
+        l2: float = 1e-4, batch: int = 64) -> FactorisationMachine:
+    """The machine over the terms that tell alone, and again with the terms of the pairs that tell beyond it.
+    With labels of one kind (or none) the model is its prior."""
+    share = (labels.sum() + 0.5) / (len(labels) + 1)
+    flat = np.concatenate([*sets, np.zeros(0, np.int32)]).astype(np.int64)
+    texts = np.bincount(flat, minlength=1 << BITS)
+    positive = np.bincount(flat, np.repeat(labels, [len(s) for s in sets]), minlength=1 << BITS)
+    z = (positive - share * texts) / np.sqrt(np.maximum(texts, 1) * share * (1 - share))
+    alone = np.flatnonzero((texts >= LEAST_TEXTS) & (np.abs(z) >= LEAST_Z))
+    model = descend(sets, labels, alone, factors, epochs, rate, l2, batch)
+    if len(set(labels.tolist())) < 2:
+        return model
+    chance = 1 / (1 + np.exp(-np.clip([model.margin(s) for s in sets], -30, 30)))
+    paired = np.setdiff1d(telling_pairs(sets, labels - chance, chance * (1 - chance)), alone)
+    return descend(sets, labels, np.union1d(alone, paired), factors, epochs, rate, l2, batch) if len(paired) else model
+
+
 def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> tuple[list[np.ndarray], np.ndarray]:
     """Term sets and labels of a bounded sample of labelled rows, whole texts."""
     parts, out = HELD_OUT

@@ -47,6 +47,14 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r["held_out"] == (h.remainder(r["doc_id"], 5) == 0) for r in rows)
 
 
+def test_toxicity_auc_on_held_out_rows(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
+    marks = {r["doc_id"]: r["toxic"] for r in labels.where("toxic IS NOT NULL").collect()}
+    rows = toxicity_fm.detect_toxicity(docs, labels).where("held_out").collect()
+    rows = [r for r in rows if r["doc_id"] in marks]
+    assert auc([marks[r["doc_id"]] for r in rows], [r["score"] for r in rows]) > 0.95
+
+
 def test_toxicity_learns_pairs():
     draw = np.random.default_rng(3)
     pair = [(a, b) for a in (0, 1) for b in (0, 1)] * 300
@@ -57,6 +65,28 @@ def test_toxicity_learns_pairs():
     assert model.margin(np.array([10, 20], np.int32)) > 0 > max(plain)
 
 
+def test_toxicity_learns_pairs_of_neutral_terms():
+    draw = np.random.default_rng(9)
+    kinds = [(a, b) for a in (0, 1) for b in (0, 1)] * 400
+    sets = [np.array(sorted({*([10] if a else []), *([20] if b else []), *draw.integers(1000, 4000, 30)}), np.int32) for a, b in kinds]
+    labels = np.array([int(a == b) for a, b in kinds])      # each term alone is as often toxic as not
+    model = toxicity_fm.fit(sets[:1200], labels[:1200])
+    assert np.mean([(model.margin(s) > 0) == y for s, y in zip(sets[1200:], labels[1200:])]) > 0.9
+
+
+def test_toxicity_telling_pairs_by_brute_force():
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 25, 8)).astype(np.int32) for _ in range(400)]
+    rest, spread = draw.normal(0, 0.4, 400) + [0.8 * (3 in s and 7 in s) for s in sets], draw.uniform(0.02, 0.2, 400)
+    want = set()
+    for a in range(25):
+        for b in range(a):
+            both = np.array([a in s and b in s for s in sets])
+            if abs(rest[both].sum()) >= 3 and abs(rest[both].sum()) >= 4 * np.sqrt(spread[both].sum()):
+                want |= {a, b}
+    assert {3, 7} <= want and set(toxicity_fm.telling_pairs(sets, rest, spread, z=4).tolist()) == want
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels, marks = labelled(spark, "quality")
     rows = quality_cnn.rate_quality(docs, labels).collect()
