@@ -129,7 +129,7 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
     Sketches give an exact lower bound; where it leaves a link possible, the
     texts of the two points are read again and the distance is exact."""
     side = [index.select(F.col("point").alias(p), F.col("n").alias(f"n{p}"), F.col("sketch").alias(f"k{p}"),
-                         F.col("doc_id").alias(f"id{p}")) for p in "ab"]
+                         F.struct("doc_id", "content").alias(f"id{p}")) for p in "ab"]
     fold = ("if(size({0}) > size({1}), zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, "
             "size({0}) div 2), (x, y) -> x ^ y), {0})")
     differ = (f"aggregate(zip_with({fold.format('ka', 'kb')}, {fold.format('kb', 'ka')}, (x, y) -> bit_count(x ^ y)), 0, "
@@ -140,8 +140,7 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
     pairs = written(pairs.select("a", "b", "ida", "idb", F.expr("2 * apart / (na + nb + apart)").alias("low"),
                                  F.expr(f"100 * (na + nb - apart) >= {percent} * (na + nb + apart)").alias("maybe")), "pairs", parts)
     maybe = pairs.where("maybe")
-    ids = written(maybe.select(F.col("ida").alias("doc_id")).union(maybe.select(F.col("idb").alias("doc_id")))
-                  .where("doc_id IS NOT NULL").distinct(), "named", parts)
+    ids = written(maybe.select("ida.*").union(maybe.select("idb.*")).distinct(), "named", parts)
 
     def build(batches):
         for batch in slices(batches):
@@ -150,7 +149,9 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
                                              ["point", "shingles"])
 
     wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-    sets = written(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    # a row is found by id and text: rows without an id take part
+    rows, wanted = docs.select("doc_id", "text", F.xxhash64("text").alias("content")).alias("d"), wanted.alias("w")
+    sets = written(rows.join(wanted, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.content") == F.col("w.content")), "left_semi")
                    .mapInArrow(build, "point long, shingles array<long>").dropDuplicates(["point"]), "sets", parts)
     a = sets.select(F.col("point").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("point").alias("b"), F.col("shingles").alias("sb"))
@@ -163,6 +164,42 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
     return written(exact.unionByName(rest), "distances", parts)
 
 
+def _distinct_sets(points: DataFrame) -> DataFrame:
+    """One row per point with shingles, with the doc_id and content of one of its rows (the least known id)."""
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content"))
+    return written(points.where("n > 0").groupBy("point").agg(
+        one.alias("one"), F.first("n").alias("n"), F.first("early").alias("early"), F.first("sketch").alias("sketch"))
+        .select("point", "one.doc_id", "one.content", "n", "early", "sketch"), "index")
+
+
+def similarity_links(docs: DataFrame, percent: int = 80, width: int = 5) -> tuple[DataFrame, DataFrame]:
+    """All links between distinct shingle sets, and how many each row of ``docs`` has.
+
+    Rules are those of ``similarity_components``. The first table has a linked pair
+    of sets once: a, b (points, a < b), doc_a, doc_b (their least doc_ids, NULL if
+    they have none) and similarity. The second has a row per input row: doc_id,
+    content and n_links, the number of other distinct sets linked to that of the
+    row (0 without shingles); copies of one set are one set. Pairs within a
+    region are listed too, so the result grows with the squares of the groups.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    points = shingle_points(docs, percent, width)
+    index = _distinct_sets(points)
+    rows = written(index.select("point", "n", F.posexplode("early").alias("pos", "s")), "neighbourhoods")
+    parts = max(8, rows.count() // ROWS_PER_FILE)
+    x, y = rows.alias("x"), rows.alias("y")
+    pairs = x.join(y, F.col("x.s") == F.col("y.s")).where(f"x.point < y.point AND NOT {_far('x', 'y', percent)}").select(
+        F.col("x.point").alias("a"), F.col("y.point").alias("b")).distinct()
+    found = _measure(pairs, docs, index, width, percent, parts).where("linked")
+    ids = [index.select(F.col("point").alias(p), F.col("doc_id").alias(f"doc_{p}")) for p in "ab"]
+    links = written(found.select("a", "b", (1 - F.col("low")).alias("similarity")).join(ids[0], "a").join(ids[1], "b")
+                    .select("a", "b", "doc_a", "doc_b", "similarity"), "links")
+    counts = links.select(F.col("a").alias("point")).union(links.select(F.col("b").alias("point"))).groupBy("point").agg(
+        F.count("*").alias("n_links"))
+    return links, points.select("doc_id", "content", "point").join(counts, "point", "left").select(
+        "doc_id", "content", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, label (names
     the component among points; NULL without shingles), content (hash of the text).
@@ -173,16 +210,13 @@ def similarity_components(docs: DataFrame, percent: int = 80, width: int = 5) ->
     shorter texts are one shingle). ``component_id`` is the least doc_id
     reachable. Rows with NULL, empty or blank text have no shingles and are
     linked with nothing: their component is their own doc_id. Repeated rows and
-    equal texts share a component. A NULL doc_id keeps its row and gets the
-    least known id of its text, or NULL; a text that has no id at all is compared with
-    equal texts only. Radius and windows follow from ``percent``; nothing is capped. An empty table gives an empty result.
+    equal texts share a component. A NULL doc_id keeps its row, takes part like any
+    other and gets the least known id of its component, or NULL. Radius and windows follow from ``percent``; nothing is capped. An empty table gives an empty result.
     """
     radius = 1 - percent / 100
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     points = shingle_points(docs, percent, width)
-    index = written(points.where("n > 0").groupBy("point").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("early").alias("early"),
-        F.first("sketch").alias("sketch")), "index")
+    index = _distinct_sets(points)
     by_shingle = Window.partitionBy("s")
     rows = index.select("point", "n", F.posexplode("early").alias("pos", "s"))
     rows = rows.withColumn("size", F.count("*").over(by_shingle)).withColumn(

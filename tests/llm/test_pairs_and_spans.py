@@ -50,6 +50,42 @@ def test_jaccard_join_splits_regions_again(spark, monkeypatch):
     assert counted(got) == counted(h.jaccard_components([r[:2] for r in rows]))
 
 
+def edited(seed, words, *changes):
+    out = h.prose(seed, words).split()
+    for i in changes:
+        out[i] = "changed"
+    return " ".join(out)
+
+
+def test_jaccard_join_links_rows_without_an_id(spark):
+    rows = [(None, edited(81, 120)), (7, edited(81, 120, 60)), (5, edited(81, 120, 60, 90)), (None, edited(82, 120)), (None, edited(82, 120, 9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.similarity_components(docs).select("doc_id", "n_shingles", "component_id", "label").collect()
+    assert Counter(tuple(r)[:3] for r in got) == Counter(h.jaccard_components(rows))
+    assert len({r["label"] for r in got}) == 2
+    assert sorted((r["doc_id"] or 0) for r in jaccard_join.keep_one_per_component(docs).collect()) == [0, 5]
+
+
+def test_jaccard_links_against_all_pairs(spark):
+    rows = [r[:2] for r in h.odd_rows()] + [(100 + k, edited(83, 150, *range(0, 9 * k, 9))) for k in range(6)] + [
+        (None, edited(83, 150, 70)), (120, edited(83, 150)), (121, edited(84, 50)), (122, edited(84, 50, 49))]
+    links, counts = jaccard_join.similarity_links(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    sets = {}
+    for i, t in rows:
+        if h.shingles(t):
+            sets.setdefault(frozenset(h.shingles(t)), []).append(i)
+    near = {a: [b for b in sets if a != b and 100 * len(a & b) >= 80 * len(a | b)] for a in sets}
+    least = {a: min((i for i in ids if i is not None), default=None) for a, ids in sets.items()}
+    pair = lambda i, j, s: (*sorted([i, j], key=lambda x: (x is None, x or 0)), round(s, 6))      # noqa: E731
+    want = Counter(pair(least[a], least[b], len(a & b) / len(a | b)) for a in near for b in near[a])
+    got = links.collect()
+    assert Counter(pair(r["doc_a"], r["doc_b"], r["similarity"]) for r in got) == Counter({k: n // 2 for k, n in want.items()})
+    assert len(got) == len({(r["a"], r["b"]) for r in got}) > 10
+    assert Counter((r["doc_id"], r["n_links"]) for r in counts.collect()) == Counter(
+        (i, len(near[frozenset(h.shingles(t))]) if h.shingles(t) else 0) for i, t in rows)
+    assert [x.count() for x in jaccard_join.similarity_links(h.empty(spark))] == [0, 0]
+
+
 def test_jaccard_join_keeps_one_of_each_group(spark):
     kept = jaccard_join.keep_one_per_component(h.frame(spark, h.odd_rows()))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "point", "content", "drop", "all", "row"]
