@@ -28,8 +28,11 @@ PER_LANGUAGE = 500
 LANDMARKS = 80
 RIDGE = 1e-3
 HELD_OUT = (4, 2)
-#: Below this score a document is not accepted as being in any learned language.
-ACCEPT = 0.3
+#: An n-gram is known in a language when this share of its texts fitted on holds it, and two of them.
+KNOWN_SHARE = 0.02
+#: A text is not accepted in its best language when its share of known n-grams, two standard errors up, is below
+#: this part of the share that all but the fraction USUAL of the texts fitted on reach (each judged by the others).
+ACCEPT, USUAL = 0.7, 0.01
 _LETTER = re.compile(r"[^\W\d_]")
 _ROWS = 128
 
@@ -42,11 +45,30 @@ def spectrum(text: str) -> np.ndarray:
     return np.concatenate([np.unique(a), np.unique(two) + (1 << 8), np.unique(three) + (1 << 17)])
 
 
+_WORDY = np.array([c == 32 or c >= 128 or chr(c).isalpha() for c in range(256)])
+
+
+def wordy(s: np.ndarray) -> np.ndarray:
+    """The n-grams of a spectrum without digits and punctuation: numbers and tokens are of no language."""
+    size = np.searchsorted(s, [1 << 8, 1 << 17])
+    one, two, three = s[:size[0]], s[size[0]:size[1]] - (1 << 8), s[size[1]:] - (1 << 17)
+    return s[np.concatenate([_WORDY[one], _WORDY[two >> 8] & _WORDY[two & 255],
+                             _WORDY[three >> 16] & _WORDY[three >> 8 & 255] & _WORDY[three & 255]])]
+
+
 @dataclass
 class KernelModel:
     languages: list[str]
     grams: np.ndarray       # sorted n-gram codes of the landmarks
     weights: np.ndarray     # (n-grams + 1, languages); the last row is the bias
+    known: list[np.ndarray]     # per language, sorted n-gram codes known in it
+    least: list[float]          # per language, the share of known n-grams that its texts usually reach
+
+    def accepts(self, s: np.ndarray, language: int, accept: float) -> bool:
+        """Whether a text's n-grams are those of a language; other languages have no say in it."""
+        s = wordy(s)
+        p = float(np.isin(s, self.known[language], assume_unique=True).mean()) if len(s) else 1.0
+        return p + 2 * np.sqrt(p * (1 - p) / max(len(s), 1)) >= accept * self.least[language]
 
     def margins(self, spectra: list[np.ndarray]) -> np.ndarray:
         presence = np.zeros((len(spectra), len(self.grams) + 1), np.float32)
@@ -84,7 +106,16 @@ def fit(spectra: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS
     w = (1 / (len(languages) * share[y]))[:, None]                      # languages weigh the same
     lhs = psi.T @ (w * psi) + ridge * len(y) * np.eye(psi.shape[1])
     ridge_weights = np.linalg.solve(lhs, psi.T @ (w * goal))
-    return KernelModel(languages, grams, np.vstack([z.T @ (root @ ridge_weights[:-1]), ridge_weights[-1:]]).astype(np.float32))
+    known, least = [], []
+    for c in range(len(languages)):
+        found, texts = np.unique(np.concatenate([spectra[i] for i in np.flatnonzero(y == c)]), return_counts=True)
+        enough = max(2, KNOWN_SHARE * np.sum(y == c))
+        known.append(found[texts >= enough])
+        others = found[texts >= enough + 1]                             # known without the text that is judged
+        shares = [float(np.isin(g, others).mean()) for g in (wordy(spectra[i]) for i in np.flatnonzero(y == c)) if len(g)]
+        least.append(float(np.quantile(shares, USUAL)) if shares else 0.0)
+    return KernelModel(languages, grams, np.vstack([z.T @ (root @ ridge_weights[:-1]), ridge_weights[-1:]]).astype(np.float32),
+                       known, least)
 
 
 def training_set(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[np.ndarray], list[str]]:
@@ -116,8 +147,9 @@ def training_set(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[lis
     return spectra_, labels
 
 
-def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
+def identify(docs: DataFrame, model: KernelModel | None, accept: float | None = None) -> DataFrame:
     """``docs`` with lang_pred and score (0 to 1) for the whole text of every row.
+    With ``accept``, a text whose n-grams are not those of its best language is ``und``.
 
     A NULL text or one without a letter is ``und`` with score 0, and so is
     everything without a model. Repeated rows get the same result, NULL ids and
@@ -132,10 +164,12 @@ def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
             lang, best = ["und"] * len(texts), [0.0] * len(texts)
             rows = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
             for part in (rows[i:i + _ROWS] for i in range(0, len(rows), _ROWS)):
-                share = np.clip((model.margins([spectrum(texts[i]) for i in part]) + 1) / 2, 1e-6, 1).astype(float)
+                found = [spectrum(texts[i]) for i in part]
+                share = np.clip((model.margins(found) + 1) / 2, 1e-6, 1).astype(float)
                 share /= share.sum(axis=1, keepdims=True)
-                for i, c, p in zip(part, share.argmax(axis=1), share.max(axis=1)):
-                    lang[i], best[i] = model.languages[c], float(p)
+                for i, s, c, p in zip(part, found, share.argmax(axis=1), share.max(axis=1)):
+                    if accept is None or model.accepts(s, c, accept):
+                        lang[i], best[i] = model.languages[c], float(p)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(lang), pa.array(best, pa.float64()), b.column(1)], ["lang_pred", "score", "row"])
 
@@ -155,9 +189,9 @@ def predict(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
-    """Rows of ``docs`` whose text is in a learned language with at least the score ``accept``; all columns."""
+    """Rows of ``docs`` whose text is in a learned language, judged by its n-grams in that language alone; all columns."""
     model = fit(*training_set(docs))
-    return identify(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= accept)).select("row.*")
+    return identify(docs, model, accept).where(F.col("lang_pred") != "und").select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -125,6 +125,17 @@ def test_language_kernel_is_the_presence_kernel():
     assert grams and len(language_kernel.spectrum("ab")) == 3 + 3 + 2
 
 
+def test_language_stage_keeps_learned_languages_alone(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    text = {r["doc_id"]: r for r in docs.select("doc_id", "text", "lang").collect()}
+    lettered = {i for i, r in text.items() if any(c.isalpha() for c in r["text"] or "")}
+    assert {r["doc_id"] for r in language_kernel.keep_identified(docs).collect()} == lettered
+    blind = docs.withColumn("lang", language_kernel.F.expr("if(lang = 'de', NULL, lang)"))     # three languages are learned
+    kept = {r["doc_id"] for r in language_kernel.keep_identified(blind).collect()}
+    german = {i for i in lettered if text[i]["lang"] == "de"}
+    assert lettered - german <= kept and len(kept & german) < 0.1 * len(german)
+
+
 def test_classifiers_on_odd_rows(spark):
     rows = h.odd_rows()
     docs = h.frame(spark, rows)
