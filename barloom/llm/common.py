@@ -62,6 +62,13 @@ def remainder(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def prior_shift(marks: DataFrame, label: str, per_label: int) -> float:
+    """What a sample of at most ``per_label`` rows of each of the labels 0 and 1 takes from the log odds of 1."""
+    n = {r[label]: r["count"] for r in marks.groupBy(label).count().collect()}
+    lost = [np.log(n[k] / min(n[k], per_label)) if n.get(k) else 0.0 for k in (0, 1)]
+    return float(lost[1] - lost[0]) if n.get(0) and n.get(1) else 0.0
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser, so that nearby inputs give unrelated outputs."""
     h = (h ^ (h >> np.uint64(30))) * _MIX_A

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import remainder, slices, table
+from barloom.llm.common import prior_shift, remainder, slices, table
 
 HELD_OUT = (4, 2)
 ACCEPT = 0.7
@@ -153,7 +153,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
-    """Chunks, sizes and labels of a bounded sample of labelled rows."""
+    """Chunks, sizes and labels of a bounded sample of labelled rows,
+    and what the sampling by label takes from the log odds."""
     parts, out = HELD_OUT
     marks = labels.where(F.col("quality").isNotNull() & (remainder(F.col("doc_id"), parts) != out)).groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("quality"))
@@ -175,7 +176,7 @@ def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL)
             .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id"))
     span = 2 * BLOCK + WIDTH - 1
     return ([np.frombuffer(c, np.uint8).reshape(-1, span) for c in rows.column("chunks").to_pylist()],
-            rows.column("size").to_numpy(), rows.column("quality").to_numpy().astype(np.int64))
+            rows.column("size").to_numpy(), rows.column("quality").to_numpy().astype(np.int64), prior_shift(marks, "quality", per_label))
 
 
 def score_quality(docs: DataFrame, model: ByteCNN) -> DataFrame:
@@ -193,9 +194,11 @@ def score_quality(docs: DataFrame, model: ByteCNN) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, "doc_id long, score double")
 
 
-def rate_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def rate_quality(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
     """Fit on the learning part of ``labels`` and score all ``docs``: doc_id, held_out, score, predicted."""
-    model = fit(*training_set(docs, labels))
+    *sample, shift = training_set(docs, labels, per_label)
+    model = fit(*sample)
+    model.combine = model.combine + [shift, 0, 0, 0]        # the labels' own odds, whatever the caps took
     parts, out = HELD_OUT
     return score_quality(docs, model).select(
         "doc_id", F.coalesce(remainder(F.col("doc_id"), parts) == out, F.lit(False)).alias("held_out"), "score",

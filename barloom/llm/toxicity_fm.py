@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import PUNCTUATION, remainder, slices, table, word_hashes
+from barloom.llm.common import PUNCTUATION, prior_shift, remainder, slices, table, word_hashes
 
 HELD_OUT = (5, 0)
 #: Labelled documents per label that the model is fitted on (chosen by hash of the id), at most.
@@ -151,8 +151,9 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epoc
     return descend(sets, labels, np.union1d(alone, paired), factors, epochs, rate, l2, batch) if len(paired) else model
 
 
-def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> tuple[list[np.ndarray], np.ndarray]:
-    """Term sets and labels of a bounded sample of labelled rows, whole texts."""
+def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> tuple[list[np.ndarray], np.ndarray, float]:
+    """Term sets and labels of a bounded sample of labelled rows, whole texts,
+    and what the sampling by label takes from the log odds."""
     parts, out = HELD_OUT
     marks = labels.where(F.col("toxic").isNotNull() & (remainder(F.col("doc_id"), parts) != out)).groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic"))
@@ -171,7 +172,7 @@ def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL)
             .select("doc_id", "toxic", "text").mapInArrow(build, "doc_id long, toxic int, terms binary")
             .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id"))
     return ([np.frombuffer(t, np.int32) for t in rows.column("terms").to_pylist()],
-            rows.column("toxic").to_numpy().astype(np.int64))
+            rows.column("toxic").to_numpy().astype(np.int64), prior_shift(marks, "toxic", per_label))
 
 
 def score_toxicity(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
@@ -189,9 +190,11 @@ def score_toxicity(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, "doc_id long, score double")
 
 
-def detect_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def detect_toxicity(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> DataFrame:
     """Fit on the learning part of ``labels`` and score all ``docs``: doc_id, held_out, score, predicted."""
-    model = fit(*training_set(docs, labels))
+    *sample, shift = training_set(docs, labels, per_label)
+    model = fit(*sample)
+    model.bias += shift     # the labels' own odds, whatever the caps took
     parts, out = HELD_OUT
     return score_toxicity(docs, model).select(
         "doc_id", F.coalesce(remainder(F.col("doc_id"), parts) == out, F.lit(False)).alias("held_out"), "score",

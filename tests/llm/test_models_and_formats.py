@@ -96,6 +96,13 @@ def test_quality_on_held_out_rows(spark):
     assert auc([marks[r["doc_id"]] for r in held], [r["score"] for r in held]) > 0.9
 
 
+def test_caps_do_not_move_the_prior(spark):
+    docs = spark.createDataFrame([(i, h.prose(i, 30)) for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 > 0), int(i % 10 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    toxic, good = toxicity_fm.detect_toxicity(docs, labels, per_label=40), quality_cnn.rate_quality(docs, labels, per_label=40)
+    assert np.median([r["score"] for r in toxic.collect()]) < 0.25 and np.median([r["score"] for r in good.collect()]) > 0.75
+
+
 def test_quality_pools_over_the_whole_text():
     model = quality_cnn.fit([], np.zeros(0), np.zeros(0, int))
     data = np.frombuffer(h.prose(3, 20000).encode(), np.uint8)
