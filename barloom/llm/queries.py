@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from barloom.llm import (decontamination, jaccard_join, language_kernel, merkle_audit, packing, pii, quality_cnn,
-                         scaled_sketch, tool_linking, toxicity_fm)
+from barloom.llm import (decontamination, jaccard_join, language_kernel, merkle_audit, packing, periodic_runs, pii,
+                         quality_cnn, scaled_sketch, tool_linking, toxicity_fm)
 
 QUERIES = {
     "op1_toxicity_fm": toxicity_fm.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_pii_disclosure": pii.query,
     "op9_merkle_audit": merkle_audit.query,
     "op10_jaccard_join": jaccard_join.query,
+    "op11_periodic_runs": periodic_runs.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
