@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from barloom.llm import (decontamination, jaccard_join, language_kernel, merkle_audit, packing, periodic_runs, pii,
-                         quality_cnn, scaled_sketch, tool_linking, toxicity_fm)
+                         pivot_simhash, quality_cnn, scaled_sketch, token_alignment, tool_linking, toxicity_fm)
 
 QUERIES = {
     "op1_toxicity_fm": toxicity_fm.query,
@@ -18,6 +18,8 @@ QUERIES = {
     "op9_merkle_audit": merkle_audit.query,
     "op10_jaccard_join": jaccard_join.query,
     "op11_periodic_runs": periodic_runs.query,
+    "op12_pivot_simhash": pivot_simhash.query,
+    "op13_token_alignment": token_alignment.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
