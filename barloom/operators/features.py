@@ -1,12 +1,13 @@
 """Feature table: enrichment joins (2.3) and feature layers (2.4, 2.5).
 
-Each input is shuffled by ticker once and every per-ticker layer runs on that
-partitioning (all use ``wt()`` or a window partitioned by ticker plus a finer
-key); the cross-sectional layer shuffles by trading date, and the ``(date,
-sector)`` windows reuse that. Written tables in between (the base frame) are
-shuffled again when read. One ticker's whole history is one task's work: some
-250 rows a year. Dimension tables bounded by domain (sectors, the date series)
-are broadcast, those that grow with the universe only behind a size check.
+Inputs, the base frame and the feature table are stored in buckets by ticker,
+sorted by date (``session.stored``). Joins on (ticker, date), the per-ticker
+layers (all use ``wt()`` or a window partitioned by ticker plus a finer key) and
+the E26 fill read those buckets without an exchange; the cross-sectional layer
+shuffles by trading date once, and the ``(date, sector)`` windows reuse that. A
+ticker with a very long history is worked on in blocks (``functions.blocks``).
+Dimension tables bounded by domain (sectors, the date series) are broadcast,
+those that grow with the universe only behind a size check.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.blocks import filled_forward, in_blocks
 from barloom.functions.codes import (
     CROSS_STATUS_CODES, MACD_SIGNAL_CODES, POSITION_CODES, SMA_SIGNAL_CODES, TRADE_SIGNAL_CODES,
     TREND_STATUS_CODES, code_of, sector_etf_return,
@@ -62,14 +64,6 @@ def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
     return df.withColumn("_rk", F.rank().over(w)).filter("_rk = 1").drop("_rk")
 
 
-def by_ticker(df: DataFrame) -> DataFrame:
-    """Hash-partition by ticker once. With
-    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (``plan_session``)
-    the (ticker, trading_date) joins and every ticker window then run on this
-    partitioning: one shuffle per input, none for the joined frame."""
-    return df.repartition("ticker")
-
-
 def dedup_keep_last(df: DataFrame, keys=("ticker", "trading_date"), seq: str = "load_seq") -> DataFrame:
     """Keep the last loaded row per key (``drop_duplicates(keep='last')``).
     A grouped ``max_by``: on input already partitioned by ticker it needs no
@@ -82,9 +76,9 @@ def dedup_keep_last(df: DataFrame, keys=("ticker", "trading_date"), seq: str = "
 
 def indicator_inputs(fx: Fixtures) -> list[DataFrame]:
     """The indicator views of C4, renamed as the pipeline reads them."""
-    bam = dedup_keep_last(by_ticker(fx.bands_atr_macd_stoch))
-    sma = dedup_keep_last(by_ticker(fx.sma_macd_signals))
-    fsp = dedup_keep_last(by_ticker(fx.fib_sr_patterns))
+    bam = dedup_keep_last(fx.bands_atr_macd_stoch)
+    sma = dedup_keep_last(fx.sma_macd_signals)
+    fsp = dedup_keep_last(fx.fib_sr_patterns)
     return [
         bam.select("ticker", "trading_date",
                    c_("Upper_Band").alias("db_bb_upper"), c_("Lower_Band").alias("db_bb_lower"),
@@ -151,7 +145,7 @@ def base_frame(fx: Fixtures, price_floor: float = 5.0) -> DataFrame:
     bar. Whole-frame statistics are taken from this frame, not from the wider
     one, since the later left joins are on unique keys and keep every row."""
     bars = fx.bars.filter((c_("close_price") >= F.lit(price_floor)) & (c_("volume") > 0))
-    frame = bars_with_rsi(by_ticker(bars.drop("company")), by_ticker(fx.rsi))
+    frame = bars_with_rsi(bars.drop("company"), fx.rsi)
     return join_fundamentals(frame, fx.fundamentals, fx.securities)
 
 
@@ -455,17 +449,18 @@ def interactions(frame: DataFrame) -> DataFrame:
 def feature_frame(fx: Fixtures, sentiment: DataFrame | None = None, price_floor: float = 5.0) -> DataFrame:
     """Enriched frame with every feature column (before E26 clean-up). The base frame is written
     once: the EMA branch, the date and sector lists and the whole-table statistics read it again."""
-    base = stored(base_frame(fx, price_floor), "base")
+    base = stored(base_frame(fx, price_floor), "base", "ticker", ("trading_date",))
     indicators = indicator_inputs(fx)
     # the EMA family needs only the close: computed on a 3-column projection
     # (its block-window sorts move narrow rows) and joined like an indicator
     # view, co-partitioned by ticker
-    ema = ema_layers(base.select("ticker", "trading_date", "close_price")).drop("close_price")
+    ema = in_blocks(base.select("ticker", "trading_date", "close_price"), ema_layers).drop("close_price")
     frame = join_indicators(base, indicators + [ema])
     frame = join_market_context(frame, fx.market_context)
     frame = join_calendar(frame, fx.calendar_features)
     frame = join_sentiment(frame, sentiment)
-    feats = ticker_layers(frame, supplied_flags(fx))
+    flags = supplied_flags(fx)
+    feats = in_blocks(frame, lambda f: ticker_layers(f, flags))
     feats = market_alpha(feats, join_market_context(base.select("trading_date"), fx.market_context))
     feats = sector_encoding(feats, source=base)
     feats = whole_table_stats(feats, base)
@@ -490,26 +485,33 @@ DROP_AFTER_FEATURES = (
 )
 
 
-def forward_fill_clean(frame: DataFrame, keep: tuple[str, ...] = ("ticker", "trading_date")) -> DataFrame:
+_NUMERIC = ("double", "float", "integer", "long", "short", "byte")
+
+
+def _finite(frame: DataFrame, name: str) -> Column:
+    """The column with NaN and +-Inf as NULL."""
+    x = c_(name)
+    if frame.schema[name].dataType.typeName() in ("double", "float"):
+        return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None)).otherwise(x)
+    return x
+
+
+def columns_with_gaps(frame: DataFrame) -> set[str]:
+    """Columns that hold a NULL, NaN or Inf, by one aggregate over all columns."""
+    row = frame.agg(*[F.max(_finite(frame, c).isNull()).alias(c) for c in frame.columns]).first()
+    return {c for c in frame.columns if row[c] or row[c] is None}
+
+
+def forward_fill_clean(frame: DataFrame, keep: tuple[str, ...] = ("ticker", "trading_date"),
+                       gaps: set[str] | None = None) -> DataFrame:
     """+-Inf to NULL, forward fill per ticker, then 0 for numeric columns.
-    (``last(ignorenulls)`` over the ticker window: no bleed across tickers.)"""
-    w = wt().rowsBetween(Window.unboundedPreceding, 0)
-    numeric = {f.name for f in frame.schema.fields
-               if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "byte")}
-    sel = []
-    for name in frame.columns:
-        if name in keep:
-            sel.append(c_(name))
-            continue
-        x = c_(name)
-        if name in numeric:
-            x = F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None)).otherwise(x) \
-                if frame.schema[name].dataType.typeName() in ("double", "float") else x
-            sel.append(F.coalesce(F.last(x, ignorenulls=True).over(w), F.lit(0)).cast(
-                frame.schema[name].dataType).alias(name))
-        else:
-            sel.append(F.last(x, ignorenulls=True).over(w).alias(name))
-    return frame.select(*sel)
+    (``last(ignorenulls)`` over the ticker window: no bleed across tickers.)
+    Only columns of ``gaps`` (``columns_with_gaps``; all by default) need a window."""
+    fill = [c for c in frame.columns if c not in keep and (gaps is None or c in gaps)]
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    out = filled_forward(frame, {c: _finite(frame, c) for c in fill})
+    return out.select(*[F.coalesce(c, F.lit(0)).cast(kinds[c]).alias(c) if c in fill and kinds[c].typeName() in _NUMERIC
+                        else c_(c) for c in frame.columns])
 
 
 def enhanced_features(frame: DataFrame, min_history: int = 50) -> DataFrame:

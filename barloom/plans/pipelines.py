@@ -23,7 +23,7 @@ def labelled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaned(frame: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """E26 clean-up of the feature table."""
     frame = frame.drop(*[c for c in feat.DROP_AFTER_FEATURES if c in frame.columns])
-    return feat.forward_fill_clean(frame, keep=keep)
+    return feat.forward_fill_clean(frame, keep, feat.columns_with_gaps(frame))
 
 
 def newest_bars(fx: Fixtures) -> DataFrame:

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from barloom.functions.blocks import in_blocks
 from barloom.functions.columns import r4, r4_sql
 from barloom.functions.ema import ema_sql
 from barloom.operators import features as feat
@@ -16,7 +17,7 @@ from barloom.operators import thresholds as thr
 from barloom.plans import derived as dv
 from barloom.plans.catalog import oracle_cte, register
 from barloom.plans.pipelines import labelled_features
-from barloom.plans.q_features import features
+from barloom.plans.q_features import NUMERIC, features
 from barloom.session import scratch_path
 from barloom.sources import io
 
@@ -54,7 +55,7 @@ FROM c""")
 
 
 def _enh(fx):
-    return feat.enhanced_features(feat.base_frame(fx))
+    return in_blocks(feat.base_frame(fx), feat.enhanced_features)
 
 
 def _flag(cond):
@@ -106,7 +107,8 @@ def q_label_multi(fx):
     return e.select("ticker", "trading_date", *[r4(c).alias(c) for c in d], *i)
 
 
-_FFILL = ("gap_pct", "rsi_momentum", "return_10d", "regime_sma20_slope", "price_volatility_20", "vol_change_ratio")
+#: Every numeric feature that the clean-up keeps.
+_FFILL = tuple(c for c in NUMERIC if c not in feat.DROP_AFTER_FEATURES)
 
 
 @register("feat_ffill", f"""

@@ -41,10 +41,12 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 def plan_session(spark: SparkSession) -> SparkSession:
     """Settings the feature plans are designed for: joins on (ticker, date)
-    may reuse a partitioning by ticker alone, so the ticker shuffle is shared
-    by joins and windows. Applied by the pipeline entry points."""
+    may reuse a partitioning by ticker alone, so the buckets of the stored tables
+    serve joins and windows. Applied by the pipeline entry points."""
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # a bucket is one sorted file (see ``stored``): scans of bucketed tables keep that order
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
     return spark
 
 
@@ -71,13 +73,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, bucket_by: str | None = None, sort_by: tuple[str, ...] = ()) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back, so that
     later plans scan only the columns and row groups they need, and a lost
-    executor takes nothing with it. A column without a type is kept as text."""
+    executor takes nothing with it. A column without a type is kept as text.
+
+    With ``bucket_by`` the rows are dealt into one sorted file per bucket (as many
+    as there are shuffle partitions) under a table name of this session: joins,
+    windows and groups by that column then need no exchange, and with ``sort_by``
+    no sort either."""
     spark = df.sparkSession
     df = df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if f.dataType.typeName() == "void"
                      else F.col(f"`{f.name}`") for f in df.schema.fields])
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    if bucket_by:
+        n, table = int(spark.conf.get("spark.sql.shuffle.partitions")), "barloom_" + uuid.uuid4().hex
+        (df.repartition(n, bucket_by).write.format("parquet").option("path", path)
+         .bucketBy(n, bucket_by).sortBy(bucket_by, *sort_by).saveAsTable(table))
+        return spark.table(table)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

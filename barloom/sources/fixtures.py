@@ -23,6 +23,8 @@ from barloom.sources.fixture_sql import FIXTURE_DEPS, FIXTURE_SQL
 MATERIALISED = ("bars", "rsi", "predictions", "securities", "fundamentals", "market_context",
                 "calendar_features", "market_calendar", "bands_atr_macd_stoch", "sma_macd_signals",
                 "fib_sr_patterns", "articles")
+#: Of these, the ones with a row per ticker and date are stored in buckets by ticker, sorted by date.
+BY_TICKER = ("bars", "rsi", "predictions", "bands_atr_macd_stoch", "sma_macd_signals", "fib_sr_patterns")
 _STORE: dict[tuple[str, str, str], DataFrame] = {}
 
 BASE_TABLES = (
@@ -60,17 +62,20 @@ class Fixtures:
         else:
             raise KeyError(name)
         if name in MATERIALISED:
-            df = stored(df, f"fixture-{name}")
+            df = stored(df, f"fixture-{name}", *(("ticker", ("trading_date",)) if name in BY_TICKER else ()))
             _STORE[store_key] = df
         self._cache[name] = df
         return df
 
     def derived(self, name: str, build) -> DataFrame:
         """A table derived from fixtures (e.g. the feature table), built once
-        per data directory and materialised like a written table."""
+        per data directory and materialised like a written table; in buckets by
+        ticker, sorted by date, where it has both."""
         store_key = (self.spark.sparkContext.applicationId, self.sf_dir + self.tag, name)
         if store_key not in _STORE:
-            _STORE[store_key] = stored(build(self), f"derived-{name[:60]}")
+            df = build(self)
+            keyed = {"ticker", "trading_date"} <= set(df.columns)
+            _STORE[store_key] = stored(df, f"derived-{name[:60]}", *(("ticker", ("trading_date",)) if keyed else ()))
         return _STORE[store_key]
 
     def __getattr__(self, name: str) -> DataFrame:
