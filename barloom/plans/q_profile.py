@@ -11,7 +11,9 @@ from barloom.functions.sizing import checked_broadcast
 from barloom.functions.columns import r4, r4_sql
 from barloom.functions.quantiles import exact_quantiles
 from barloom.operators import outcomes as out
+from barloom.operators import profile as prof
 from barloom.operators import signals as sig
+from barloom.operators.features import PATTERN_FLAGS
 from barloom.operators.prep import stack
 from barloom.plans import derived as dv
 from barloom.plans.catalog import register
@@ -78,24 +80,83 @@ def q_freshness(fx, run_date="2001-11-19"):
                         .otherwise("stale"))
 
 
-@register("profile_columns", "SELECT * FROM (" + " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS n_null, {r4_sql(f'AVG({c})')} AS mean,
-        {r4_sql(f'STDDEV_SAMP({c})')} AS std, {r4_sql(f'MIN({c})')} AS min, {r4_sql(f'MAX({c})')} AS max,
-        'numeric' AS type_class FROM bars""" for c in BAR_NUMERIC) + ") q", ctes=("bars",))
+# Oracle side of the whole feature table: text and date columns by name, all others are numeric.
+_TEXT = ("ticker", "sector", "rsi_trade_signal", "Trend_Status", "SMA_Cross_Status", "sma_trade_signal", "macd_crossover_signal",
+         "fib_trade_signal", "pivot_status", "sr_trade_signal", "pattern_signal")
+_HELPERS = ("i", "c1", "c2", "c3", "c5", "c10", "c20", "o1", "h1", "l1", "v1", "rsi1", "rsi5", "n5", "n10", "n20", "n50", "n100",
+            "n200", "sd20", "low14", "high14", "first10", "cnt10", "sd10c", "etf5", "hl5", "hl5n", "vol60", "atr_calc", "pdm14",
+            "ndm14", "sma20_5", "stoch_d_calc", "ret20")
+_PATTERNS = tuple(f"has_{p}" for p in PATTERN_FLAGS)
+_ALL_COLUMNS = (f"SELECT * EXCLUDE ({', '.join((*_HELPERS, *(f'{p}_f' for p in _PATTERNS)))}) "
+                f"REPLACE ({', '.join(f'{p}_f AS {p}' for p in _PATTERNS)}) FROM o_feat")
+_NUMBERS = f"SELECT CAST(COLUMNS(* EXCLUDE ({', '.join((*_TEXT, 'trading_date'))})) AS DOUBLE) FROM a"
+_ROUNDED = f"SELECT FLOOR(CAST(COLUMNS(* EXCLUDE ({', '.join((*_TEXT, 'trading_date'))})) AS DOUBLE) * 1e4 + 0.501) / 1e4 FROM a"
+_WORDS = f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in (*_TEXT, 'trading_date'))} FROM a"
+_PROFILE_STATS = ("mean", "std", "min", "q1", "median", "q3", "max")
+
+
+@register("profile_columns", f"""
+WITH a AS MATERIALIZED ({_ALL_COLUMNS}),
+nl AS (FROM ({_ROUNDED}) UNPIVOT INCLUDE NULLS (v FOR column_name IN (*))),
+tl AS (FROM ({_WORDS}) UNPIVOT INCLUDE NULLS (v FOR column_name IN (*))),
+ns AS (SELECT column_name, COUNT(v) AS n, COUNT(*) - COUNT(v) AS n_null, COUNT(DISTINCT v) AS n_distinct, AVG(v) AS mean,
+              STDDEV_SAMP(v) AS std, MIN(v) AS min, QUANTILE_CONT(v, 25e-2) AS q1, QUANTILE_CONT(v, 5e-1) AS median,
+              QUANTILE_CONT(v, 75e-2) AS q3, MAX(v) AS max FROM nl GROUP BY column_name),
+tc AS (SELECT column_name, v, COUNT(*) AS k FROM tl WHERE v IS NOT NULL GROUP BY ALL),
+tt AS (SELECT column_name, ARG_MIN(v, (-k, v)) AS top, MAX(k) AS top_n FROM tc GROUP BY column_name),
+ts AS (SELECT column_name, COUNT(v) AS n, COUNT(*) - COUNT(v) AS n_null, COUNT(DISTINCT v) AS n_distinct, MIN(v) AS first,
+              MAX(v) AS last FROM tl GROUP BY column_name)
+SELECT column_name, 'numeric' AS type_class, n, n_null, n_distinct, {', '.join(f'{r4_sql(c)} AS {c}' for c in _PROFILE_STATS)},
+       NULL AS first, NULL AS last, NULL AS top, NULL AS top_n FROM ns
+UNION ALL SELECT ts.column_name, CASE WHEN ts.column_name = 'trading_date' THEN 'date' ELSE 'text' END, n, n_null, n_distinct,
+       {', '.join('NULL' for _ in _PROFILE_STATS)}, first, last, top, top_n
+FROM ts LEFT JOIN tt ON tt.column_name = ts.column_name""", ctes=("o_feat",))
 def q_profile_columns(fx):
-    """One wide aggregate, unpivoted to one row per column."""
-    b = fx.bars
-    aggs = []
-    for c in BAR_NUMERIC:
-        aggs += [F.count_if(c_(c).isNull()).alias(f"{c}__n_null"), F.avg(c).alias(f"{c}__mean"),
-                 F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
-                 F.max(c).cast("double").alias(f"{c}__max")]
-    w = b.agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), c_(f"{c}__n_null").cast("bigint").alias("n_null"),
-                             r4(f"{c}__mean").alias("mean"), r4(f"{c}__std").alias("std"),
-                             r4(f"{c}__min").alias("min"), r4(f"{c}__max").alias("max"),
-                             F.lit("numeric").alias("type_class")) for c in BAR_NUMERIC])
-    return w.select(F.explode(arr).alias("x")).select("x.*")
+    """Every column of the feature table, by the classes of its schema; numbers as exported, with 4 decimals."""
+    f = features(fx)
+    numeric = prof.columns_of(f, "numeric")
+    return prof.profile(f.select(*[r4(c).alias(c) if c in numeric else c_(c) for c in f.columns])).select(
+        "column_name", "type_class", "n", "n_null", "n_distinct", *[r4(c).alias(c) for c in _PROFILE_STATS],
+        "first", "last", "top", "top_n")
+
+
+_TABLES = ("bars", "rsi", "bands_atr_macd_stoch", "documents", "customer")
+
+
+def _row_columns(name: str) -> str:
+    return {"bands_atr_macd_stoch": "* EXCLUDE (load_seq)", "documents": "lang, source, n_chars", "customer": "c_nationkey, c_mktsegment"}.get(name, "*")
+
+
+@register("duplicate_rows", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {t}) AS n_rows, (SELECT COUNT(*) FROM {t}) - "
+    f"(SELECT COUNT(*) FROM (SELECT DISTINCT {_row_columns(t)} FROM {t})) AS n_duplicates" for t in _TABLES),
+    ctes=("bars", "rsi", "bands_atr_macd_stoch"))
+def q_duplicate_rows(fx):
+    """P5: whole-row duplicates of several tables (for some of them, of some columns)."""
+    parts = []
+    for t in _TABLES:
+        df = fx.get(t)
+        chosen = {"bands_atr_macd_stoch": [c for c in df.columns if c != "load_seq"], "documents": ["lang", "source", "n_chars"],
+                  "customer": ["c_nationkey", "c_mktsegment"]}.get(t)
+        parts.append(prof.duplicate_rows(df, chosen).select(F.lit(t).alias("table_name"), "n_rows", "n_duplicates"))
+    out_ = parts[0]
+    for p in parts[1:]:
+        out_ = out_.unionByName(p)
+    return out_
+
+
+@register("distinct_sketches", f"""
+WITH a AS MATERIALIZED ({_ALL_COLUMNS}),
+tl AS (UNPIVOT ({_WORDS}) ON * INTO NAME column_name VALUE v)
+SELECT column_name, COUNT(DISTINCT v) AS n_distinct, TRUE AS within_5_pct FROM tl GROUP BY column_name""", ctes=("o_feat",))
+def q_distinct_sketches(fx):
+    """Distinct values of the text and date columns, exact and merged from one sketch per month."""
+    f = features(fx)
+    columns = prof.columns_of(f, "text", "date")
+    monthly = prof.distinct_sketches(f.withColumn("_month", F.trunc("trading_date", "MM")), columns, ["_month"])
+    exact = prof.stacked(f, columns, "string").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    off = F.abs(c_("n_distinct_estimate") - c_("n_distinct")) <= 0.05 * c_("n_distinct")
+    return exact.join(prof.merged_distinct(monthly), "column_name").select("column_name", "n_distinct", off.alias("within_5_pct"))
 
 
 _QI_COLS = tuple(NUMERIC)
@@ -138,26 +199,21 @@ def q_quality(fx):
         F.lit(None).cast("boolean").alias("high_cardinality"), "iqr_outliers"))
 
 
-_CORR = ("daily_return", "return_5d", "RSI", "volume_sma_ratio", "price_position", "atr_ratio", "stochastic_k",
-         "next_5d_return")
-
-
-def _corr_pairs():
-    return [(a, b) for i, a in enumerate(_CORR) for b in _CORR[i + 1:]]
-
-
-@register("correlation_pairs", "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r4_sql(f'CORR({a}, {b})')} AS corr, ABS(CORR({a}, {b})) > 8e-1 AS high "
-    f"FROM o_feat" for a, b in _corr_pairs()) + ") q", ctes=("o_feat",))
+@register("correlation_pairs", f"""
+WITH a AS MATERIALIZED ({_ALL_COLUMNS}),
+r AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS rid, * FROM ({_NUMBERS})),
+l AS MATERIALIZED (UNPIVOT r ON COLUMNS(* EXCLUDE (rid)) INTO NAME column_name VALUE v),
+c AS (SELECT x.column_name AS col_a, y.column_name AS col_b, COUNT(*) AS n,
+             CASE WHEN STDDEV_POP(x.v) > 1e-9 * ABS(AVG(x.v)) AND STDDEV_POP(y.v) > 1e-9 * ABS(AVG(y.v)) THEN CORR(x.v, y.v) END AS c
+      FROM l x JOIN l y ON x.rid = y.rid AND x.column_name < y.column_name GROUP BY ALL)
+SELECT col_a, col_b, n, {r4_sql('c')} AS corr, COALESCE(ABS(c) > 8e-1, FALSE) AS high FROM c""", ctes=("o_feat",))
 def q_corr(fx):
-    """All pairwise correlations in one aggregate, unpivoted; the pairs
-    with ``next_5d_return`` are the correlations with the target."""
-    f = features(fx)
-    pairs = _corr_pairs()
-    w = f.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    arr = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r4(f"{a}__{b}").alias("corr"),
-                             (F.abs(c_(f"{a}__{b}")) > 0.8).alias("high")) for a, b in pairs])
-    return w.select(F.explode(arr).alias("x")).select("x.*")
+    """The correlations of all numeric columns of the feature table (pairs that occur together); the
+    pairs with ``next_5d_return`` are the correlations with the target."""
+    found = prof.correlations(features(fx)).where("n > 0")
+    a, b = F.least("col_a", "col_b"), F.greatest("col_a", "col_b")
+    return found.select(a.alias("col_a"), b.alias("col_b"), "n", r4("corr").alias("corr"),
+                        F.coalesce(F.abs("corr") > 0.8, F.lit(False)).alias("high"))
 
 
 @register("value_distribution", f"""
