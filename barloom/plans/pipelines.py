@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.operators import calibration as calib
 from barloom.operators import features as feat
 from barloom.operators import models as mdl
 from barloom.operators import signals as sig
@@ -80,8 +81,8 @@ def weekly_retrain(fx: Fixtures, feature_cols: tuple[str, ...] | None = None,
     for name in ("random_forest", "gradient_boosting", "logistic"):
         m = mdl.fit_classifier(train, feats, zoo[name])
         cal_s = mdl.score(m, cal, ["y"])
-        test_s = mdl.platt(cal_s, mdl.score(m, test, ["y"]))
-        thr_row = tune_threshold(mdl.platt(cal_s, cal_s).withColumn("p", F.col("p_calibrated"))).first()
+        test_s = calib.platt(cal_s, mdl.score(m, test, ["y"]))
+        thr_row = tune_threshold(calib.platt(cal_s, cal_s).withColumn("p", F.col("p_calibrated"))).first()
         t = thr_row["threshold"] if thr_row else 0.5
         scored = test_s.select("y", (F.col("p_calibrated") >= t).cast("int").alias("pred"))
         parts.append(classification_metrics(scored, []).select(
