@@ -7,10 +7,14 @@ offsets are running sums, so a text may hold any number of them.
 A term discloses an entity when seeing the term says much of what there is to
 know about the entity's presence. With document frequencies over all distinct
 texts, IC(e) = -log2 p(e) and PMI(t; e) = log2(p(t, e) / (p(t) p(e))); the share
-PMI / IC is 1 when the term occurs only with the entity. Terms within reach of
-an entity in at least ``support`` distinct texts whose share reaches
-``disclosure`` are generalised wherever they occur, also in texts that do not
-name the entity.
+PMI / IC is 1 when the term occurs only with the entity. Terms that stand with an
+entity in at least ``support`` distinct texts, anywhere in them, whose share
+reaches ``disclosure`` and that stand with it in at least ``confidence`` of their
+own texts, are generalised wherever they occur, also in texts that do not name
+the entity. (The share alone admits ever weaker terms as the corpus grows.)
+
+Both bounds limit a term's frequency by the entity's, so common words never meet
+entities, and entities found in just the same texts count as one.
 """
 
 from __future__ import annotations
@@ -28,12 +32,12 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Terms count as near an entity within so many characters.
-REACH = 120
-#: Distinct texts in which a term must stand near an entity.
+#: Distinct texts in which a term must stand with an entity.
 SUPPORT = 3
 #: Share of the entity's information that a term may not reach.
 DISCLOSURE = 0.85
+#: Share of a term's texts that name the entity, from which on the term counts.
+CONFIDENCE = 0.75
 #: Terms, texts or spans up to this number (about 50 bytes each) are broadcast; beyond, joins shuffle.
 MAX_BROADCAST = 500_000
 WORD_GAP = r"[^\p{L}\p{N}]+"
@@ -68,8 +72,7 @@ VALID = (
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """Distinct (doc_id, content, kind, start, end, value, near): valid matches with
-    code point offsets and the text around them."""
+    """Distinct (doc_id, content, kind, start, end, value): valid matches with code point offsets."""
     hints = {"email": "contains(text, '@')", "ip": r"text RLIKE '[0-9][.][0-9]'", "card": "text RLIKE '[0-9]'",
              "phone": "contains(text, '+')"}
     found = [F.when(F.expr(hints[k]), F.struct(
@@ -77,16 +80,13 @@ def base_spans(docs: DataFrame) -> DataFrame:
         F.split("text", PATTERNS[k], -1).alias("gaps"))) for k in KINDS]
     rows = _rows(docs).select("doc_id", "content", F.explode(F.array(*found)).alias("f")).where("size(f.values) > 0")
     rows = rows.select("doc_id", "content", "f.kind", F.posexplode(F.expr(
-        "transform(f.values, (v, i) -> named_struct('value', v, 'gap', length(f.gaps[i]), "
-        f"'near', concat(if(length(f.gaps[i]) > {REACH}, regexp_replace(right(f.gaps[i], {REACH}), '^[\\\\p{{L}}\\\\p{{N}}]+', ''), "
-        f"f.gaps[i]), ' ', if(length(f.gaps[i + 1]) > {REACH}, regexp_replace(left(f.gaps[i + 1], {REACH}), "
-        "'[\\\\p{L}\\\\p{N}]+$', ''), f.gaps[i + 1]))))")).alias("at", "m"))
+        "transform(f.values, (v, i) -> named_struct('value', v, 'gap', length(f.gaps[i])))")).alias("at", "m"))
     # equal rows have equal matches; one of each is kept before offsets are summed
     rows = rows.groupBy("doc_id", "content", "kind", "at").agg(F.first("m").alias("m"))
     upto = Window.partitionBy("doc_id", "content", "kind").orderBy("at")
-    rows = rows.select("*", "m.value", "m.near", F.sum(F.expr("m.gap + length(m.value)")).over(upto).alias("end"))
+    rows = rows.select("*", "m.value", F.sum(F.expr("m.gap + length(m.value)")).over(upto).alias("end"))
     rows = rows.withColumn("start", F.expr("end - length(value)")).where(VALID)
-    return rows.select("doc_id", "content", "kind", "start", "end", "value", "near")
+    return rows.select("doc_id", "content", "kind", "start", "end", "value")
 
 
 def _entity() -> Column:
@@ -94,27 +94,50 @@ def _entity() -> Column:
         F.col("kind") == "ip", F.col("value")).otherwise(F.expr(_digits("value")))
 
 
-def disclosing_terms(docs: DataFrame, base: DataFrame, support: int = SUPPORT,
-                     disclosure: float = DISCLOSURE) -> DataFrame:
-    """(term, kind, share): terms that reveal an entity, with the kind they reveal most."""
+def _words(texts: DataFrame) -> DataFrame:
+    """(content, term) of the distinct words of each text."""
+    return texts.select("content", F.explode(F.array_distinct(F.split(F.lower("text"), WORD_GAP))).alias("term")).where("term <> ''")
+
+
+def disclosing_terms(docs: DataFrame, base: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE,
+                     confidence: float = CONFIDENCE) -> DataFrame:
+    """(term, kind, share): terms that reveal an entity, with the kind they reveal most.
+
+    All frequencies count distinct texts, however often a row or a text is repeated."""
     rows = _rows(docs)
-    texts = rows.groupBy("content").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("one"))
+    texts = rows.groupBy("content").agg(F.count("*").alias("copies"))
     n_texts = texts.count()
-    seen = base.select("content", F.struct("kind", _entity().alias("value")).alias("entity"), "near").distinct()
-    n_entity = seen.select("content", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    near = seen.select("content", "entity", F.explode(F.split(F.lower("near"), WORD_GAP)).alias("term"))
-    near = near.where(r"term RLIKE '^\\p{L}'").distinct()
-    pairs = written(near.groupBy("term", "entity").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
-                    .join(n_entity, "entity"), "term-entity")
-    terms = _if_small(written(pairs.select("term").distinct(), "terms"))
-    # document frequency over distinct texts: of equal texts one is counted
-    copied = _if_small(written(texts.where("copies > 1").select("content", "one"), "copied"))
-    once = rows.join(copied, "content", "left").where("one IS NULL OR one = coalesce(doc_id, -1)")
-    words = once.select(F.explode(F.array_distinct(F.split(F.lower("text"), WORD_GAP))).alias("term"))
-    n_term = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    copied = _if_small(written(texts.where("copies > 1").select("content"), "copied"))
+    # one row of each text; only texts that occur more than once are grouped
+    once = rows.join(copied, "content", "left_anti").select("content", "text").unionByName(
+        rows.join(copied, "content", "left_semi").groupBy("content").agg(F.first("text").alias("text")))
+
+    # entities of the very same texts are one class, told by their texts' hashes
+    seen = written(base.select("content", F.struct("kind", _entity().alias("value")).alias("entity")).distinct(), "entities")
+    n_entity = seen.groupBy("entity").agg(F.count("*").alias("n_e"), F.sum(F.col("content").cast("decimal(38,0)")).alias("s"),
+                                          F.bit_xor(F.xxhash64(F.lit(1), "content")).alias("x"))
+    n_entity = n_entity.where((F.col("n_e") >= support) & (F.col("n_e") < n_texts)).withColumn("class", F.xxhash64("n_e", "s", "x"))
+    n_entity = written(n_entity, "entity-classes")
+    classes = n_entity.groupBy("class").agg(F.max("n_e").alias("n_e"), F.max("entity").alias("entity"))
+    # n_te is n_e at most, so a term of more texts than this cannot reach either threshold
+    least = max(n_texts, 1)
+    classes = written(classes.withColumn("most", F.expr(
+        f"n_e * least(1 / {confidence}D, pow({least}D / n_e, {1 - disclosure}D)) + 1e-6")), "classes")
+    member = seen.join(n_entity.select("entity", "class"), "entity").select("content", "class").distinct()
+    member = written(member.join(classes.select("class", "n_e", "most"), "class"), "members")
+    carriers = _if_small(written(member.select("content").distinct(), "carriers"))
+    with_entity = once.join(carriers, "content", "left_semi")
+
+    frequent = _words(with_entity).groupBy("term").agg(F.count("*").alias("n_c")).where(F.col("n_c") >= support)
+    widest = classes.agg(F.max("most")).first()[0] or 0.0
+    frequent = _if_small(written(frequent.where(F.col("n_c") <= widest).select("term"), "frequent"))
+    n_term = _words(once).join(frequent, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    n_term = _if_small(written(n_term.where(F.col("n_t") <= widest), "terms"))
+    pairs = _words(with_entity).join(n_term, "term").join(member, "content").where("n_t <= most")
+    pairs = pairs.groupBy("term", "class").agg(F.count("*").alias("n_te"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
     share = F.expr(f"log2({n_texts}D * n_te / (n_t * n_e)) / log2({n_texts}D / n_e)")
-    scored = pairs.join(n_term, "term").where(f"n_e < {n_texts}").withColumn("share", share)
-    return (scored.where(F.col("share") >= disclosure).groupBy("term")
+    scored = pairs.where((F.col("n_te") >= support) & (F.col("n_te") >= confidence * F.col("n_t"))).withColumn("share", share)
+    return (scored.where(F.col("share") >= disclosure).join(classes.select("class", "entity"), "class").groupBy("term")
             .agg(F.max("share").alias("share"), F.max_by("entity.kind", F.struct("share", "entity")).alias("kind")))
 
 
@@ -141,7 +164,8 @@ def term_spans(docs: DataFrame, terms: DataFrame, base: DataFrame) -> DataFrame:
                   & F.expr("a.start < b.end AND b.start < a.end"), "left_anti")
 
 
-def find_personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def find_personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE,
+                       confidence: float = CONFIDENCE) -> DataFrame:
     """All spans: doc_id, content, kind (email, ip, card, phone or term), start, end.
 
     Repeated rows give their spans once; rows are told apart by doc_id (NULL is
@@ -149,7 +173,7 @@ def find_personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: floa
     without matches give no spans; other columns are ignored.
     """
     base = written(base_spans(docs), "base-spans")
-    terms = written(disclosing_terms(docs, base, support, disclosure), "disclosing")
+    terms = written(disclosing_terms(docs, base, support, disclosure, confidence), "disclosing")
     spans = base.select("doc_id", "content", "kind", "start", "end").unionByName(term_spans(docs, terms, base))
     return written(spans, "spans")
 
@@ -226,9 +250,7 @@ e AS (SELECT *, SUM(length(gaps[i]) + length(v)) OVER (PARTITION BY doc_id, kind
   regexp_replace(v, '[^0-9]', '', 'g') AS digits FROM m),
 base AS MATERIALIZED (
   SELECT doc_id, text, kind, rank, CAST(stop - length(v) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop,
-    CASE kind WHEN 'email' THEN lower(v) WHEN 'ip' THEN v ELSE digits END AS entity,
-    CASE WHEN length(gaps[i]) > 120 THEN regexp_replace("right"(gaps[i], 120), '^[\p{L}\p{N}]+', '') ELSE gaps[i] END || ' ' ||
-    CASE WHEN length(gaps[i + 1]) > 120 THEN regexp_replace("left"(gaps[i + 1], 120), '[\p{L}\p{N}]+$', '') ELSE gaps[i + 1] END AS near
+    CASE kind WHEN 'email' THEN lower(v) WHEN 'ip' THEN v ELSE digits END AS entity
   FROM e
   WHERE CASE kind WHEN 'email' THEN true
     WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda p: CAST(p AS HUGEINT) > 255)) = 0
@@ -237,21 +259,18 @@ base AS MATERIALIZED (
            - CASE WHEN CAST(digits[-j] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0
     ELSE length(digits) BETWEEN 9 AND 15 END),
 texts AS MATERIALIZED (SELECT DISTINCT text FROM t),
-n_e AS (SELECT kind, entity, COUNT(DISTINCT text) AS n_e FROM base GROUP BY ALL),
-near AS (
-  SELECT DISTINCT text, kind, entity, term
-  FROM (SELECT text, kind, entity, unnest(regexp_split_to_array(lower(near), '[^\p{L}\p{N}]+')) AS term FROM base)
-  WHERE regexp_matches(term, '^\p{L}')),
+n_e AS MATERIALIZED (SELECT kind, entity, COUNT(DISTINCT text) AS n_e FROM base GROUP BY ALL
+  HAVING COUNT(DISTINCT text) >= 3 AND COUNT(DISTINCT text) < (SELECT COUNT(*) FROM texts)),
+tw AS MATERIALIZED (
+  SELECT text, unnest(list_distinct(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'))) AS term FROM texts),
+n_t AS MATERIALIZED (SELECT term, COUNT(*) AS n_t FROM tw WHERE term <> '' GROUP BY term),
 pairs AS MATERIALIZED (
-  SELECT term, kind, entity, COUNT(*) AS n_te FROM near GROUP BY ALL HAVING COUNT(*) >= 3),
-n_t AS (
-  SELECT term, COUNT(*) AS n_t
-  FROM (SELECT unnest(list_distinct(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'))) AS term FROM texts)
-  WHERE term IN (SELECT term FROM pairs) GROUP BY term),
+  SELECT term, kind, entity, ANY_VALUE(n_e) AS n_e, COUNT(*) AS n_te
+  FROM (SELECT DISTINCT text, kind, entity, n_e FROM base JOIN n_e USING (kind, entity)) s JOIN tw USING (text)
+  GROUP BY term, kind, entity HAVING COUNT(*) >= 3),
 terms AS (
-  SELECT DISTINCT term FROM pairs JOIN n_e USING (kind, entity) JOIN n_t USING (term),
-    (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM texts) c
-  WHERE n_e < n AND log2(n * n_te / (n_t * n_e)) / log2(n / n_e) >= 0.85),
+  SELECT DISTINCT term FROM pairs JOIN n_t USING (term), (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM texts) c
+  WHERE n_te >= 0.75 * n_t AND log2(n * n_te / (n_t * n_e)) / log2(n / n_e) >= 0.85),
 words AS (SELECT doc_id, generate_subscripts(p, 1) AS i, unnest(p) AS piece
   FROM (SELECT doc_id, regexp_extract_all(text, '[^\p{L}\p{N}]*[\p{L}\p{N}]+') AS p FROM t)),
 ends AS (SELECT doc_id, regexp_replace(piece, '^[^\p{L}\p{N}]+', '') AS word,
