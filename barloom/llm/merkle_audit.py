@@ -2,13 +2,17 @@
 
 Every page is a WARC record with a digest, a length and an offset in its file.
 Files hold ranges of ids; nodes above the records cover 16 ids, 256, and so on
-up to one root, and a node's hash covers its children in order. Two replicas are
+up to one root, and a node's hash covers its children in order, each with its hash,
+its byte offset from the node's start and its bytes. Two replicas are
 compared from the root down: only children of differing nodes are looked at, and
 at the records the damage is named. Node ranges depend on ids alone, so a lost
 record changes one branch and not all that follow it.
 
-Rows are grouped at most ``FANOUT`` children at a time; equal rows are one
-record with a count, so a repeated page never fills a group.
+Offsets within a node depend on nothing outside it, so they shift no other branch.
+
+Rows are grouped at most ``FANOUT`` children at a time. Equal rows are one record
+with a count; the different records of one id, where there are more, are hashed by
+prefixes of their digests first.
 """
 
 from __future__ import annotations
@@ -23,6 +27,10 @@ FANOUT = 16
 FILE_LEVELS = 3
 #: Pages without an id are dealt over so many files of their own.
 STRAY_FILES = 1 << 16
+#: Hexadecimal digits of a digest by which the records of a crowded id are divided.
+PREFIX = 4
+#: Crowded ids up to this number are broadcast; beyond, joins shuffle.
+MAX_BROADCAST = 500_000
 
 
 def records(pages: DataFrame) -> DataFrame:
@@ -45,7 +53,7 @@ def records(pages: DataFrame) -> DataFrame:
 
 
 def _up(node: Column, levels: int = 1) -> Column:
-    return F.floor(node / F.lit(float(FANOUT ** levels))).cast("long")
+    return F.shiftright(node, 4 * levels)       # FANOUT is 2 to the power 4; the shift rounds down on either side of 0
 
 
 def offsets(rows: DataFrame) -> DataFrame:
@@ -54,21 +62,35 @@ def offsets(rows: DataFrame) -> DataFrame:
     return rows.withColumn("offset", F.coalesce(F.sum(F.expr("length * copies")).over(before), F.lit(0)))
 
 
+def _covered(df: DataFrame, keys: list[Column], order: str) -> DataFrame:
+    """Per key a hash over its children in ``order``, and the sums of ``n`` and ``bytes``."""
+    child = F.collect_list(F.struct(order, "hash", "bytes"))
+    held = df.groupBy(*keys).agg(F.array_sort(child).alias("c"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    ranges = F.expr("transform(c, (x, i) -> concat(x.hash, '@', aggregate(slice(c, 1, i), CAST(0 AS BIGINT), "
+                    "(a, y) -> a + y.bytes), '+', x.bytes))")
+    return held.withColumn("hash", F.sha2(F.array_join(ranges, ","), 256)).drop("c")
+
+
 def tree(rows: DataFrame) -> list[DataFrame]:
-    """Levels of the tree, records first, roots last: (node, hash, n, bytes) each.
+    """Levels of the tree, ids first, roots last: (node, hash, n, bytes) each.
     There is one root (0), and one more (-1) if there are pages without an id."""
-    def level(df: DataFrame, key: Column) -> DataFrame:
-        # equal ids (repeated rows, strays) hash as their sorted digests
-        return df.groupBy(key.alias("up")).agg(
-            F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", "hash"))), lambda c: c["hash"]), ","),
-                   256).alias("hash"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).withColumnRenamed("up", "node")
-
-    leaves = rows.select("node", F.concat("digest", F.lit("*"), F.col("copies").cast("string")).alias("hash"),
+    leaves = rows.select("node", "digest", F.concat("digest", F.lit("*"), F.col("copies").cast("string")).alias("hash"),
                          F.col("copies").alias("n"), F.expr("length * copies").alias("bytes"))
-    levels = [written(level(leaves, F.col("node")), "tree")]
+    # records of one id (strays, or pages given twice), in order of their digests
+    crowded = written(leaves.groupBy("node").count().where(F.col("count") > FANOUT).select("node"), "crowded")
+    many = crowded.count()
+    if many:
+        side = F.broadcast(crowded) if many <= MAX_BROADCAST else crowded
+        full, leaves = leaves.join(side, "node", "left_semi"), leaves.join(side, "node", "left_anti")
+        for size in range(PREFIX, -1, -1):
+            full = _covered(full, [F.col("node"), F.expr(f"left(digest, {size})").alias("digest")], "digest")
+        full = full.drop("digest")
+    ids = _covered(leaves, [F.col("node")], "digest")
+    levels = [written(ids.unionByName(full) if many else ids, "tree")]
     # ids of either sign end in the two nodes -1 and 0, which the last round keeps apart
     while levels[-1].where("node NOT IN (-1, 0)").limit(1).count():
-        levels.append(written(level(levels[-1], _up(F.col("node"))), "tree"))
+        up = _covered(levels[-1], [_up(F.col("node")).alias("up")], "node")
+        levels.append(written(up.withColumnRenamed("up", "node"), "tree"))
     return levels
 
 
@@ -81,9 +103,10 @@ def differing(mine: list[DataFrame], other: list[DataFrame]) -> DataFrame:
         a, b = mine[depth].select("node", F.col("hash").alias("ha")), other[depth].select("node", F.col("hash").alias("hb"))
         if wanted is not None:
             a, b = (x.withColumn("up", _up(F.col("node"))).join(wanted, "up", "left_semi").drop("up") for x in (a, b))
-        bad = a.join(b, "node", "full").where("NOT (ha <=> hb)").select("node")
+        # written: both sides of the next depth read it
+        bad = written(a.join(b, "node", "full").where("NOT (ha <=> hb)").select("node"), "differing")
         wanted = bad.select(F.col("node").alias("up"))
-    return written(bad, "differing")
+    return bad
 
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
