@@ -33,7 +33,6 @@ KNOWN_SHARE = 0.02
 #: A text is not accepted in its best language when its share of known n-grams, two standard errors up, is below
 #: this part of the share that all but the fraction USUAL of the texts fitted on reach (each judged by the others).
 ACCEPT, USUAL = 0.7, 0.01
-_LETTER = re.compile(r"[^\W\d_]")
 _ROWS = 128
 
 
@@ -162,7 +161,7 @@ def identify(docs: DataFrame, model: KernelModel | None, accept: float | None =
         for b in slices(batches):
             texts = b.column(0).to_pylist()
             lang, best = ["und"] * len(texts), [0.0] * len(texts)
-            rows = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
+            rows = [i for i, t in enumerate(texts) if model and t and any(map(str.isalpha, t))]
             for part in (rows[i:i + _ROWS] for i in range(0, len(rows), _ROWS)):
                 found = [spectrum(texts[i]) for i in part]
                 share = np.clip((model.margins(found) + 1) / 2, 1e-6, 1).astype(float)
