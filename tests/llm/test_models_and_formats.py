@@ -295,17 +295,108 @@ def test_linking_orders_validates_and_serialises(spark):
     assert tool_linking.link(calls_df.where("false"), results.where("false")).count() == 0
 
 
+def plain_links(turns):
+    """{(conv_id, call_id): (status, level, errors, message)} of (conv_id, turn, role, text) rows, one call at a time."""
+    calls, results = {}, {}
+    for conv, turn, role, text in turns:
+        for k, line in enumerate((text or "").split("\n")):
+            n, after = len(line), None
+            if role == "assistant":
+                results.setdefault((conv, f"call-{turn - 1}-{k}"), []).append(line)
+                continue
+            if n and n % 17 == 0:
+                after = f"call-{turn}-{k + 1}"
+            elif n and n % 19 == 0:
+                after = f"call-{turn + 2}-{k}"
+            elif n % 2 and k:
+                after = f"call-{turn}-{k // 2}"
+            tool = ("search", "lookup", "note")[n % 3]
+            args = {0: {"query": line, "limit": n % 23}, 1: {"key": line}, 2: {"body": line, **({"urgent": n % 2 == 0} if n % 5 == 0 else {})}}[n % 3]
+            calls[conv, f"call-{turn}-{k}"] = (turn, tool, {**args, **({"after": {"$result": after}} if after else {})})
+
+    def level(key, above=()):
+        if key in above:
+            return None
+        turn, _, args = calls[key]
+        needs = args.get("after", {}).get("$result")
+        if needs is None:
+            return 0
+        other = (key[0], needs)
+        if other not in calls or calls[other][0] > turn:
+            return None
+        if calls[other][0] < turn:
+            return 0
+        under = level(other, (*above, key))
+        return None if under is None else under + 1
+
+    out = {}
+    for key in calls.keys() | results.keys():
+        answer = min(results[key]) if key in results else None
+        message, errors, at = {"call_id": key[1]}, None, None
+        if key in calls:
+            _, tool, args = calls[key]
+            errors, at = tool_linking.violations(tool, args), level(key)
+            message["call"] = {"name": tool, "arguments": args}
+        if answer is not None:
+            message["result"] = {"role": "tool", "content": answer}
+        status = "orphan" if errors is None else "invalid" if errors else "unordered" if at is None else (
+            "unanswered" if answer is None else "answered")
+        out[key] = (status, at, errors, json.dumps({**message, "status": status}, ensure_ascii=False, sort_keys=True, separators=(",", ":")))
+    return out
+
+
 def test_linking_of_given_conversations(spark):
-    turns = table(spark, DATA, "conversations")
-    rows = turns.collect()
-    lines = {(r["conv_id"], r["turn"], k): x for r in rows for k, x in enumerate((r["text"] or "").split("\n"))}
-    role = {(r["conv_id"], r["turn"]): r["role"] for r in rows}
-    got = tool_linking.query(spark, DATA).collect()
-    calls = {f"call-{c}-{t}-{k}" for c, t, k in lines if role[c, t] != "assistant"}
-    answers = {f"call-{c}-{t - 1}-{k}" for c, t, k in lines if role[c, t] == "assistant"}
-    assert {r["call_id"] for r in got} == calls | answers and len(got) == len(calls | answers)
-    assert {r["call_id"] for r in got if r["status"] == "orphan"} == answers - calls
-    assert all(r["level"] is not None for r in got if r["status"] != "orphan")
+    turns = [tuple(r) for r in table(spark, DATA, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    got = {(r["conv_id"], r["call_id"]): (r["status"], r["level"], r["errors"], r["message"]) for r in tool_linking.query(spark, DATA).collect()}
+    assert got == plain_links(turns)
+    assert {"answered", "orphan", "unordered"} <= {x[0] for x in got.values()}
+
+
+def test_identifiers_belong_to_their_conversation(spark):
+    kinds = "conv_id long, turn long, call_id string, name string, arguments string"
+    ref = json.dumps({"body": "b", "after": {"$result": "call_2"}})
+    calls = spark.createDataFrame([(1, 0, "call_1", "note", '{"body": "one"}'), (2, 0, "call_1", "note", '{"body": "two"}'),
+                                   (None, 0, "call_1", "note", '{"body": "none"}'), (1, 0, "call_2", "note", '{"body": "x"}'),
+                                   (2, 1, "call_3", "note", ref), (1, 1, "call_3", "note", ref)], kinds)
+    results = spark.createDataFrame([(2, "call_1", "B"), (None, "call_1", "N"), (3, "call_1", "C")], "conv_id long, call_id string, content string")
+    got = {(r["conv_id"], r["call_id"]): r for r in tool_linking.link(calls, results).collect()}
+    assert {k: r["status"] for k, r in got.items()} == {
+        (1, "call_1"): "unanswered", (2, "call_1"): "answered", (None, "call_1"): "answered", (1, "call_2"): "unanswered",
+        (2, "call_3"): "unordered", (1, "call_3"): "unanswered", (3, "call_1"): "orphan"}
+    assert json.loads(got[2, "call_1"]["message"])["result"]["content"] == "B"
+
+
+def test_hostile_arguments_are_reported(spark):
+    hostile = ['{"body": "\\ud800"}', "[" * 100_000 + "]" * 100_000, "1" * 10_000, '{"body": "' + "x" * 3_000_000 + '"}', "", "nul"]
+    calls = spark.createDataFrame([(1, 0, f"c{i}", "note", a) for i, a in enumerate(hostile)],
+                                  "conv_id long, turn long, call_id string, name string, arguments string")
+    none = spark.createDataFrame([], "conv_id long, call_id string, content string")
+    got = {r["call_id"]: r["errors"] for r in tool_linking.link(calls, none).collect()}
+    assert got == {"c0": ["arguments are not JSON"], "c1": ["arguments are not JSON"], "c2": ["arguments are not JSON"],
+                   "c3": ["body is out of bounds"], "c4": ["arguments are not an object"], "c5": ["arguments are not JSON"]}
+
+
+def test_audit_of_large_ids_crowded_ids_and_swapped_pages(spark):
+    schema = "page_id long, url string, html string"
+    top = 2 ** 62 - 1
+    rows = [(top - i, "u", h.prose(i, 9)) for i in range(40)] + [(7, f"u{i}", h.prose(i, 5)) for i in range(300)] + [
+        (None, f"s{i}", "x") for i in range(60)] + [(100, "a", "one"), (101, "a", "two")]
+    pages = spark.createDataFrame(rows, schema)
+    swapped = {(100, "a", "one"): (100, "a", "two"), (101, "a", "two"): (101, "a", "one"), (7, "u5", h.prose(5, 5)): (7, "u5", "other")}
+    other = spark.createDataFrame([swapped.get(r, r) for r in rows], schema)
+    got = merkle_audit.audit(pages, other).collect()
+    assert all(r["file_id"] == r["page_id"] // 4096 for r in got if r["page_id"] is not None)
+    assert Counter(r["status"] for r in got) == Counter(corrupt=3, intact=len(rows) - 3)
+    mine, theirs = (merkle_audit.tree(merkle_audit.records(x)) for x in (pages, other))
+    bad = {r["node"] for r in merkle_audit.differing(mine, theirs).collect()}
+    assert bad == {7, 100, 101}
+
+
+def test_texts_without_letters_have_no_language(spark):
+    docs = table(spark, DATA, "documents").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, "½ ² 12 !", None), (-2, None, None), (-3, "… ③ %", None)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_kernel.predict(docs.unionByName(odd)).where("doc_id < 0").collect()}
+    assert got == {-1: "und", -2: "und", -3: "und"}
 
 
 @pytest.fixture(scope="module")

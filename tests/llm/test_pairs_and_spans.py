@@ -188,6 +188,19 @@ def test_terms_that_disclose_an_entity_are_generalised(spark):
     assert spans == "term:4:12"
 
 
+def test_terms_far_from_the_entity_and_in_repeated_rows(spark):
+    far = " ".join(["filler"] * 70)         # some 490 characters
+    texts = [f"{h.prose(i, 20)} Holloway 770412 {far} {h.prose(30 + i, 20)} card 4111 1111 1111 1111" for i in range(4)]
+    texts += [f"{far} {h.prose(90 + i, 40)}" for i in range(60)] + ["holloway and 770412"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(0, texts[0])] * 5 + [(None, texts[1])] * 3 + [(-1, texts[1]), (500, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = pii.find_personal_data(docs)
+    spans = {r["doc_id"]: r["spans"] for r in pii.report(docs, found).collect()}
+    assert spans[64] == "term:0:8,term:13:19"
+    assert "term:" in spans[0] and "term:" in spans[500] and not any(spans[i] for i in range(4, 64))
+
+
 @pytest.mark.parametrize("name", ["op4_decontamination", "op9_merkle_audit", "op10_jaccard_join", "op8_pii_disclosure"])
 def test_oracles_on_given_tables(spark, name):
     import duckdb
