@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import prior_shift, remainder, slices, table
@@ -26,8 +26,8 @@ WIDTH, FILTERS = 5, 16
 BLOCK = 128
 #: Labelled documents per label that the model is fitted on (chosen by hash of the id), at most.
 PER_LABEL = 2500
-#: Of each of them, chunks spread evenly over the whole text, at most.
-CHUNKS = 6
+#: Text bytes per label that the sample holds, at most (texts of over a 64th of it are not drawn for it).
+SAMPLE_BYTES = 48 << 20
 #: Bytes convolved at once; longer texts go slab by slab.
 SLAB = 1 << 16
 
@@ -68,21 +68,24 @@ def summary(logits: np.ndarray, size: int) -> np.ndarray:
     return np.array([1.0, np.clip(logits, -8, 8).mean(), (logits > 0).mean(), np.log1p(size) / 10])
 
 
-def spread_chunks(text: str | None) -> np.ndarray:
-    """At most ``CHUNKS`` chunks of a text, evenly spread, zero-padded: (chunks, 2 * BLOCK + WIDTH - 1)."""
-    data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
-    span = 2 * BLOCK + WIDTH - 1
-    if len(data) <= span:
-        return np.pad(data, (0, span - len(data)))[None]
-    starts = np.unique(np.linspace(0, len(data) - span, min(CHUNKS, -(-len(data) // BLOCK))).astype(int))
-    return np.stack([data[s:s + span] for s in starts])
+def chunk_places(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts end to end, and for every half-overlapping chunk of each its text, its
+    start there, and its positions (a convolution's places before the text ends)."""
+    padded = [t if len(t) >= WIDTH else np.append(t, np.zeros(WIDTH - len(t), np.uint8)) for t in texts]
+    flat = np.concatenate([*padded, np.zeros(2 * BLOCK + WIDTH, np.uint8)])
+    size = np.array([len(t) for t in padded], np.int64)
+    places = size - WIDTH + 1
+    count = np.maximum(1, -(-places // BLOCK) - 1)
+    of = np.repeat(np.arange(len(texts)), count)
+    start = BLOCK * (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count))
+    return flat, of, (np.cumsum(size) - size)[of] + start, np.minimum(2 * BLOCK, places[of] - start)
 
 
-def fit(chunks: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, epochs: int = 8, batch: int = 256,
+def fit(texts: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, epochs: int = 3, batch: int = 256,
         rate: float = 0.02, cropped: float = 0.4) -> ByteCNN:
-    """Adam on the chunks' logistic loss (labels weigh the same), then a logistic
-    regression over the documents' summaries. Each time, the share ``cropped`` of
-    the chunks is cut to a random size, so that short texts are judged alike.
+    """Adam on the logistic loss of all chunks of the ``texts`` (their bytes; labels weigh the same, and
+    so do texts), then a logistic regression over the texts' summaries as they are scored. Each time, the
+    share ``cropped`` of the chunks is cut to a random size, so that short texts are judged alike.
     With labels of one kind (or none) the model is its prior."""
     draw = np.random.default_rng(11)
     share = (labels.sum() + 0.5) / (len(labels) + 1)
@@ -91,20 +94,19 @@ def fit(chunks: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, epochs:
                     draw.normal(0, 0.3, FILTERS).astype(np.float32), 0.0, prior)
     if len(set(labels.tolist())) < 2:
         return model
-    x = np.concatenate(chunks)
-    of = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
+    flat, of, start, valid = chunk_places(texts)
     y = labels[of].astype(np.float32)
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32) / np.bincount(of)[of]
     weight /= weight.mean()
-    n = x.shape[1] - WIDTH + 1
-    valid = np.clip(np.minimum(sizes[of], x.shape[1]) - WIDTH + 1, 1, n)          # positions before the padding
+    n = 2 * BLOCK
+    window = np.arange(n + WIDTH - 1)
     params = [model.tables, model.bias, model.out, np.zeros(1, np.float32)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step = 0
     for _ in range(epochs):
-        order = draw.permutation(len(x))
+        order = draw.permutation(len(of))
         for part in (order[i:i + batch] for i in range(0, len(order), batch)):
-            data, rows = x[part], np.arange(len(part))
+            data, rows = flat[start[part][:, None] + window], np.arange(len(part))
             response = params[0][0][data[:, :n]]
             for k in range(1, WIDTH):
                 response += params[0][k][data[:, k:k + n]]
@@ -127,14 +129,7 @@ def fit(chunks: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, epochs:
                 b += 0.001 * (d * d - b)
                 p -= rate * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)
     model.out_bias = float(params[3][0])
-    logits = []
-    for data, upto in zip(np.array_split(x, len(x) // 500 + 1), np.array_split(valid, len(x) // 500 + 1)):
-        response = sum(model.tables[k][data[:, k:k + n]] for k in range(WIDTH))
-        response[np.arange(n) >= upto[:, None]] = -1e9
-        logits.append(np.maximum(response.max(axis=1) + model.bias, 0) @ model.out + model.out_bias)
-    logits = np.concatenate(logits)
-    cuts = np.concatenate([[0], np.cumsum([len(c) for c in chunks])])
-    seen = np.stack([summary(logits[a:b], s) for a, b, s in zip(cuts, cuts[1:], sizes)])
+    seen = np.stack([model.features(t) for t in texts])
     model.combine = _logistic(seen, labels)
     return model
 
@@ -153,30 +148,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL):
-    """Chunks, sizes and labels of a bounded sample of labelled rows,
-    and what the sampling by label takes from the log odds."""
+    """Bytes, sizes and labels of a bounded sample of labelled rows (whole texts; of rows with one id
+    the text with the least hash), and what the sampling by label takes from the log odds."""
     parts, out = HELD_OUT
     marks = labels.where(F.col("quality").isNotNull() & (remainder(F.col("doc_id"), parts) != out)).groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("quality"))
     draw = F.xxhash64(F.lit("quality"), "doc_id")
     chosen = marks.where("quality = 1").orderBy(draw).limit(per_label).union(
         marks.where("quality = 0").orderBy(draw).limit(per_label))
-
-    def build(batches):
-        for b in slices(batches):
-            texts = b.column("text").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("quality"), pa.array([len((t or "").encode("utf-8", "replace")) for t in texts], pa.int64()),
-                 pa.array([spread_chunks(t).tobytes() for t in texts], pa.binary())], ["doc_id", "quality", "size", "chunks"])
-
     # at most 2 * per_label ids are broadcast
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
-            .mapInArrow(build, "doc_id long, quality int, size long, chunks binary")
-            .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id"))
-    span = 2 * BLOCK + WIDTH - 1
-    return ([np.frombuffer(c, np.uint8).reshape(-1, span) for c in rows.column("chunks").to_pylist()],
-            rows.column("size").to_numpy(), rows.column("quality").to_numpy().astype(np.int64), prior_shift(marks, "quality", per_label))
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+            .join(F.broadcast(chosen), "doc_id").where(F.octet_length("text") <= SAMPLE_BYTES // 64)
+            .groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+    upto = Window.partitionBy("quality").orderBy(draw).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("upto", F.sum(F.octet_length("text") + 1).over(upto)).where(F.col("upto") <= SAMPLE_BYTES)
+    rows = rows.select("doc_id", "quality", F.col("text").cast("binary").alias("text")).toArrow().sort_by("doc_id")
+    texts = [np.frombuffer(t, np.uint8) for t in rows.column("text").to_pylist()]
+    return (texts, np.array([len(t) for t in texts], np.int64), rows.column("quality").to_numpy().astype(np.int64),
+            prior_shift(marks, "quality", per_label))
 
 
 def score_quality(docs: DataFrame, model: ByteCNN) -> DataFrame:
