@@ -152,8 +152,8 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epoc
 
 
 def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> tuple[list[np.ndarray], np.ndarray, float]:
-    """Term sets and labels of a bounded sample of labelled rows, whole texts,
-    and what the sampling by label takes from the log odds."""
+    """Term sets and labels of a bounded sample of labelled rows, whole texts (of rows
+    with one id that with the least hash of its terms), and what the sampling by label takes from the log odds."""
     parts, out = HELD_OUT
     marks = labels.where(F.col("toxic").isNotNull() & (remainder(F.col("doc_id"), parts) != out)).groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic"))
@@ -170,7 +170,8 @@ def training_set(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL)
     # at most 2 * per_label ids are broadcast
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
             .select("doc_id", "toxic", "text").mapInArrow(build, "doc_id long, toxic int, terms binary")
-            .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id"))
+            .groupBy("doc_id").agg(F.min_by(F.struct("toxic", "terms"), F.xxhash64("terms")).alias("r"))
+            .select("doc_id", "r.*").toArrow().sort_by("doc_id"))
     return ([np.frombuffer(t, np.int32) for t in rows.column("terms").to_pylist()],
             rows.column("toxic").to_numpy().astype(np.int64), prior_shift(marks, "toxic", per_label))
 
