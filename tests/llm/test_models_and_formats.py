@@ -376,6 +376,30 @@ def test_hostile_arguments_are_reported(spark):
                    "c3": ["body is out of bounds"], "c4": ["arguments are not an object"], "c5": ["arguments are not JSON"]}
 
 
+def test_quality_sees_every_chunk():
+    draw = np.random.default_rng(1)
+    texts = [draw.integers(0, 256, n).astype(np.uint8) for n in (0, 3, 5, 200, 260, 261, 5000)]
+    flat, of, start, valid = quality_cnn.chunk_places(texts)
+    model = quality_cnn.fit([], np.zeros(0), np.zeros(0, int))
+    for i, t in enumerate(texts):
+        padded = np.append(t, np.zeros(max(0, quality_cnn.WIDTH - len(t)), np.uint8))
+        n, covered = len(padded) - quality_cnn.WIDTH + 1, set()
+        logits = []
+        for s, v in zip(start[of == i], valid[of == i]):
+            data = flat[s:s + v + quality_cnn.WIDTH - 1]
+            first = s - start[of == i][0]
+            assert (data == padded[first:first + v + quality_cnn.WIDTH - 1]).all()
+            covered.update(range(first, first + v))
+            response = sum(model.tables[k][data[k:k + v]] for k in range(quality_cnn.WIDTH))
+            logits.append(np.maximum(response.max(axis=0) + model.bias, 0) @ model.out + model.out_bias)
+        assert covered == set(range(n))
+        want = quality_cnn.summary(np.array(logits), len(t))
+        assert np.allclose(model.features(t), want, atol=1e-5)
+        assert model.probability(None if not len(t) else t.tobytes().decode("latin-1")) >= 0
+    plain = 1 / (1 + np.exp(-quality_cnn.summary(np.array(logits), 5000) @ model.combine))
+    assert 0 < plain < 1
+
+
 def test_audit_of_large_ids_crowded_ids_and_swapped_pages(spark):
     schema = "page_id long, url string, html string"
     top = 2 ** 62 - 1
