@@ -41,7 +41,6 @@ CONFIDENCE = 0.75
 #: Terms, texts or spans up to this number (about 50 bytes each) are broadcast; beyond, joins shuffle.
 MAX_BROADCAST = 500_000
 WORD_GAP = r"[^\p{L}\p{N}]+"
-PIECE = r"[^\p{L}\p{N}]*[\p{L}\p{N}]+"
 
 
 def _sql(pattern: str) -> str:
@@ -146,19 +145,22 @@ def term_spans(docs: DataFrame, terms: DataFrame, base: DataFrame) -> DataFrame:
     term in any text, outside base spans."""
     terms = _if_small(terms.select("term"))
     rows = _rows(docs)
-    hit = rows.select("doc_id", "content", F.explode(F.split(F.lower("text"), WORD_GAP)).alias("term")).join(
-        terms, "term", "left_semi").select("doc_id", "content").distinct()
-    hit = _if_small(written(hit, "term-docs")).select(F.col("doc_id").alias("h"), F.col("content").alias("hc"))
-    with_terms = rows.join(hit, F.col("content").eqNullSafe(F.col("hc")) & F.col("doc_id").eqNullSafe(F.col("h")),
-                           "left_semi")
-    pieces = with_terms.select("doc_id", "content", F.posexplode(
-        F.expr(f"regexp_extract_all(text, {_sql(PIECE)}, 0)")).alias("at", "piece"))
-    pieces = pieces.select("doc_id", "content", "at", F.expr(f"regexp_replace(piece, {_sql('^' + WORD_GAP)}, '')").alias("word"),
-                           F.length("piece").alias("len")).distinct()
+    hit = rows.select("doc_id", "content", F.explode(F.array_distinct(F.split(F.lower("text"), WORD_GAP))).alias("term")).join(
+        terms, "term", "left_semi")
+    # a text's own terms (letters and digits only) are looked for in one pass over it
+    hit = hit.groupBy("doc_id", "content").agg(F.array_join(F.sort_array(F.collect_set("term")), "|").alias("any"))
+    hit = _if_small(written(hit, "term-docs")).select(F.col("doc_id").alias("h"), F.col("content").alias("hc"), "any")
+    with_terms = rows.join(hit, F.col("content").eqNullSafe(F.col("hc")) & F.col("doc_id").eqNullSafe(F.col("h")))
+    with_terms = with_terms.withColumn("pattern", F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), "any", F.lit(r")(?![\p{L}\p{N}])")))
+    matches = with_terms.select("doc_id", "content", F.expr("regexp_extract_all(text, pattern, 0)").alias("values"),
+                                F.expr("split(text, pattern, -1)").alias("gaps"))
+    matches = matches.select("doc_id", "content", F.posexplode(F.expr(
+        "transform(values, (v, i) -> named_struct('value', v, 'gap', length(gaps[i])))")).alias("at", "m"))
+    matches = matches.groupBy("doc_id", "content", "at").agg(F.first("m").alias("m"))
     upto = Window.partitionBy("doc_id", "content").orderBy("at")
-    at = pieces.select("doc_id", "content", "word", F.sum("len").over(upto).alias("end"))
-    found = at.withColumn("term", F.lower("word")).join(terms, "term", "left_semi").select(
-        "doc_id", "content", F.lit("term").alias("kind"), F.expr("end - length(word)").alias("start"), "end")
+    at = matches.select("doc_id", "content", "m.value", F.sum(F.expr("m.gap + length(m.value)")).over(upto).alias("end"))
+    found = at.withColumn("term", F.lower("value")).join(terms, "term", "left_semi").select(
+        "doc_id", "content", F.lit("term").alias("kind"), F.expr("end - length(value)").alias("start"), "end")
     a, b = found.alias("a"), base.select("doc_id", "content", "start", "end").alias("b")
     return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.content") == F.col("b.content"))
                   & F.expr("a.start < b.end AND b.start < a.end"), "left_anti")
