@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.rowindex import exact_row_index
+from barloom.functions.sizing import checked_broadcast
 
 c_ = F.col
 
@@ -78,11 +79,30 @@ def split_temporal(df: DataFrame, fracs=(0.8,), names=("train", "test")) -> Data
     return ordered.withColumn("split", split)
 
 
-def split_random(df: DataFrame, key_cols=("ticker", "trading_date"), test_pct: int = 20,
-                 seed: int = 42) -> DataFrame:
-    """Seeded split by hash bucket (deterministic, no shuffle)."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *key_cols), F.lit(100))
-    return df.withColumn("split", F.when(bucket < test_pct, F.lit("test")).otherwise(F.lit("train")))
+def split_stratified(df: DataFrame, label: str, key_cols=("ticker", "trading_date"), test_pct: int = 20,
+                     seed: int = 42, prefix: int = 4) -> DataFrame:
+    """Seeded random split with exact class shares.
+
+    Of every class the (rounded) ``test_pct`` percent of rows with the least md5 of seed and key are
+    the test rows. That rank is found by counting hash prefixes per class (at most 16^prefix each);
+    only the one prefix that holds a class's cut is put in order. A NULL label is a class of its own;
+    rows with equal keys are ordered together and may straddle a cut only if they are equal."""
+    keyed = df.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), *[c_(k).cast("string") for k in key_cols])))
+    keyed = keyed.withColumn("_p", F.substring("_h", 1, prefix)).withColumn("_c", F.coalesce(c_(label).cast("string"), F.lit("")))
+    w = Window.partitionBy("_c").orderBy("_p")
+    per = keyed.groupBy("_c", "_p").agg(F.count(F.lit(1)).alias("_n"))
+    per = per.select("_c", "_p", "_n", (F.sum("_n").over(w) - c_("_n")).alias("_before"),
+                     F.sum("_n").over(Window.partitionBy("_c")).alias("_all"))
+    per = per.withColumn("_need", F.expr(f"(_all * {test_pct} + 50) div 100"))
+    # one row per class: the prefix that holds the cut, and how many of it are still needed
+    cut = per.where("_before < _need AND _need <= _before + _n").select(
+        "_c", c_("_p").alias("_cut"), (c_("_need") - c_("_before")).alias("_left"))
+    keyed = keyed.join(checked_broadcast(cut), "_c", "left")
+    inside = F.row_number().over(Window.partitionBy("_c", "_edge").orderBy("_h"))
+    edge = keyed.where("_p = _cut").withColumn("_edge", F.lit(1)).withColumn("_r", inside)
+    edge = edge.withColumn("split", F.when(c_("_r") <= c_("_left"), "test").otherwise("train")).drop("_edge", "_r")
+    rest = keyed.where("NOT (_p <=> _cut)").withColumn("split", F.when(c_("_p") < c_("_cut"), "test").otherwise("train"))
+    return rest.unionByName(edge).drop("_h", "_p", "_c", "_cut", "_left")
 
 
 def label_clip(df: DataFrame, col: str = "next_5d_return", lo: float = -10.0, hi: float = 10.0) -> DataFrame:

@@ -1,8 +1,9 @@
 """News sentiment (2.13) as one job over any number of dates.
 
 articles -> per-date title dedup (window) -> scoring text -> lexicon score
-(tokens x broadcast lexicon, an equi-join) -> sector routing (keyword test as a
-higher-order ``filter`` over the configured keyword list) -> per (date, sector)
+(positioned tokens x broadcast lexicon, with negation and booster words looked up
+behind each hit) -> sector routing (q-grams of texts x q-gram index of the
+keywords, an equi-join, then verified) -> per (date, sector)
 aggregates for every configured sector -> momentum and 30-day z-score as range
 windows per sector.
 
@@ -16,9 +17,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.sizing import checked_broadcast
+from barloom.session import stored
+
 c_ = F.col
 MARKET = "_MARKET"
-MAX_KEYWORDS = 20_000
+# FIXED VALUES: published constants of the rule-based score: a booster's step and its fading over the
+# three words before a hit, the factor of a negation there, and the weights around the first "but"
+BOOST, FADE, NEGATED, BEFORE_BUT, AFTER_BUT = 0.293, (1.0, 0.95, 0.9), -0.74, 0.5, 1.5
+BOOSTERS = ("absolutely", "completely", "considerably", "deeply", "enormously", "especially", "exceptionally", "extremely",
+            "greatly", "highly", "hugely", "incredibly", "particularly", "really", "remarkably", "sharply", "significantly",
+            "strongly", "substantially", "totally", "very")
+DAMPENERS = ("almost", "barely", "hardly", "marginally", "moderately", "partly", "scarcely", "slightly", "somewhat")
+NEGATIONS = ("cannot", "neither", "never", "no", "nobody", "none", "nor", "not", "nothing", "nowhere", "without")
+TOKEN_GAP = r"[^\p{L}']+"
+#: Characters of the grams by which keywords are found in texts.
+GRAM = 4
 
 
 def r3(x) -> Column:
@@ -66,14 +80,35 @@ def scoring_text(articles: DataFrame) -> DataFrame:
         "too_short", F.coalesce(F.length(F.trim(c_("text"))), F.lit(0)) < 10)
 
 
+def token_scores(texts: DataFrame, lexicon: DataFrame, key: str = "seq") -> DataFrame:
+    """(key, pos, token, score) of the lexicon words of each ``text``, in context.
+
+    A booster (dampener) among the three words before raises (lowers) the word's weight, less
+    the further away; a negation there (a listed word, or one that ends in n't) turns it round;
+    words before the first "but" count half, words after it one and a half times."""
+    tokens = texts.select(key, F.posexplode(F.split(F.regexp_replace(F.lower(c_("text")), "’", "'"), TOKEN_GAP)).alias("pos", "token"))
+    tokens = tokens.where("token <> ''").join(F.broadcast(lexicon.select("token", "weight")), "token", "left")
+    step = F.when(c_("token").isin(*BOOSTERS), F.lit(BOOST)).when(c_("token").isin(*DAMPENERS), F.lit(-BOOST)).otherwise(F.lit(0.0))
+    negates = c_("token").isin(*NEGATIONS) | c_("token").endswith("n't")
+    w = Window.partitionBy(key).orderBy("pos")
+    raised, turned = F.lit(0.0), F.lit(False)
+    for k, fade in enumerate(FADE, 1):
+        raised = raised + F.coalesce(F.lag("_step", k).over(w), F.lit(0.0)) * F.lit(fade)
+        turned = turned | F.coalesce(F.lag("_neg", k).over(w), F.lit(False))
+    first_but = F.min(F.when(c_("token") == "but", c_("pos"))).over(Window.partitionBy(key))
+    tokens = tokens.withColumn("_step", step).withColumn("_neg", negates).select(
+        key, "pos", "token", "weight", raised.alias("_raised"), turned.alias("_turned"), first_but.alias("_but"))
+    side = F.when(c_("pos") < c_("_but"), F.lit(BEFORE_BUT)).when(c_("pos") > c_("_but"), F.lit(AFTER_BUT)).otherwise(F.lit(1.0))
+    score = (c_("weight") + F.signum("weight") * c_("_raised")) * F.when(c_("_turned"), F.lit(NEGATED)).otherwise(F.lit(1.0)) * side
+    return tokens.where("weight IS NOT NULL").select(key, "pos", "token", score.alias("score"))
+
+
 def lexicon_scores(articles: DataFrame, lexicon: DataFrame, key: str = "seq",
                    model_weight: float = 0.6) -> DataFrame:
     """Per article lexicon compound, optional model score, combined score
     and label. ``lexicon`` is a bounded word list (broadcast)."""
-    toks = articles.filter(~c_("too_short")).select(
-        key, F.explode(F.split(F.lower(c_("text")), "[^\\p{L}]+")).alias("token"))
-    hits = toks.join(F.broadcast(lexicon.select("token", "weight")), "token", "inner")
-    sums = hits.groupBy(key).agg(F.sum("weight").alias("_s"))
+    hits = token_scores(articles.filter(~c_("too_short")).select(key, "text"), lexicon, key)
+    sums = hits.groupBy(key).agg(F.sum("score").alias("_s"))
     a = articles.join(sums, key, "left")
     s = F.coalesce(c_("_s"), F.lit(0.0))
     compound = F.when(c_("too_short"), F.lit(0.0)).otherwise(s / F.sqrt(s * s + F.lit(15.0)))
@@ -89,21 +124,47 @@ def lexicon_scores(articles: DataFrame, lexicon: DataFrame, key: str = "seq",
     return a.withColumn("label", label)
 
 
-def keyword_pairs(keywords: DataFrame) -> list[tuple[str, str]]:
-    """The configured (sector, keyword) list; bounded configuration, checked."""
-    rows = keywords.select("sector", "keyword").limit(MAX_KEYWORDS + 1).collect()
-    if len(rows) > MAX_KEYWORDS:
-        raise ValueError("keyword configuration larger than expected")
-    return [(r["sector"], r["keyword"]) for r in rows]
+def _grams(text: Column, size: int) -> Column:
+    """Distinct substrings of ``size`` characters, in one pass over the text; a shorter text has none."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+
+
+def keyword_index(keywords: DataFrame, grams: DataFrame) -> DataFrame:
+    """(gram, keyword, sector): every keyword under the one of its grams that is rarest in ``grams`` (gram,
+    n_texts), or under itself if it is shorter than a gram."""
+    words = keywords.select(F.lower("keyword").alias("keyword"), "sector").where("keyword <> ''").distinct()
+    parts = words.select("keyword", "sector", F.explode(F.when(F.length("keyword") < GRAM, F.array("keyword")).otherwise(
+        _grams(c_("keyword"), GRAM))).alias("gram"))
+    counted = parts.join(grams, "gram", "left").withColumn("n_texts", F.coalesce("n_texts", F.lit(0)))
+    return counted.groupBy("keyword", "sector").agg(F.min(F.struct("n_texts", "gram")).alias("m")).select(
+        c_("m.gram").alias("gram"), "keyword", "sector")
 
 
-def match_sectors(articles: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Sectors with any keyword contained in lower(title + ' ' + summary)."""
+def keyword_matches(articles: DataFrame, keywords: DataFrame, key: str = "seq") -> DataFrame:
+    """(key, sector) where lower(title + ' ' + summary) contains any keyword of the sector (empty keywords
+    match nothing). The texts' grams meet the keyword index in one hash join, and only those candidates are
+    tested, so the work does not grow with the number of keywords."""
     text = F.lower(F.concat_ws(" ", F.coalesce(c_("title"), F.lit("")), F.coalesce(c_("summary"), F.lit(""))))
-    arr = F.array(*[F.struct(F.lit(s).alias("sector"), F.lit(k.lower()).alias("kw")) for s, k in pairs])
-    matched = F.array_distinct(F.transform(F.filter(arr, lambda x: F.instr(text, x["kw"]) > 0),
-                                           lambda x: x["sector"]))
-    return articles.withColumn("matched_sectors", matched)
+    texts = stored(articles.select(key, text.alias("_text")), "texts")
+    words = checked_broadcast(keywords.select("keyword", "sector"))
+    short = {r[0] for r in keywords.where((F.length("keyword") < GRAM) & (F.length("keyword") > 0)).select(
+        F.length("keyword")).distinct().collect()}         # fewer than GRAM lengths
+    grams = [_grams(c_("_text"), size) for size in sorted({*short, GRAM})]
+    grams = texts.select(key, F.explode(F.concat(*grams)).alias("gram"))
+    wanted = words.select(F.explode(F.when(F.length("keyword") < GRAM, F.array(F.lower("keyword"))).otherwise(
+        _grams(F.lower("keyword"), GRAM))).alias("gram")).distinct()
+    counts = grams.join(checked_broadcast(wanted), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n_texts"))
+    index = checked_broadcast(keyword_index(words, counts))
+    candidates = grams.join(index, "gram").select(key, "keyword", "sector").distinct()
+    found = candidates.join(texts, key).where(F.expr("instr(_text, keyword) > 0"))
+    return found.select(key, "sector").distinct()
+
+
+def match_sectors(articles: DataFrame, keywords: DataFrame, key: str = "seq") -> DataFrame:
+    """``articles`` with ``matched_sectors`` (sorted; empty if none)."""
+    found = keyword_matches(articles, keywords, key).groupBy(key).agg(F.sort_array(F.collect_set("sector")).alias("matched_sectors"))
+    out = articles.join(found, key, "left")
+    return out.withColumn("matched_sectors", F.coalesce("matched_sectors", F.array().cast("array<string>")))
 
 
 def route(articles: DataFrame) -> DataFrame:
@@ -186,9 +247,9 @@ def backfill_dates(spark, asof: str, n_days: int) -> DataFrame:
 
 def sentiment_table(articles: DataFrame, lexicon: DataFrame, keywords: DataFrame) -> DataFrame:
     """The whole collector run over every published date."""
-    pairs = keyword_pairs(keywords)
     a = scoring_text(dedup_titles(articles))
     a = lexicon_scores(a, lexicon)
-    a = route(match_sectors(a, pairs))
-    agg = sector_aggregate(a, [p[0] for p in pairs], articles.select("published"))
+    a = route(match_sectors(a, keywords))
+    sectors = sorted(r[0] for r in keywords.select("sector").distinct().collect())      # one row per sector
+    agg = sector_aggregate(a, sectors, articles.select("published"))
     return momentum_and_zscore(agg)

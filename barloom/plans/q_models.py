@@ -77,9 +77,13 @@ def q_split_temporal(fx):
     return lab.split_temporal(dv.bar_labels(fx)).select("ticker", "trading_date", "split")
 
 
-@register("split_random")
+@register("split_random", """
+SELECT ticker, trading_date, direction_5d, CASE WHEN
+  ROW_NUMBER() OVER (PARTITION BY direction_5d ORDER BY md5('42|' || ticker || '|' || CAST(trading_date AS VARCHAR)))
+  <= (COUNT(*) OVER (PARTITION BY direction_5d) * 20 + 50) // 100 THEN 'test' ELSE 'train' END AS split
+FROM o_labels""", ctes=("o_labels",))
 def q_split_random(fx):
-    return lab.split_random(dv.bar_labels(fx)).select("ticker", "trading_date", "split")
+    return lab.split_stratified(dv.bar_labels(fx), "direction_5d").select("ticker", "trading_date", "direction_5d", "split")
 
 
 @register("label_clip", f"""

@@ -25,9 +25,24 @@ SELECT *, COALESCE(LENGTH(TRIM(text)), 0) < 10 AS too_short FROM (
                  ELSE title END AS text
   FROM o_dedup) q""")
 
-oracle_cte("o_scores", ("o_text", "lexicon"), """
-WITH t AS (SELECT seq, UNNEST(REGEXP_SPLIT_TO_ARRAY(LOWER(text), '[^\\p{L}]+')) AS token FROM o_text WHERE NOT too_short),
-s AS (SELECT t.seq, SUM(l.weight) AS s FROM t JOIN lexicon l ON l.token = t.token GROUP BY t.seq)
+def _listed(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+oracle_cte("o_scores", ("o_text", "lexicon"), f"""
+WITH p AS (SELECT seq, REGEXP_SPLIT_TO_ARRAY(REPLACE(LOWER(text), '’', CHR(39)), '[^\\p{{L}}' || CHR(39) || ']+') AS a FROM o_text WHERE NOT too_short),
+t AS (SELECT * FROM (SELECT seq, GENERATE_SUBSCRIPTS(a, 1) AS pos, UNNEST(a) AS token FROM p) x WHERE token <> ''),
+c AS (SELECT t.seq, t.pos, l.weight AS w,
+  CASE WHEN t.token IN {_listed(sen.BOOSTERS)} THEN 293e-3 WHEN t.token IN {_listed(sen.DAMPENERS)} THEN -293e-3 ELSE 0e0 END AS b,
+  t.token IN {_listed(sen.NEGATIONS)} OR t.token LIKE '%n' || CHR(39) || 't' AS neg,
+  MIN(CASE WHEN t.token = 'but' THEN t.pos END) OVER (PARTITION BY t.seq) AS but
+  FROM t LEFT JOIN lexicon l ON l.token = t.token),
+h AS (SELECT seq, pos, but, w,
+  COALESCE(LAG(b, 1) OVER o, 0e0) + 95e-2 * COALESCE(LAG(b, 2) OVER o, 0e0) + 9e-1 * COALESCE(LAG(b, 3) OVER o, 0e0) AS raised,
+  COALESCE(LAG(neg, 1) OVER o, FALSE) OR COALESCE(LAG(neg, 2) OVER o, FALSE) OR COALESCE(LAG(neg, 3) OVER o, FALSE) AS turned
+  FROM c WINDOW o AS (PARTITION BY seq ORDER BY pos)),
+s AS (SELECT seq, SUM((w + SIGN(w) * raised) * CASE WHEN turned THEN -74e-2 ELSE 1e0 END
+  * CASE WHEN pos < but THEN 5e-1 WHEN pos > but THEN 15e-1 ELSE 1e0 END) AS s FROM h WHERE w IS NOT NULL GROUP BY seq)
 SELECT o.*, CASE WHEN o.too_short THEN 0e0 ELSE COALESCE(s.s, 0e0) / SQRT(COALESCE(s.s, 0e0) * COALESCE(s.s, 0e0) + 15e0)
             END AS lexicon_score
 FROM o_text o LEFT JOIN s ON s.seq = o.seq""")
@@ -91,7 +106,7 @@ def _scored(fx):
 
 
 def _routed(fx):
-    return sen.route(sen.match_sectors(_scored(fx), sen.keyword_pairs(fx.sector_keywords)))
+    return sen.route(sen.match_sectors(_scored(fx), fx.sector_keywords))
 
 
 def sector_sentiment(fx):
@@ -136,8 +151,7 @@ SELECT DISTINCT s.seq, k.sector FROM o_dedup s JOIN sector_keywords k
   ON CONTAINS(LOWER(CONCAT_WS(' ', COALESCE(s.title, ''), COALESCE(s.summary, ''))), LOWER(k.keyword))""",
           ctes=("o_dedup", "sector_keywords"))
 def q_article_sectors(fx):
-    a = sen.match_sectors(sen.dedup_titles(fx.articles), sen.keyword_pairs(fx.sector_keywords))
-    return a.select("seq", F.explode("matched_sectors").alias("sector"))
+    return sen.keyword_matches(sen.dedup_titles(fx.articles), fx.sector_keywords)
 
 
 @register("article_routing", "SELECT seq, bucket FROM o_routed", ctes=("o_routed",))
