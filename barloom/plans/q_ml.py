@@ -13,6 +13,7 @@ from barloom.operators import calibration as calib
 from barloom.operators import labels as lab
 from barloom.operators import metrics as met
 from barloom.operators import models as mdl
+from barloom.operators import records as rec
 from barloom.plans import derived as dv
 from barloom.plans.catalog import register
 from barloom.plans.pipelines import daily_scoring, labelled_features
@@ -277,6 +278,36 @@ def q_roundtrip(fx):
     return _round(a.join(b, ["ticker", "trading_date"]).select("ticker", "trading_date", "p_fit", "p_loaded"))
 
 
+@register("training_record", f"""
+WITH d AS (SELECT DISTINCT ticker, trading_date, split, y_return FROM o_scored WHERE model = 'm1'),
+r AS (SELECT split, MIN(trading_date) AS a, MAX(trading_date) AS b, COUNT(*) AS n,
+             COUNT_IF(split <> 'test' AND ABS(y_return) < 1) AS dropped FROM d WHERE split IS NOT NULL GROUP BY split),
+f AS (SELECT model, COUNT(*) AS n, SUM(y) AS n_up, AVG(CAST(y = pred AS INT)) AS acc,
+  CASE WHEN SUM(pred) + SUM(y) > 0 THEN 2e0 * SUM(y * pred) / (SUM(pred) + SUM(y)) ELSE 0e0 END AS up,
+  CASE WHEN SUM(1 - pred) + SUM(1 - y) > 0 THEN 2e0 * SUM((1 - y) * (1 - pred)) / (SUM(1 - pred) + SUM(1 - y)) ELSE 0e0 END AS down
+  FROM o_scored WHERE split = 'test' GROUP BY model),
+w AS (SELECT model, acc, (up * n_up + down * (n - n_up)) / n AS f1 FROM f),
+b AS (SELECT model FROM w ORDER BY FLOOR(f1 * 1e9 + 0.5) DESC, model LIMIT 1)
+SELECT 2 AS version, 'split' AS part, split AS name, a AS first_date, b AS last_date, n AS n_rows, dropped AS n_dropped,
+       NULL AS accuracy, NULL AS f1_weighted, NULL AS is_best FROM r
+UNION ALL SELECT 2, 'model', model, NULL, NULL, NULL, NULL, {r4_sql('acc')}, {r4_sql('f1')}, model = (SELECT model FROM b) FROM w""",
+          ctes=("o_scored",))
+def q_training_record(fx):
+    """Two runs appended to a table of records; the newest one's splits and models."""
+    scored = dv.scored(fx)
+    results = met.classification_metrics(scored.filter(c_("split") == "test"), ["model"])
+    rows = scored.filter(c_("model") == "m1").select("trading_date", "split", c_("y_return").alias("next_5d_return"))
+    path = scratch_path(fx.spark, f"runs_{uuid.uuid4().hex}")
+    for run in ("2001-10-01 00:00:00", "2001-11-01 00:00:00"):
+        rec.append_record(rec.training_record(rows, results, ML_FEATURES, run, 1.0, 0.54, tuned={"maxDepth": 5}), path)
+    newest = rec.latest_record(fx.spark, path)
+    part = newest.select("version", F.lit("split").alias("part"), F.explode("splits").alias("x")).select(
+        "version", "part", c_("x.split").alias("name"), "x.first_date", "x.last_date", "x.n_rows", "x.n_dropped")
+    models = newest.select("version", "best_model", F.lit("model").alias("part"), F.explode("models").alias("x")).select(
+        "version", "part", c_("x.model").alias("name"), "x.accuracy", "x.f1_weighted", (c_("x.model") == c_("best_model")).alias("is_best"))
+    return _round(part.unionByName(models, allowMissingColumns=True))
+
+
 # ----------------------------------------------- ensembles over scores (O)
 @register("ensemble_vote", f"""
 SELECT row_id, {r4_sql('AVG(p)')} AS p_ensemble, CAST(AVG(p) >= 5e-1 AS INT) AS pred FROM o_scored GROUP BY row_id""",

@@ -509,6 +509,8 @@ rows_ AS (
   UNION ALL SELECT 'actionable_buy_fraction', NULL,
     (SELECT AVG(CAST(confidence >= (SELECT gate FROM g) AS DOUBLE)) FROM buys)
   UNION ALL SELECT 'n_outcomes', NULL, CAST((SELECT n FROM tot) AS DOUBLE)
+  UNION ALL SELECT 'guardrail_buys_stranded', NULL,
+    (SELECT CAST(AVG(CAST(confidence >= (SELECT gate FROM g) AS DOUBLE)) < 1e-2 AS DOUBLE) FROM buys)
   UNION ALL SELECT 'sector_override', sector, cutoff FROM sec
   UNION ALL SELECT 'sector_override', k, v FROM (VALUES ('Technology', 57e-2), ('Healthcare', 57e-2)) f(k, v)
     WHERE NOT EXISTS (SELECT 1 FROM sec))

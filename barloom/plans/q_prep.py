@@ -55,8 +55,7 @@ def _imputed(strategy, fill_sql, first=""):
     register(f"impute_{strategy if strategy != 'forward_fill' else 'ffill'}", sql, ctes=("o_feat",))(build)
 
 
-_imputed("mean", "(SELECT {c} FROM s)", "WITH s AS MATERIALIZED (SELECT "
-         + ", ".join(f"AVG({c}) AS {c}" for c in IMPUTE_COLS) + " FROM o_feat) ")
+_imputed("mean", "AVG({c}) OVER ()")
 _imputed("median", "(SELECT MEDIAN({c}) FROM o_feat)")
 _imputed("mode", "(SELECT {c} FROM o_feat WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1)")
 _imputed("forward_fill", "LAST_VALUE({c} IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY trading_date "
