@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.functions.parallel import concurrently
 from barloom.operators import calibration as calib
 from barloom.operators import features as feat
 from barloom.operators import models as mdl
@@ -77,9 +78,9 @@ def weekly_retrain(fx: Fixtures, feature_cols: tuple[str, ...] | None = None,
     data = fx.derived("retrain_frame_" + "_".join(feats), build)
     train, cal, test = (data.filter(F.col("split") == s) for s in ("train", "calibration", "test"))
     zoo = mdl.classifier_zoo(sizes=sizes)
-    parts = []
-    for name in ("random_forest", "gradient_boosting", "logistic"):
-        m = mdl.fit_classifier(train, feats, zoo[name])
+    names, parts = ("random_forest", "gradient_boosting", "logistic"), []
+    fits = concurrently(fx.spark, [lambda n=n: mdl.fit_classifier(train, feats, zoo[n]) for n in names])
+    for name, m in zip(names, fits):
         cal_s = mdl.score(m, cal, ["y"])
         test_s = calib.platt(cal_s, mdl.score(m, test, ["y"]))
         thr_row = tune_threshold(calib.platt(cal_s, cal_s).withColumn("p", F.col("p_calibrated"))).first()

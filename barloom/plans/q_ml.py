@@ -9,11 +9,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import r4, r4_sql
+from barloom.functions.parallel import concurrently
 from barloom.operators import calibration as calib
 from barloom.operators import labels as lab
 from barloom.operators import metrics as met
 from barloom.operators import models as mdl
 from barloom.operators import records as rec
+from barloom.operators.logistic_path import tune_grid
 from barloom.plans import derived as dv
 from barloom.plans.catalog import register
 from barloom.plans.pipelines import daily_scoring, labelled_features
@@ -91,7 +93,7 @@ def q_tune_random(fx):
 @register("tune_grid")
 def q_tune_grid(fx):
     tr, _ = _train_test(fx)
-    return _round(mdl.tune_grid(tr, ML_FEATURES))
+    return _round(tune_grid(tr, ML_FEATURES))
 
 
 @register("train_regressors")
@@ -180,16 +182,16 @@ def walk_forward(frame, feature_cols, estimator, folds: int = 6, test_window: in
     train, fit, Platt calibration, then the test dates: accuracy, accuracy outside the dead zone,
     weighted F1, accuracy by confidence band and by called side (cells of at least ``least`` rows).
     Long rows (fold, metric, key, n, value). ``frame`` holds every labelled row."""
-    plan = lab.walkforward_folds(frame, folds=folds, test_window=test_window)
-    out = []
-    for (fid,) in plan.select("fold").distinct().orderBy("fold").collect():
+    plan = stored(lab.walkforward_folds(frame, folds=folds, test_window=test_window), "walk-dates")
+
+    def one(fid: int):
         dates = plan.filter(c_("fold") == fid).select("trading_date", "role")
         part = frame.join(F.broadcast(dates), "trading_date")        # one row per date
         moves = F.abs("next_5d_return") >= dead_zone_pct
         train = stored(lab.sample_weights(part.filter((c_("role") == "train") & moves)), "fold")
         cal, test = part.filter((c_("role") == "calibration") & moves), part.filter(c_("role") == "test")
-        m = mdl.fit_classifier(train, feature_cols, estimator)
-        scored = mdl.platt(mdl.score(m, cal, ["y"]), mdl.score(m, test, ["y", "next_5d_return"])).select(
+        m = mdl.fit_classifier(train, feature_cols, estimator.copy())
+        scored = calib.platt(mdl.score(m, cal, ["y"]), mdl.score(m, test, ["y", "next_5d_return"])).select(
             "y", moves.alias("moves"), c_("p_calibrated").alias("p"), (c_("p_calibrated") >= 0.5).cast("int").alias("pred"))
         scored = stored(scored, "walk")
         right = (c_("y") == c_("pred")).cast("double")
@@ -205,7 +207,10 @@ def walk_forward(frame, feature_cols, estimator, folds: int = 6, test_window: in
             F.col("metric").startswith("accuracy") | (c_("n") >= least))
         f1 = met.classification_metrics(scored, []).select(
             F.lit("f1_weighted").alias("metric"), F.lit("all").alias("key"), "n", c_("f1_weighted").alias("value"))
-        out.append(cells.unionByName(f1).withColumn("fold", F.lit(fid)))
+        return cells.unionByName(f1).withColumn("fold", F.lit(fid))
+
+    ids = [r[0] for r in plan.select("fold").distinct().orderBy("fold").collect()]       # one row per fold
+    out = concurrently(frame.sparkSession, [lambda f=f: one(f) for f in ids])
     res = out[0]
     for r in out[1:]:
         res = res.unionByName(r)
