@@ -19,7 +19,7 @@ from barloom.operators.logistic_path import tune_grid
 from barloom.plans import derived as dv
 from barloom.plans.catalog import register
 from barloom.plans.pipelines import daily_scoring, labelled_features
-from barloom.plans.q_more import q_thresholds_effective
+from barloom.plans.q_more import effective_thresholds
 from barloom.plans.q_features import features
 from barloom.plans.q_prep import MI_COLS, RELATIVE, STOCK, prep_frame
 from barloom.session import scratch_path, stored
@@ -127,7 +127,7 @@ def q_predict_batch(fx):
     tr, _ = _train_test(fx)
     path = scratch_path(fx.spark, f"model_{uuid.uuid4().hex}")
     mdl.fit_classifier(tr, ML_FEATURES, mdl.classifier_zoo()["logistic"]).write().overwrite().save(path)
-    doc = q_thresholds_effective(fx).first().asDict()       # one row
+    doc = effective_thresholds(fx).first().asDict()       # one row
     d = daily_scoring(fx, path, {**doc, "min_stock_price": dv.TEST_CFG.min_stock_price})
     return _round(d.select("ticker", "trading_date", "up_probability", "predicted_signal", "confidence",
                            "is_actionable", "suppression_reason"))

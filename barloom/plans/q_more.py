@@ -15,7 +15,8 @@ from barloom.operators import features as feat
 from barloom.operators import signals as sig
 from barloom.operators import thresholds as thr
 from barloom.plans import derived as dv
-from barloom.plans.catalog import oracle_cte, register
+from barloom.plans import q_models  # noqa: F401  (registers derive_thresholds)
+from barloom.plans.catalog import REGISTRY, oracle_cte, register
 from barloom.plans.pipelines import labelled_features
 from barloom.plans.q_features import NUMERIC, features
 from barloom.session import scratch_path
@@ -268,19 +269,42 @@ def threshold_doc(fx):
         .alias("sector_confidence_overrides"))
 
 
-@register("sink_thresholds")
-def q_sink_thresholds(fx):
-    """Write the derived thresholds as one JSON document and read it back."""
+_DERIVED = REGISTRY["derive_thresholds"].oracle
+_DOC_NAMES = ("buy_min_confidence", "high_confidence_threshold", "sell_max_confidence")
+
+
+def _doc_rows(doc):
+    """A document as (name, key, value) rows; it has one row, its map a value per sector."""
+    named = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(None).cast("string").alias("key"), c_(n).alias("value")) for n in _DOC_NAMES])
+    sectors = F.transform(F.map_entries(F.coalesce("sector_confidence_overrides", F.create_map().cast("map<string,double>"))),
+                          lambda e: F.struct(F.lit("sector_override").alias("name"), e["key"].alias("key"), e["value"].alias("value")))
+    return doc.select(F.explode(F.concat(named, sectors)).alias("r")).select("r.name", "r.key", r4("r.value").alias("value"))
+
+
+def written_thresholds(fx):
+    """The derived thresholds written as one JSON document and read back."""
     path = scratch_path(fx.spark, f"thresholds_{uuid.uuid4().hex}")
     io.write_one_row_json(threshold_doc(fx), path)
     return fx.spark.read.schema(io.THRESHOLD_DOC).json(path)
 
 
-@register("thresholds_effective")
-def q_thresholds_effective(fx):
+def effective_thresholds(fx):
     """A4: the written document over the defaults (missing values keep defaults)."""
-    path = scratch_path(fx.spark, f"thresholds_{uuid.uuid4().hex}")
-    io.write_one_row_json(threshold_doc(fx), path)
-    doc = fx.spark.read.schema(io.THRESHOLD_DOC).json(path)
     defaults = {**thr.FALLBACK, "sector_confidence_overrides": thr.FALLBACK_SECTORS}
-    return io.effective_thresholds(doc, defaults)
+    return io.effective_thresholds(written_thresholds(fx), defaults)
+
+
+@register("sink_thresholds", f"""
+SELECT name, key, value FROM ({_DERIVED}) d WHERE name IN {(*_DOC_NAMES, 'sector_override')}""", ctes=("o_outcomes", "securities"))
+def q_sink_thresholds(fx):
+    return _doc_rows(written_thresholds(fx))
+
+
+@register("thresholds_effective", f"""
+WITH d AS MATERIALIZED (SELECT name, key, value FROM ({_DERIVED}) x)
+SELECT f.name, NULL AS key, {r4_sql('COALESCE(d.value, f.value)')} AS value
+FROM (VALUES ('buy_min_confidence', {thr.FALLBACK['buy_min_confidence']!r}), ('high_confidence_threshold', {thr.FALLBACK['high_confidence_threshold']!r}),
+             ('sell_max_confidence', {thr.FALLBACK['sell_max_confidence']!r})) f(name, value) LEFT JOIN d ON d.name = f.name
+UNION ALL SELECT name, key, value FROM d WHERE name = 'sector_override'""", ctes=("o_outcomes", "securities"))
+def q_thresholds_effective(fx):
+    return _doc_rows(effective_thresholds(fx))

@@ -572,12 +572,19 @@ def q_report_alerts(fx, now="2001-11-06T06:00:00"):
     return report_alerts(_written_reports(fx), now)
 
 
-@register("eda_summary")
+@register("eda_summary", f"""
+WITH a AS MATERIALIZED ({_ALL_COLUMNS}),
+m AS (SELECT column_name, COUNT(*) - COUNT(v) AS n_missing FROM (FROM ({_NUMBERS}) UNPIVOT INCLUDE NULLS (v FOR column_name IN (*))) GROUP BY 1
+      UNION ALL SELECT column_name, COUNT(*) - COUNT(v) FROM (FROM ({_WORDS}) UNPIVOT INCLUDE NULLS (v FOR column_name IN (*))) GROUP BY 1)
+SELECT m.column_name, m.n_missing, (SELECT COUNT(*) FROM a) AS n_rows, (SELECT COUNT(*) FROM m) AS n_cols,
+       (SELECT MIN(trading_date) FROM a) AS first_date, (SELECT MAX(trading_date) FROM a) AS last_date,
+       (SELECT COUNT(DISTINCT ticker) FROM a) AS n_tickers FROM m""", ctes=("o_feat",))
 def q_eda(fx):
-    """Shape, date range, tickers and a missing-value map in one row."""
+    """Shape, date range, tickers and the missing values of every column, a row per column."""
     f = features(fx)
-    cols = [c for c in f.columns if c not in ("ticker", "trading_date")]
-    return f.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(f.columns)).alias("n_cols"),
-                 F.min("trading_date").alias("first_date"), F.max("trading_date").alias("last_date"),
-                 F.countDistinct("ticker").alias("n_tickers"),
-                 F.create_map(*[x for c in cols for x in (F.lit(c), F.count_if(c_(c).isNull()))]).alias("missing"))
+    one = f.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(f.columns)).cast("long").alias("n_cols"),
+                F.min("trading_date").alias("first_date"), F.max("trading_date").alias("last_date"),
+                F.countDistinct("ticker").alias("n_tickers"),
+                F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_if(c_(c).isNull()).alias("n_missing")) for c in f.columns]).alias("m"))
+    return one.select("n_rows", "n_cols", "first_date", "last_date", "n_tickers", F.explode("m").alias("x")).select(
+        "x.column_name", "x.n_missing", "n_rows", "n_cols", "first_date", "last_date", "n_tickers")

@@ -14,7 +14,8 @@ from barloom.operators import features as feat
 from barloom.operators import outcomes as out
 from barloom.operators import signals as sig
 from barloom.plans import derived as dv
-from barloom.plans.catalog import oracle_cte, register
+from barloom.plans import q_signals
+from barloom.plans.catalog import REGISTRY, oracle_cte, register
 from barloom.plans.q_features import features
 from barloom.plans.q_sentiment import sector_sentiment
 from barloom.session import scratch_path
@@ -239,12 +240,16 @@ def q_upsert(fx):
         F.count(F.lit(1)).cast("bigint").alias("n"), F.max("sources").alias("max_sources"))
 
 
-@register("sink_csv")
+@register("sink_csv", f"SELECT * EXCLUDE (run_timestamp) FROM ({REGISTRY['export_predictions'].oracle}) e", ctes=("o_export",))
 def q_sink_csv(fx):
     """CSV export of the prediction rows, read back."""
     path = scratch_path(fx.spark, f"export_csv_{uuid.uuid4().hex}")
-    io.write_csv(sig.export_predictions(dv.signals(fx)).drop("run_timestamp"), path)
-    return fx.spark.read.option("header", True).csv(path)
+    rows = sig.export_predictions(dv.signals(fx)).drop("run_timestamp")
+    io.write_csv(rows, path)
+    back = fx.spark.read.schema(rows.schema).option("header", True).csv(path)
+    kept = [f.name for f in q_signals.q_export_predictions(fx).schema.fields if f.name != "run_timestamp"]
+    doubles = {f.name for f in rows.schema.fields if f.dataType.typeName() == "double"}
+    return back.select(*[r4(c).alias(c) if c in doubles else c_(c) for c in kept])
 
 
 # ------------------------------------------------------------------ joins
