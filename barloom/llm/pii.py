@@ -40,6 +40,8 @@ DISCLOSURE = 0.85
 CONFIDENCE = 0.75
 #: Terms, texts or spans up to this number (about 50 bytes each) are broadcast; beyond, joins shuffle.
 MAX_BROADCAST = 500_000
+#: One text in so many shows which words are too common; all texts are counted for the others.
+FIRST_LOOK = 64
 WORD_GAP = r"[^\p{L}\p{N}]+"
 
 
@@ -127,15 +129,23 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, support: int = SUPPORT, d
     carriers = _if_small(written(member.select("content").distinct(), "carriers"))
     with_entity = once.join(carriers, "content", "left_semi")
 
+    # n_c, a term's texts among those, is n_t at most: terms that are spread over them cannot reach the confidence
     frequent = _words(with_entity).groupBy("term").agg(F.count("*").alias("n_c")).where(F.col("n_c") >= support)
     widest = classes.agg(F.max("most")).first()[0] or 0.0
-    frequent = _if_small(written(frequent.where(F.col("n_c") <= widest).select("term"), "frequent"))
-    n_term = _words(once).join(frequent, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    n_term = _if_small(written(n_term.where(F.col("n_t") <= widest), "terms"))
-    pairs = _words(with_entity).join(n_term, "term").join(member, "content").where("n_t <= most")
-    pairs = pairs.groupBy("term", "class").agg(F.count("*").alias("n_te"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
+    frequent = _if_small(written(frequent.where(F.col("n_c") <= widest), "frequent"))
+    pairs = _words(with_entity).join(frequent, "term").join(member, "content").where("n_c <= most")
+    pairs = pairs.groupBy("term", "class").agg(F.count("*").alias("n_te"), F.first("n_c").alias("n_c"), F.first("n_e").alias("n_e"))
+    pairs = written(pairs.where((F.col("n_te") >= support) & (F.col("n_te") >= confidence * F.col("n_c"))), "pairs")
+    # common words are told by a share of the texts: what it holds of a term is n_t at most
+    terms = pairs.groupBy("term").agg(F.max("n_te").alias("n_te"))
+    some = _words(once.where(f"pmod(xxhash64(2, content), {FIRST_LOOK}) = 0")).join(_if_small(terms.select("term")), "term", "left_semi")
+    terms = terms.join(some.groupBy("term").agg(F.count("*").alias("n_some")), "term", "left").where(
+        f"n_some IS NULL OR n_te >= {confidence}D * n_some")
+    terms = _if_small(written(terms.select("term"), "terms"))
+    n_term = _words(once).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    pairs = pairs.join(n_term, "term")
     share = F.expr(f"log2({n_texts}D * n_te / (n_t * n_e)) / log2({n_texts}D / n_e)")
-    scored = pairs.where((F.col("n_te") >= support) & (F.col("n_te") >= confidence * F.col("n_t"))).withColumn("share", share)
+    scored = pairs.where(F.col("n_te") >= confidence * F.col("n_t")).withColumn("share", share)
     return (scored.where(F.col("share") >= disclosure).join(classes.select("class", "entity"), "class").groupBy("term")
             .agg(F.max("share").alias("share"), F.max_by("entity.kind", F.struct("share", "entity")).alias("kind")))
 
