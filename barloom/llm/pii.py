@@ -40,8 +40,8 @@ DISCLOSURE = 0.85
 CONFIDENCE = 0.75
 #: Terms, texts or spans up to this number (about 50 bytes each) are broadcast; beyond, joins shuffle.
 MAX_BROADCAST = 500_000
-#: One text in so many shows which words are too common; all texts are counted for the others.
-FIRST_LOOK = 64
+#: One text in so many, step by step, shows which words are too common; all texts are counted for the others.
+FIRST_LOOKS = (64, 8)
 WORD_GAP = r"[^\p{L}\p{N}]+"
 
 
@@ -136,12 +136,13 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, support: int = SUPPORT, d
     pairs = _words(with_entity).join(frequent, "term").join(member, "content").where("n_c <= most")
     pairs = pairs.groupBy("term", "class").agg(F.count("*").alias("n_te"), F.first("n_c").alias("n_c"), F.first("n_e").alias("n_e"))
     pairs = written(pairs.where((F.col("n_te") >= support) & (F.col("n_te") >= confidence * F.col("n_c"))), "pairs")
-    # common words are told by a share of the texts: what it holds of a term is n_t at most
-    terms = pairs.groupBy("term").agg(F.max("n_te").alias("n_te"))
-    some = _words(once.where(f"pmod(xxhash64(2, content), {FIRST_LOOK}) = 0")).join(_if_small(terms.select("term")), "term", "left_semi")
-    terms = terms.join(some.groupBy("term").agg(F.count("*").alias("n_some")), "term", "left").where(
-        f"n_some IS NULL OR n_te >= {confidence}D * n_some")
-    terms = _if_small(written(terms.select("term"), "terms"))
+    # common words are told by growing shares of the texts: what a share holds of a term is n_t at most
+    terms = written(pairs.groupBy("term").agg(F.max("n_te").alias("n_te")), "terms")
+    for share_of in FIRST_LOOKS:
+        some = _words(once.where(f"pmod(xxhash64(2, content), {share_of}) = 0")).join(_if_small(terms.select("term")), "term", "left_semi")
+        terms = written(terms.join(some.groupBy("term").agg(F.count("*").alias("n_some")), "term", "left").where(
+            f"n_some IS NULL OR n_te >= {confidence}D * n_some").select("term", "n_te"), "terms")
+    terms = _if_small(terms.select("term"))
     n_term = _words(once).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     pairs = pairs.join(n_term, "term")
     share = F.expr(f"log2({n_texts}D * n_te / (n_t * n_e)) / log2({n_texts}D / n_e)")
