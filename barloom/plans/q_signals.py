@@ -82,7 +82,7 @@ SELECT ticker, trading_date, {', '.join(f'{r4_sql(c)} AS {c}' for c in _TECH)},
             ELSE 'Sideways' END AS trend_direction
 FROM l""", ctes=("o_feat",))
 def q_export_technical_rows(fx):
-    latest = latest_nonnull(features(fx), _TECH)
+    latest = latest_nonnull(features(fx, *_TECH), _TECH)
     t = sig.technical_rows(latest)
     return t.select("ticker", "trading_date", *[r4(c).alias(c) for c in _TECH], "macd_trend",
                     r4("price_vs_sma20_pct").alias("price_vs_sma20_pct"),
