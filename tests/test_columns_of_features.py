@@ -5,6 +5,7 @@ from barloom.plans.q_sentiment import sector_sentiment
 from barloom.sources.fixtures import Fixtures
 from tests.conftest import SF_SMALL
 
+
 def shown(v):
     return float(f"{v:.9g}") + 0.0 if isinstance(v, float) else v
 
