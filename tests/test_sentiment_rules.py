@@ -79,6 +79,12 @@ def test_isotonic_by_plain_pooling(spark, shape):
     assert got[None] is None
 
 
+def test_isotonic_works_no_frame_out_anew_per_row(spark):
+    rows = spark.createDataFrame([(0.1, 0), (0.2, 1), (0.3, 0)], "p double, y int")
+    plan = calibration.isotonic(rows, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RangeFrame" in plan and "RangeFrame, currentrow$(), unboundedfollowing$()" not in plan
+
+
 def test_platt_against_direct_newton(spark):
     draw = np.random.default_rng(4)
     p = draw.random(500)
