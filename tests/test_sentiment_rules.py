@@ -36,6 +36,17 @@ def test_keywords_by_grams(spark):
     assert {r["seq"]: r["matched_sectors"] for r in sen.match_sectors(a, k).collect()}[3] == []
 
 
+def test_few_and_many_keywords_match_alike(spark, monkeypatch):
+    articles = [(1, "Chip makers", "AI"), (2, None, "oil, Öl und Gas"), (3, "x", None), (None, "biotech", "AI"), (1, "oil", ""), (5, None, None)]
+    words = [("Tech", "chip"), ("Tech", "AI"), ("Tech", "ai"), ("Energy", "öl"), ("Health", "Biotech"), (None, "oil"), ("None", ""), ("None", None)]
+    a = spark.createDataFrame(articles, "seq long, title string, summary string")
+    k = spark.createDataFrame(words, "sector string, keyword string")
+    many = sorted(map(repr, sen.keyword_matches(a, k, few=0).collect()))
+    monkeypatch.setattr(sen, "_grams", None)                    # few keywords need no grams of the texts
+    few = sorted(map(repr, sen.keyword_matches(a, k).collect()))
+    assert few == many and len(few) == 4
+
+
 @pytest.mark.parametrize("prefix", [1, 4])
 def test_stratified_split_has_exact_shares(spark, prefix):
     rows = [(str(i), f"2020-01-{1 + i % 28:02d}", "Up" if i % 7 else "Down") for i in range(1000)] + [("z", "2020-01-01", None)] * 3
