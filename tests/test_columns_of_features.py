@@ -62,3 +62,16 @@ def test_few_columns_write_only_bars(spark, tmp_path, suppliers):
     whole = feat.feature_frame(fx).collect()
     assert got == sorted(repr([shown(r[c]) for c in names]) for r in whole)
     assert len(got) == (140 if len(suppliers) == 2 else 70 * 4 + 70)
+
+
+@pytest.mark.parametrize("suppliers", [[(1, 3), (2, 3)], [(1, 3), (1, 3), (2, 3)]])
+def test_wide_rows_are_not_shuffled_by_date(spark, tmp_path, suppliers):
+    fx = own_tables(spark, tmp_path, suppliers)
+    cross = ("ticker", "trading_date", *feat.CROSS_SECTION, "sector_leader_conviction")
+    frame = feat.feature_frame(fx)
+    got = sorted(repr([shown(r[c]) for c in cross]) for r in frame.collect())
+    # few columns are ranked in place
+    assert got == sorted(repr([shown(r[c]) for c in cross]) for r in feat.feature_frame(fx, columns=cross).collect())
+    text = frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+    wide = [part for part in text.split("\n\n") if "Exchange" in part.split("\n")[0] and "hashpartitioning(trading_date" in part and "sma_200" in part]
+    assert bool(wide) == (len(suppliers) > 2)
