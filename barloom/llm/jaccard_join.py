@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import shingle_hashes, slices, table, whole_row, written
+from barloom.llm.common import map_batches, shingle_hashes, slices, table, whole_row, written
 from barloom.llm.components import components
 
 #: One point in so many shows which shingles are common. This only orders shingles; links do not depend on it.
@@ -73,7 +73,7 @@ def _common_shingles(docs: DataFrame, width: int) -> np.ndarray:
                 [batch.column("h"), _longs(list(_sets(batch.column("text").to_pylist(), width)))], ["h", "shingles"])
 
     some = docs.select(F.xxhash64("text").alias("h"), "text").where(f"pmod(h, {ORDER_SHARE}) = 0")
-    counts = (some.mapInArrow(sets, "h long, shingles array<long>").groupBy("h").agg(F.first("shingles").alias("shingles"))
+    counts = (map_batches(some, sets, "h long, shingles array<long>").groupBy("h").agg(F.first("shingles").alias("shingles"))
               .select(F.explode("shingles").alias("s")).groupBy("s").count().where(F.col("count") >= COMMON_FROM))
     top = counts.orderBy(F.desc("count"), "s").limit(MAX_COMMON).select("s").toArrow()
     return np.sort(top.column("s").combine_chunks().to_numpy(zero_copy_only=False).view(np.uint64))
@@ -112,8 +112,8 @@ def shingle_points(docs: DataFrame, percent: int, width: int) -> DataFrame:
                  _longs(early), _longs(sketches)], ["doc_id", "content", "point", "n", "early", "sketch"])
 
     text = F.col("text").cast("string")
-    out = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("content"), text.alias("text")).mapInArrow(
-        points, "doc_id long, content long, point long, n int, early array<long>, sketch array<long>")
+    out = map_batches(docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("content"), text.alias("text")),
+                      points, "doc_id long, content long, point long, n int, early array<long>, sketch array<long>")
     return written(out, "points")
 
 
@@ -151,8 +151,8 @@ def _measure(pairs: DataFrame, docs: DataFrame, index: DataFrame, width: int, pe
     wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
     # a row is found by id and text: rows without an id take part
     rows, wanted = docs.select("doc_id", "text", F.xxhash64("text").alias("content")).alias("d"), wanted.alias("w")
-    sets = written(rows.join(wanted, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.content") == F.col("w.content")), "left_semi")
-                   .mapInArrow(build, "point long, shingles array<long>").dropDuplicates(["point"]), "sets", parts)
+    found = rows.join(wanted, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.content") == F.col("w.content")), "left_semi")
+    sets = written(map_batches(found, build, "point long, shingles array<long>").dropDuplicates(["point"]), "sets", parts)
     a = sets.select(F.col("point").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("point").alias("b"), F.col("shingles").alias("sb"))
     both, union = F.col("both"), F.size("sa") + F.size("sb") - F.col("both")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from barloom.llm.common import remainder, slices, table, whole_row
+from barloom.llm.common import map_batches, remainder, slices, table, whole_row
 
 #: Labelled documents per language that the model is fitted on (chosen by hash of the id), at most.
 PER_LANGUAGE = 500
@@ -134,8 +134,8 @@ def training_set(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[lis
                 [b.column("doc_id"), b.column("lang"), pa.array([s.tobytes() for s in found], pa.binary())],
                 ["doc_id", "lang", "spectrum"])
 
-    rows = (known.where(F.coalesce(*wanted)).select(F.col("doc_id").cast("long"), "lang", "text")
-            .mapInArrow(spectra, "doc_id long, lang string, spectrum binary")
+    learned = known.where(F.coalesce(*wanted)).select(F.col("doc_id").cast("long"), "lang", "text")
+    rows = (map_batches(learned, spectra, "doc_id long, lang string, spectrum binary")
             .orderBy(F.xxhash64(F.lit("order"), "doc_id"), "spectrum").limit(4 * per_language * len(counts)).toArrow())
     spectra_, labels, taken = [], [], dict.fromkeys(counts, 0)
     for lang, raw in zip(rows.column("lang").to_pylist(), rows.column("spectrum").to_pylist()):
@@ -174,7 +174,7 @@ def identify(docs: DataFrame, model: KernelModel | None, accept: float | None =
 
     rows = docs.select(F.col("text").cast("string").alias("text"), whole_row(docs))
     schema = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()), rows.schema["row"]])
-    return rows.mapInArrow(score, schema)
+    return map_batches(rows, score, schema)
 
 
 def predict(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:

@@ -10,9 +10,9 @@ another piece, and the last tokens of a partition go into windows whose size is
 a power of two, so no padding is left.
 
 Every task packs its own partition, pool by pool: there is no shuffle, and a
-task holds one pool and one document at a time. Sequence ids join the partition
-number and a counter, so a task that runs again after a lost executor gives the
-same rows.
+task holds one pool (not the documents its pieces come from) and one document at
+a time. Sequence ids join the partition number and a counter, so a task that
+runs again after a lost executor gives the same rows.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import base64
 import functools
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -31,12 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barloom.llm.common import slices, table
+from barloom.llm.common import give_back, map_batches, slices, table
 
 CAPACITY = 1024
 SEPARATOR = 0
 #: Remainders that a task gathers before it packs.
 POOL = 4096
+#: Pieces that a task returns at once.
+ROWS = 512
 VOCABULARY = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
 SPECIAL = "<|endoftext|>"
 #: Texts with longer runs of white space or of other characters go through ``tokenizers``.
@@ -108,7 +111,8 @@ class _Packer:
         for start in range(0, cut, self.capacity):
             self._window([(doc_id, start, ids[start:start + self.capacity], len(ids))])
         if cut < len(ids):
-            self._put((doc_id, cut, ids[cut:], len(ids)))
+            # a copy: a view would keep the ids of the whole document while the piece waits
+            self._put((doc_id, cut, ids[cut:].copy(), len(ids)))
 
     def _put(self, piece: tuple) -> None:
         self.pool.setdefault(len(piece[2]), []).append(piece)
@@ -171,12 +175,15 @@ class _Packer:
                 room -= len(window[-1][2])
             self._window(window)
 
-    def batch(self) -> pa.RecordBatch:
-        cols = list(zip(*self.rows)) or [()] * 7
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """The pieces of the windows filled so far, ``ROWS`` at a time."""
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         names = ["doc_id", "start", "length", "token_ids", "doc_tokens", "sequence_id", "offset"]
-        self.rows = []
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+        rows, self.rows = self.rows[::-1], []
+        while rows:
+            some = rows[:-ROWS - 1:-1]
+            del rows[-ROWS:]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds)], names)
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: tuple[str, str] = VOCABULARY) -> DataFrame:
@@ -196,12 +203,14 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: tuple[str, str]
                 packer.add(doc_id, token_ids(text.as_py(), vocabulary))
                 if packer.size >= POOL:
                     packer.pack(POOL // 2)
-                if len(packer.rows) >= POOL:
-                    yield packer.batch()
+                if len(packer.rows) >= ROWS:
+                    yield from packer.batches()
         packer.finish()
-        yield packer.batch()
+        yield from packer.batches()
+        del packer
+        give_back()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, SCHEMA)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
