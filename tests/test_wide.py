@@ -86,3 +86,37 @@ def test_correlations_of_parts_with_other_levels(spark):
     assert got["a", "same"] == (80, None) and got["same", "b"] == (80, None)
     assert abs(got["a", "b"][1] - np.corrcoef(a, b)[0, 1]) < 1e-9
     assert got["a", "late"][0] == 40 and abs(got["a", "late"][1] - 1) < 1e-9
+
+
+def test_training_rows_write_the_features_once(spark):
+    from barloom.plans.q_ml import ml_frame
+    fx = Fixtures(spark, SF_SMALL, tag="-train")
+    rows = ml_frame(fx)
+    assert rows.where("split = 'train'").count() > 0
+    written = {n for _, at, n in fixtures._STORE if at == fx.sf_dir + fx.tag}
+    assert "ml_frame" in written and not [n for n in written if n == "ml_base" or n.startswith("features")]
+    assert not [n for _, at, n in fixtures._STORE if at == fx.sf_dir + fx.tag and n.startswith("ml_base")]
+
+
+def test_walk_forward_writes_no_rows_of_a_fold(spark, monkeypatch):
+    from barloom.plans import q_ml
+    fx, kept, store = Fixtures(spark, SF_SMALL, tag="-walk"), [], q_ml.stored
+
+    def noted(df, name, *more):
+        kept.append((name, df.columns))
+        return store(df, name, *more)
+    monkeypatch.setattr(q_ml, "stored", noted)
+    got = q_ml.walk_forward(q_ml.ml_base(fx), ("RSI", "daily_return"), q_ml.mdl.classifier_zoo()["logistic"], folds=2).collect()
+    assert {r["fold"] for r in got} == {0, 1}
+    assert [sorted(c) for n, c in kept if n == "fold"] == [["sample_weight", "ticker", "trading_date"]] * 2
+
+
+def test_grid_rows_reach_a_pass_as_arrays(spark):
+    from barloom.operators import logistic_path as lp
+    x = np.random.default_rng(8).normal(size=(200, 3))
+    df = spark.createDataFrame([(str(i), *map(float, r), int(r[0] > 0)) for i, r in enumerate(x)], "ticker string, a double, b double, c double, y int")
+    rows = lp.packed_rows(lp.standardised(df, ["a", "b", "c"], folds=3, keys=("ticker",)))
+    assert lp.packed_rows(rows) is rows and rows.columns == ["fold", "d", "y", "x"]
+    assert sum(len(r["y"]) for r in rows.collect()) == 200 * 8
+    best = {(r["penalty"], r["strength"]): r["cv_f1"] for r in lp.grid_scores(rows, 3, lp.path(rows, 3, strengths=(1.0,))).collect()}
+    assert len(best) == 2 and min(best.values()) > 0.9
