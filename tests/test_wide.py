@@ -70,7 +70,7 @@ def test_mutual_information_stacks_nothing(spark, monkeypatch):
     assert [r["feature"] for r in got] == ["x"] and abs(got[0]["mi"] - want) < 1e-12
 
 
-@pytest.mark.parametrize("key", ["mi_ranking", "quality_issues", "eda_summary"])
+@pytest.mark.parametrize("key", ["mi_ranking", "quality_issues", "eda_summary", "select_importance"])
 def test_statistics_write_no_feature_table(spark, key):
     catalog.load_all()
     fx = Fixtures(spark, SF_SMALL, tag=f"-wide-{key}")
